@@ -66,8 +66,9 @@ def kpis(canon: DataFrame, links: DataFrame, costs: DataFrame, today: Column, lo
     money = costs.filter(F.col("day") >= week_start).agg(
         F.coalesce(F.sum(F.when(F.col("day") == today, F.col("cost_usd"))), F.lit(0)).cast("decimal(14,4)").alias("cost_today"),
         F.coalesce(F.sum("cost_usd"), F.lit(0)).cast("decimal(14,4)").alias("cost_week"))
-    # each side is a global aggregate of exactly one row
-    return c.join(r, F.lit(True)).join(money, F.lit(True))
+    # three one-row aggregates laid side by side
+    parts = c.unionByName(r, allowMissingColumns=True).unionByName(money, allowMissingColumns=True)
+    return parts.agg(*(F.max(name).alias(name) for name in parts.columns))
 
 
 def last_success_per_source(runs: DataFrame, n: int = 50) -> DataFrame:

@@ -113,11 +113,12 @@ def sync_log_rows(planned: DataFrame, results: DataFrame | None, at: Column, dry
 
 
 def sync_summary(planned: DataFrame, log: DataFrame) -> DataFrame:
-    """ok, skipped and failed counts of a pass (two one-row aggregates side by side)."""
+    """ok, skipped and failed counts of a pass: two one-row aggregates laid side by side."""
     skipped = planned.agg(F.count_if(F.col("sync_action") == "skip").alias("skipped"))
     sent = log.agg(
         F.count_if(F.col("status") != "failed").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"))
-    return sent.join(skipped, F.lit(True)).select("ok", "skipped", "failed")
+    parts = sent.unionByName(skipped, allowMissingColumns=True)
+    return parts.agg(*(F.max(name).alias(name) for name in ("ok", "skipped", "failed")))
 
 
 def term_dictionary(documents: DataFrame, terms: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ def get_spark(app: str = "casona", cores: str = "*", shuffle_partitions: int | N
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     if shuffle_partitions:
