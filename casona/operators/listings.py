@@ -95,13 +95,11 @@ WEIGHTS = [("title_en", "1.0"), ("title_es", "1.0"), ("locality", "0.4"), ("cant
 
 def token_index(canon: DataFrame, weights: Sequence[tuple[str, str]] = tuple(WEIGHTS), id_col: str = "id") -> DataFrame:
     """Inverted index (token, id, weight): lower-cased words, no stemming, weights summed per word."""
-    parts = [
-        F.transform(
-            F.filter(F.split(F.lower(F.coalesce(F.col(c), F.lit(""))), TOKEN_SPLIT), lambda t: t != ""),
-            lambda t, w=w: F.struct(t.alias("token"), F.lit(w).cast("decimal(6,2)").alias("weight")),
-        )
-        for c, w in weights if c in canon.columns
-    ]
+    def postings(column: str, weight: str) -> Column:
+        words = F.filter(F.split(F.lower(F.coalesce(F.col(column), F.lit(""))), TOKEN_SPLIT), lambda t: t != "")
+        return F.transform(words, lambda t: F.struct(t.alias("token"), F.lit(weight).cast("decimal(6,2)").alias("weight")))
+
+    parts = [postings(c, w) for c, w in weights if c in canon.columns]
     exploded = canon.select(F.col(id_col).alias("id"), F.explode(F.concat(*parts)).alias("_t")).select("id", "_t.*")
     return exploded.groupBy("token", "id").agg(F.sum("weight").cast("decimal(14,2)").alias("weight"))
 
