@@ -70,9 +70,9 @@ def main_entity(ld, types) -> Column:
     return F.coalesce(find_entity_by_type(ld, types), F.get(as_col(ld), F.lit(0)))
 
 
-def meta_pairs(html) -> Column:
-    """(name, content) of every meta tag that has both, in document order."""
-    tags = F.regexp_extract_all(visible(html), F.lit(META_TAG), F.lit(1))
+def meta_pairs(doc) -> Column:
+    """(key, value) of every meta tag with a name and a content, in order; ``doc`` is a visible page."""
+    tags = F.regexp_extract_all(as_col(doc), F.lit(META_TAG), F.lit(1))
     pairs = F.transform(
         tags,
         lambda t: F.struct(
@@ -83,9 +83,9 @@ def meta_pairs(html) -> Column:
     return F.filter(pairs, lambda p: p["key"].isNotNull() & p["value"].isNotNull())
 
 
-def extract_open_graph(html) -> Column:
-    """og:, product: and twitter: metas as a map; a later tag wins over an earlier one."""
-    wanted = F.filter(meta_pairs(html), lambda p: p["key"].rlike("^(og|product|twitter):"))
+def open_graph_of(metas) -> Column:
+    """og:, product: and twitter: pairs as a map; a later tag wins over an earlier one."""
+    wanted = F.filter(as_col(metas), lambda p: p["key"].rlike("^(og|product|twitter):"))
 
     def last_of_each(pairs: Column) -> Column:
         keys = F.transform(pairs, lambda p: p["key"])
@@ -95,25 +95,35 @@ def extract_open_graph(html) -> Column:
     return let(wanted, last_of_each)
 
 
+def extract_open_graph(html) -> Column:
+    return open_graph_of(meta_pairs(visible(html)))
+
+
 def inner_text(c) -> Column:
     """Text content of an HTML fragment: tags removed, entities decoded, ends trimmed."""
     return strip(decode_entities(F.regexp_replace(as_col(c), "(?s)<[^>]*>", "")))
 
 
-def page_title(html, og) -> Column:
-    doc = visible(html)
-    h1 = non_empty(inner_text(F.regexp_extract(doc, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)))
-    title = inner_text(F.regexp_extract(doc, r"(?is)<title\b[^>]*>(.*?)</title>", 1))
+def title_of(doc, og) -> Column:
+    """og:title, else the first heading, else the title element of a visible page."""
+    h1 = non_empty(inner_text(F.regexp_extract(as_col(doc), r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)))
+    title = inner_text(F.regexp_extract(as_col(doc), r"(?is)<title\b[^>]*>(.*?)</title>", 1))
     return F.coalesce(non_empty(F.try_element_at(as_col(og), F.lit("og:title"))), h1, title)
 
 
+def description_of(metas, og) -> Column:
+    """og:description, else the description meta, else ''."""
+    named = F.filter(as_col(metas), lambda p: p["key"] == "description")
+    stated = non_empty(F.try_element_at(as_col(og), F.lit("og:description")))
+    return F.coalesce(stated, F.get(F.transform(named, lambda p: p["value"]), F.lit(0)), F.lit(""))
+
+
+def page_title(html, og) -> Column:
+    return title_of(visible(html), og)
+
+
 def page_description(html, og) -> Column:
-    named = F.filter(meta_pairs(html), lambda p: p["key"] == "description")
-    return F.coalesce(
-        non_empty(F.try_element_at(as_col(og), F.lit("og:description"))),
-        F.get(F.transform(named, lambda p: p["value"]), F.lit(0)),
-        F.lit(""),
-    )
+    return description_of(meta_pairs(visible(html)), og)
 
 
 def hrefs(html) -> Column:
@@ -122,11 +132,15 @@ def hrefs(html) -> Column:
     return F.filter(F.transform(tags, lambda t: attribute(t, "href")), lambda h: h.isNotNull())
 
 
+def image_tags(doc) -> Column:
+    """Attribute text of every image of a visible page, in document order."""
+    return F.regexp_extract_all(as_col(doc), F.lit(IMG_TAG), F.lit(1))
+
+
 def image_urls(html, lazy_attributes=("data-src", "data-lazy-src")) -> Column:
     """First filled of src and the lazy-loading attributes of every image, in document order."""
-    tags = F.regexp_extract_all(visible(html), F.lit(IMG_TAG), F.lit(1))
     pick = lambda t: F.coalesce(*(attribute(t, a) for a in ("src", *lazy_attributes)))
-    return F.filter(F.transform(tags, pick), lambda u: u.isNotNull())
+    return F.filter(F.transform(image_tags(visible(html)), pick), lambda u: u.isNotNull())
 
 
 def entity_images(entity) -> Column:

@@ -17,16 +17,21 @@ EMAIL = r"([a-zA-Z0-9._-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,})"
 # ---------------------------------------------------------------- page -> payload
 
 def with_structured_data(pages: DataFrame) -> DataFrame:
-    """JSON-LD objects, Open Graph map, title and description of each page."""
-    return pages.withColumns({"json_ld": html.extract_json_ld("html"), "og": html.extract_open_graph("html")}).withColumns({
-        "title": html.page_title("html", "og"), "description": html.page_description("html", "og"),
-    })
+    """JSON-LD objects, Open Graph map, title and description of each page; ``doc`` is its visible part.
+
+    Built in steps, so each page is stripped and its meta tags are read once.
+    """
+    read = pages.withColumn("doc", html.visible("html")).withColumn("_metas", html.meta_pairs("doc"))
+    read = read.withColumns({"json_ld": html.extract_json_ld("html"), "og": html.open_graph_of("_metas")})
+    return read.withColumns({
+        "title": html.title_of("doc", "og"), "description": html.description_of("_metas", "og"),
+    }).drop("_metas")
 
 
 def harvest_photos() -> Column:
     """Photo URLs of a page: JSON-LD images, page images, og:image; absolute and deduplicated.
 
-    Reads json_ld, og, html, url, gallery_images and the rule columns.
+    Reads json_ld, og, doc, url, gallery_images and the rule columns.
     """
     def pick(tag):
         allowed = [F.when(F.array_contains("image_attributes", a), html.attribute(tag, a)) for a in LAZY]
@@ -34,11 +39,11 @@ def harvest_photos() -> Column:
 
     absolute = lambda arr: F.transform(arr, lambda u: urls.absolutize_url(u, F.col("url")))
     entity = absolute(html.entity_images(html.main_entity("json_ld", F.col("entity_types"))))
-    tags = F.regexp_extract_all(html.visible("html"), F.lit(html.IMG_TAG), F.lit(1))
-    page_images = F.when(F.col("gallery_only"), F.col("gallery_images")).otherwise(F.transform(tags, pick))
+    found = F.transform(html.image_tags("doc"), pick)
+    page_images = F.when(F.col("gallery_only"), F.col("gallery_images")).otherwise(found)
     shown = F.filter(
         absolute(F.array_compact(page_images)),
-        lambda u: u.rlike(IMAGE_FILE) & ~F.coalesce(u.rlike(F.col("image_exclude")), F.lit(False)),
+        lambda u: u.rlike(IMAGE_FILE) & ~F.coalesce(F.regexp_like(u, F.col("image_exclude")), F.lit(False)),
     )
     og = absolute(F.array_compact(F.array(F.try_element_at("og", F.lit("og:image")))))
     ordered = F.when(F.col("photo_order") == "open_graph_first", F.concat(og, entity, shown)).otherwise(
@@ -49,7 +54,7 @@ def harvest_photos() -> Column:
 
 def _place_names(names: Column, noise, max_len) -> Column:
     trimmed = F.transform(names, strip)
-    return F.filter(trimmed, lambda n: (n != "") & (F.length(n) < max_len) & ~n.rlike(noise))
+    return F.filter(trimmed, lambda n: (n != "") & (F.length(n) < max_len) & ~F.regexp_like(n, noise))
 
 
 def extract_breadcrumbs() -> Column:
@@ -109,6 +114,7 @@ def assemble_payload(pages: DataFrame, rules: DataFrame) -> DataFrame:
             F.col("classifieds"),
             F.struct(F.col("seller_text").alias("name"), contact["phone"].alias("phone"), contact["email"].alias("email")),
         ),
+        "detail_text": F.when(F.col("breadcrumb_noise").isNotNull(), F.col("detail_text")),
         "mls_id": F.when(F.col("source") == "mlscr", F.col("mls_text")),
         "site_name": F.when(
             F.col("source") == "developers-generic",

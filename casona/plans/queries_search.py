@@ -20,7 +20,7 @@ def canon(t):
     rows = norm.to_usd(t.v_listings, "price", "price_currency", money.rate_table(t.spark), "price_usd")
     return rows.withColumns({
         "slug": F.col("source_listing_id"), "title_en": F.col("title"), "title_es": F.col("locality"),
-        "description_en": F.col("description"), "region_slug": geo.region_by_bbox("lat", "lng"),
+        "description_en": F.col("description"), "description_es": F.lit(None).cast("string"), "region_slug": geo.region_by_bbox("lat", "lng"),
         "categories": enrich.derive_categories("property_type", "price_usd", F.lit(None).cast("double"), "features", "tags_ai"),
     })
 

@@ -235,14 +235,14 @@ def apply_human_fields(t):
 
 @query("delete_cascade", """
     SELECT 'listings' AS part, count(*) AS n, CAST(sum(id) AS BIGINT) AS keys FROM v_listings WHERE id NOT IN (SELECT p_partkey FROM part)
-    UNION ALL SELECT 'photos', count(*), CAST(sum(photo_id) AS BIGINT) FROM v_photos WHERE listing_id NOT IN (SELECT p_partkey FROM part)
+    UNION ALL SELECT 'photos', count(*), CAST(sum(position) AS BIGINT) FROM v_photos WHERE listing_id NOT IN (SELECT p_partkey FROM part)
     UNION ALL SELECT 'links', count(*), CAST(sum(raw_id) AS BIGINT) FROM v_links WHERE canonical_id NOT IN (SELECT p_partkey FROM part)""")
 def delete_cascade(t):
     out = up.delete_cascade(
         t.part.select(F.col("p_partkey").alias("id")), t.v_listings,
         {"photos": (t.v_photos, "listing_id"), "links": (t.v_links, "canonical_id")})
     row = lambda name, key: out[name].agg(F.count("*").alias("n"), F.sum(key).alias("keys")).select(F.lit(name).alias("part"), "n", "keys")
-    return row("listings", "id").unionByName(row("photos", "photo_id")).unionByName(row("links", "raw_id"))
+    return row("listings", "id").unionByName(row("photos", "position")).unionByName(row("links", "raw_id"))
 
 
 @query("ensure_columns", """

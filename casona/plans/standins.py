@@ -166,7 +166,7 @@ SELECT page_id, page_id % 5 AS kind,
  || '<script type="application/ld+json">{{"@context":"https://schema.org","@graph":[{{"@type":["Thing","residence"],"name":"Casa ' || CAST(page_id AS STRING)
  || '","sku":"SKU' || CAST(page_id AS STRING) || '","image":["/img/a' || CAST(page_id AS STRING) || '.jpg?w=100",{{"url":"https://cdn.example.com/500x500/b.jpg"}}]}}]}}</script>'
  || '</head><body><div class="photo-gallery"><img src="/img/a' || CAST(page_id AS STRING) || '.jpg?w=900"><img data-src="//cdn.example.com/w_640/b.jpg"><img src="/logo.png"></div>'
- || '<main class="listing-detail"><p>Casa en Tamarindo ' || CAST(page_id AS STRING) || ' tel +506 8' || CAST(100 + page_id % 900 AS STRING) || '-1234 ventas' || CAST(page_id AS STRING) || '@example.com</p></main>'
+ || '<main class="listing-detail"><p>Casa en Tamarindo ' || CAST(page_id AS STRING) || ' tel +506 8' || CAST(100 + page_id % 900 AS STRING) || '-1234 ventas' || CAST(page_id AS STRING) || '@example.com </p></main>'
  || html || '</body></html>' AS html,
  html AS page_html
 FROM {pages}

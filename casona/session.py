@@ -19,6 +19,8 @@ def get_spark(app: str = "casona", cores: str = "*", shuffle_partitions: int | N
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # call-site capture per column doubles the time to build long expressions
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -29,19 +31,20 @@ def get_spark(app: str = "casona", cores: str = "*", shuffle_partitions: int | N
     return spark
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors can reach: ``spark.checkpoint.dir``; made only on a local master (tests)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        folder = tempfile.mkdtemp(prefix=f"casona-{os.getpid()}-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
 
-    The folder comes from ``spark.checkpoint.dir``; only where that is unset on a local
-    master (tests) is one made.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder; cuts the lineage of iterative jobs."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix=f"casona-checkpoint-{os.getpid()}-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

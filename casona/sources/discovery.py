@@ -19,8 +19,8 @@ def page_links(search_pages: DataFrame, rules: DataFrame) -> DataFrame:
     path = F.when(F.col("href").rlike("(?i)^https?://"), urls.url_path("href")).otherwise(F.col("href"))
     found = links.withColumn("url", urls.absolutize_url("href", "base_url"))
     subject = F.when(F.col("match_on") == "path", path).when(F.col("match_on") == "href", F.col("href")).otherwise(F.col("url"))
-    wanted = subject.rlike(F.col("href_pattern")) & (F.col("url") != "")
-    unwanted = F.coalesce(F.col("url").rlike(F.col("exclude_pattern")), F.lit(False))
+    wanted = F.regexp_like(subject, F.col("href_pattern")) & (F.col("url") != "")
+    unwanted = F.coalesce(F.regexp_like("url", F.col("exclude_pattern")), F.lit(False))
     return found.filter(wanted & ~unwanted).select("source", "page", "pos", "url")
 
 
