@@ -23,68 +23,80 @@ class _Page(HTMLParser):
     def __init__(self, classifieds: bool):
         super().__init__(convert_charrefs=True)
         self.classifieds = classifieds
-        self.open: list[tuple[str, set[str]]] = []
+        self.open: list[tuple[str, tuple[str, ...], tuple[list, ...]]] = []  # tag, zones, texts it feeds
+        self.zones: dict[str, int] = {}  # open elements per zone
+        self.sinks: list[list] = []  # text buffers being filled
         self.texts: dict[str, list[str]] = {}
-        self.closed: set[str] = set()
-        self.crumbs: list[str] = []
+        self.crumbs: list[list[str]] = []
         self.images: list[str] = []
         self.data_id: str | None = None
 
-    def _roles(self, tag: str, attrs: dict[str, str]) -> set[str]:
-        css, low = attrs.get("class", ""), attrs.get("class", "").lower()
-        detail = (
-            tag == "main" or "detail" in css or "listing" in css if self.classifieds
-            else tag in ("main", "article") or "property" in low or "listing" in low
-        )
-        zone = "ad-view" in attrs.get("id", "").lower() or "ad-detail" in low or "listing-detail" in low
-        found = {
-            "detail": detail,
-            "seller": any(w in low for w in ("agent", "seller", "contact")),
-            "mls": "data-mls-id" in attrs or "mls" in css,
-            "zone": zone,
-            "crumbs": "breadcrumb" in low,
-            "crumb_nav": tag == "nav" and "breadcrumb" in attrs.get("aria-label", "").lower(),
-            "gallery": tag == "picture" or bool({"gallery", "photo-gallery", "property-photos"} & set(css.split())),
-        }
-        return {role for role, hit in found.items() if hit}
-
     def handle_starttag(self, tag, attrs):
         attrs = {k: v or "" for k, v in attrs}
-        roles = self._roles(tag, attrs)
-        inside = set().union(*(r for _, r in self.open)) if self.open else set()
+        css = attrs.get("class", "")
+        low = css.lower()
+        zones, sinks = [], []
+        if attrs:
+            self._note(tag, attrs)
+            if "breadcrumb" in low:
+                zones.append("crumbs")
+            if tag == "nav" and "breadcrumb" in attrs.get("aria-label", "").lower():
+                zones.append("crumb_nav")
+            if "ad-view" in attrs.get("id", "").lower() or "ad-detail" in low or "listing-detail" in low:
+                zones.append("ad")
+            if css and {"gallery", "photo-gallery", "property-photos"} & set(css.split()):
+                zones.append("gallery")
+            if any(w in low for w in ("agent", "seller", "contact")):
+                self._first("seller", sinks)
+            if "data-mls-id" in attrs or "mls" in css:
+                self._first("mls", sinks)
+        if tag == "picture":
+            zones.append("gallery")
+        if self._is_detail(tag, css, low):
+            self._first("detail", sinks)
+        in_crumbs = self.zones.get("crumbs") and (not self.classifieds or self.zones.get("ad"))
+        if (tag == "a" and in_crumbs) or (tag == "li" and self.zones.get("crumb_nav") and not self.classifieds):
+            self.crumbs.append([])
+            sinks.append(self.crumbs[-1])
+        if tag not in VOID:
+            for z in zones:
+                self.zones[z] = self.zones.get(z, 0) + 1
+            self.sinks.extend(sinks)
+            self.open.append((tag, tuple(zones), tuple(sinks)))
+
+    def _is_detail(self, tag, css, low):
+        if self.classifieds:
+            return tag == "main" or "detail" in css or "listing" in css
+        return tag in ("main", "article") or "property" in low or "listing" in low
+
+    def _first(self, role, sinks):
+        if role not in self.texts:
+            self.texts[role] = []
+            sinks.append(self.texts[role])
+
+    def _note(self, tag, attrs):
         if self.data_id is None:
             self.data_id = attrs.get("data-listing-id") or attrs.get("data-mls-id") or None
-        if (tag == "img" and "gallery" in inside) or "data-src" in attrs:
+        if (tag == "img" and self.zones.get("gallery")) or "data-src" in attrs:
             src = attrs.get("src") or attrs.get("data-src") or attrs.get("data-original")
             if src:
                 self.images.append(src)
-        in_crumbs = "crumbs" in inside and (not self.classifieds or "zone" in inside)
-        if (tag == "a" and in_crumbs) or (tag == "li" and "crumb_nav" in inside and not self.classifieds):
-            roles.add(f"crumb:{len(self.crumbs)}")
-            self.crumbs.append("")
-        for role in roles & {"detail", "seller", "mls"}:
-            if role in self.texts:
-                roles.discard(role)
-            else:
-                self.texts[role] = []
-        if tag not in VOID:
-            self.open.append((tag, roles))
 
     def handle_endtag(self, tag):
-        if tag not in (name for name, _ in self.open):
+        if not any(name == tag for name, _, _ in reversed(self.open)):
             return
         while self.open:
-            name, _ = self.open.pop()
+            name, zones, sinks = self.open.pop()
+            for z in zones:
+                self.zones[z] -= 1
+            for sink in sinks:
+                self.sinks = [s for s in self.sinks if s is not sink]
             if name == tag:
                 return
 
     def handle_data(self, data):
-        for _, roles in self.open:
-            for role in roles:
-                if role in self.texts:
-                    self.texts[role].append(data)
-                elif role.startswith("crumb:"):
-                    self.crumbs[int(role[6:])] += data
+        for sink in self.sinks:
+            sink.append(data)
 
     def text(self, role: str) -> str | None:
         return "".join(self.texts[role]).strip() if role in self.texts else None
@@ -94,7 +106,7 @@ def _parse(html: str, classifieds: bool) -> dict:
     page = _Page(classifieds)
     page.feed(html or "")
     page.close()
-    crumbs = [" ".join(c.split()) for c in page.crumbs]
+    crumbs = [" ".join("".join(c).split()) for c in page.crumbs]
     seller = page.text("seller")
     return {
         "detail_text": (page.text("detail") or "")[: refdata.DETAIL_TEXT_CHARS],

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from casona import refdata
-from casona.functions.text import as_col, let
+from casona.functions.text import as_col
 
 EARTH_KM = 6371.0
 
@@ -44,41 +44,41 @@ def region_by_bbox(lat, lng, boxes: Sequence[tuple] = tuple(refdata.REGION_BOXES
     )
 
 
-def nearest_place(lat, lng, places: Sequence[tuple[str, float, float]], max_km: float = refdata.MAX_POI_KM) -> Column:
-    """Nearest of a short fixed list of (name, lat, lng) as struct(km, name); null beyond ``max_km``.
-
-    The list is part of the plan, so there is no join and no shuffle: one pass over each
-    row compares squared half-chords and takes the arc sine of the winner only. Lists of
-    thousands of places belong in ``operators.normalize.nearest_poi_table``.
+def unit_vector(lat, lng) -> dict[str, Column]:
+    """Point on the unit sphere as columns _x, _y, _z; null outside the country box."""
+    inside = in_country(lat, lng)
+    lat, lng = F.radians(as_col(lat).cast("double")), F.radians(as_col(lng).cast("double"))
+    return {
+        "_x": F.when(inside, F.cos(lat) * F.cos(lng)), "_y": F.when(inside, F.cos(lat) * F.sin(lng)),
+        "_z": F.when(inside, F.sin(lat)),
+    }
+
+
+def _squares(places: Sequence[tuple[str, float, float]]) -> list[str]:
+    """Squared straight-line distance from (_x, _y, _z) to each place, as SQL text."""
+    out = []
+    for _, lat, lng in places:
+        la, lo = math.radians(lat), math.radians(lng)
+        spot = {"_x": math.cos(la) * math.cos(lo), "_y": math.cos(la) * math.sin(lo), "_z": math.sin(la)}
+        terms = [f"({axis} - ({v!r}D)) * ({axis} - ({v!r}D))" for axis, v in spot.items()]
+        out.append("(" + " + ".join(terms) + ")")
+    return out
+
+
+def nearest_square(places: Sequence[tuple[str, float, float]]) -> Column:
+    """Smallest squared distance to a short fixed list of (name, lat, lng), from _x, _y, _z.
+
+    The list is part of the plan, so there is no join and no shuffle, and one place costs a few
+    multiplications in generated code: straight-line distances order places as distances on the
+    sphere do. Lists of thousands of places belong in ``operators.normalize.nearest_poi_table``.
     """
-    if not places:
-        return F.lit(None).cast("struct<km:double,name:string>")
-    # constants of each place are folded on the driver: radians and cosine of latitude
-    rows = F.array(*(
-        F.struct(
-            F.lit(math.radians(p_lat)).alias("lat"), F.lit(math.radians(p_lng)).alias("lng"),
-            F.lit(math.cos(math.radians(p_lat))).alias("cos"), F.lit(i).alias("ord"), F.lit(name).alias("name"),
-        )
-        for i, (name, p_lat, p_lng) in enumerate(places)
-    ))
-    origin = F.struct(
-        F.radians(as_col(lat).cast("double")).alias("lat"),
-        F.radians(as_col(lng).cast("double")).alias("lng"),
-        F.cos(F.radians(as_col(lat).cast("double"))).alias("cos"),
-    )
+    squares = _squares(places)
+    return F.expr(f"least({', '.join(squares)}, {squares[0]})")
 
-    def best(o: Column) -> Column:
-        def candidate(p):
-            s_lat = F.sin((p["lat"] - o["lat"]) / 2)
-            s_lng = F.sin((p["lng"] - o["lng"]) / 2)
-            chord = s_lat * s_lat + o["cos"] * p["cos"] * s_lng * s_lng
-            return F.struct(chord.alias("chord"), p["ord"].alias("ord"), p["name"].alias("name"))
 
-        return F.array_min(F.transform(rows, candidate))
-
-    def result(b: Column) -> Column:
-        km = _chord_to_km(b["chord"])
-        return F.when(km <= max_km, F.struct(km.alias("km"), b["name"].alias("name")))
-
-    inside = in_country(lat, lng)
-    return F.when(inside, let(let(origin, best), result))
+def nearest_place(square: str, places: Sequence[tuple[str, float, float]], max_km: float = refdata.MAX_POI_KM) -> Column:
+    """struct(km, name) of the first place at the ``nearest_square`` in that column; null beyond ``max_km``."""
+    name = "CASE " + " ".join(
+        f"WHEN {sq} = {square} THEN r'{n}'" for sq, (n, _, _) in zip(_squares(places), places)) + " END"
+    km = F.lit(2 * EARTH_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(F.col(square)) / 2))
+    return F.when(km <= max_km, F.struct(km.alias("km"), F.expr(name).alias("name")))

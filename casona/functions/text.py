@@ -11,7 +11,7 @@ from casona import refdata
 
 # Whitespace as browsers define it; Java's \s leaves out the Unicode spaces.
 WS_CHARS = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
-WS = f"[{WS_CHARS}]"
+WS = r"[\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
 
 def as_col(c) -> Column:
@@ -84,16 +84,21 @@ def _decode_references(text: Column, token: str, digits: str, base: int) -> Colu
 
 def decode_entities(c) -> Column:
     """Named entities in table order, then decimal, then hexadecimal references; null gives ''."""
-    out = F.coalesce(as_col(c), F.lit(""))
-    for entity, char in refdata.ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
 
-    def numeric(text):
+    def named(text: Column) -> Column:
+        out = text
+        for entity, char in refdata.ENTITIES:
+            out = F.replace(out, F.lit(entity), F.lit(char))
+        return out
+
+    def numeric(text: Column) -> Column:
         decimal = _decode_references(text, "&#[0-9]+;", "^&#0*([0-9]{1,7});$", 10)
         both = _decode_references(decimal, "&#x[0-9a-fA-F]+;", "^&#x0*([0-9a-fA-F]{1,6});$", 16)
         return F.when(text.contains("&#"), both).otherwise(text)
 
-    return let(out, numeric)
+    # most texts hold no entity at all and pass through untouched
+    given = F.coalesce(as_col(c), F.lit(""))
+    return let(given, lambda t: F.when(t.contains("&"), let(named(t), numeric)).otherwise(t))
 
 
 # ---------------------------------------------------------------- titles and descriptions
@@ -130,7 +135,7 @@ def clean_title(c, own_brands: Sequence[str] = ()) -> Column:
         ).otherwise(title)
 
     start = strip(F.regexp_replace(strip(decode_entities(c)), refdata.TITLE_PREFIX_NOISE, ""))
-    edge = f"[{WS_CHARS}\\-|·]+"
+    edge = WS[:-1] + r"\-|·]+"
     done = squeeze(let(start, lambda t: passes(t, 3)))
     done = strip(F.regexp_replace(done, f"^{edge}|{edge}$", ""))
     return let(done, lambda t: F.when(F.length(t) >= 3, t))
@@ -156,7 +161,7 @@ def build_slug(title, locality, key, max_len: int = 60) -> Column:
     base = F.coalesce(non_empty(title), non_empty(locality), F.lit("untitled"))
     for char, word in SLUG_WORDS:
         base = F.replace(base, F.lit(char), F.lit(word))
-    text = F.regexp_replace(strip_accents(base), f"[^A-Za-z0-9{WS_CHARS}]", "")
+    text = F.regexp_replace(strip_accents(base), "[^A-Za-z0-9" + WS[1:], "")
     slug = F.lower(F.regexp_replace(strip(text), f"{WS}+", "-"))
     capped = F.when(F.length(slug) > max_len, F.rtrim(F.substring(slug, 1, max_len), F.lit("-"))).otherwise(slug)
     suffix = F.substring(F.sha2(as_col(key).cast("string"), 256), 1, 6)

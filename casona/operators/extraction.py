@@ -172,19 +172,23 @@ def _kind(v: Column, field: str) -> Column:
 
 
 def _field_ok(v: Column, field: str, kind: str) -> Column:
-    have = _kind(v, field)
-    absent = have.isNull() | (have == "VOID")
-    number = have.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    if kind == "string":
-        return absent | (have == "STRING")
-    if kind == "boolean":
-        return absent | (have == "BOOLEAN")
-    if kind == "number":
-        return absent | number
-    if kind == "int":
-        value = F.try_variant_get(v, f"$.{field}", "double")
-        return absent | (number & (value == F.floor(value)))
-    return absent | ~have.startswith("ARRAY") | have.isin("ARRAY<STRING>", "ARRAY<VOID>")
+    def check(value: Column) -> Column:
+        have = F.schema_of_variant(value)
+        number = have.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+        if kind == "string":
+            ok = have == "STRING"
+        elif kind == "boolean":
+            ok = have == "BOOLEAN"
+        elif kind == "number":
+            ok = number
+        elif kind == "int":
+            whole = F.try_variant_get(value, "$", "double")
+            ok = number & (whole == F.floor(whole))
+        else:
+            ok = ~have.startswith("ARRAY") | have.isin("ARRAY<STRING>", "ARRAY<VOID>")
+        return F.when(value.isNull(), True).otherwise((have == "VOID") | F.coalesce(ok, F.lit(False)))
+
+    return let(F.try_variant_get(v, f"$.{field}", "variant"), check)
 
 
 def validate_extracted(df: DataFrame, reply: str = "reply") -> DataFrame:

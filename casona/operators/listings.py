@@ -132,7 +132,7 @@ class ListingDetail:
 def listing_detail(canon: DataFrame, photos: DataFrame, agents: DataFrame, slug: str, listing_id=None) -> ListingDetail:
     """One listing with its ordered photos, the enabled agents by name, and similar listings when its id is given."""
     listing = canon.filter(F.col("slug") == slug)
-    mine = photos.join(F.broadcast(listing.select(F.col("id").alias("listing_id"))), "listing_id").orderBy("position", "photo_id")
+    mine = photos.join(listing.select(F.col("id").alias("listing_id")), "listing_id").orderBy("position", "photo_id")
     similar = similar_listings(canon, listing_id) if listing_id is not None and "embedding" in canon.columns else None
     return ListingDetail(listing, mine, agents.filter("enabled").orderBy("name", "id"), similar)
 

@@ -15,20 +15,17 @@ from casona.functions import geo, money, text
 from casona.functions.text import as_col, let, non_empty
 from casona.session import checkpoint
 
-MAX_INLINE_RATES = 1000
-
-
 def to_usd(df: DataFrame, amount: str, currency: str, rates: DataFrame, out: str) -> DataFrame:
     """USD value of an amount column through a rates table (currency, rate per USD)."""
     return fees_to_usd(df, {amount: out}, currency, rates)
 
 
 def fees_to_usd(df: DataFrame, columns: dict[str, str], currency: str, rates: DataFrame) -> DataFrame:
-    """USD value of several amount columns sharing one currency column (in -> out), by one join."""
+    """USD value of several amount columns sharing one currency column (in -> out), by one join.
+
+    No hint: Spark broadcasts the rates when their size is under its threshold.
+    """
     lookup = rates.groupBy(F.col("currency").alias("_cur")).agg(F.max("rate").alias("_rate"))
-    # one row per currency code: a few hundred at most, checked before it is broadcast
-    if lookup.limit(MAX_INLINE_RATES + 1).count() <= MAX_INLINE_RATES:
-        lookup = F.broadcast(lookup)
     joined = df.join(lookup, df[currency] == F.col("_cur"), "left")
     return joined.withColumns(
         {out: money.usd_amount(name, currency, "_rate") for name, out in columns.items()}
@@ -37,36 +34,41 @@ def fees_to_usd(df: DataFrame, columns: dict[str, str], currency: str, rates: Da
 
 # ---------------------------------------------------------------- regions
 
-def _gazetteer_literal(gazetteer) -> Column:
-    return F.array(*(F.struct(F.lit(key).alias("key"), F.lit(region).alias("region")) for key, region in gazetteer))
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def region_by_locality_exact(name, gazetteer=tuple(refdata.GAZETTEER)) -> Column:
-    """Region of a folded name that is a gazetteer key."""
-    first = {}
+def _exact(folded: Column, gazetteer) -> Column:
+    first: dict[str, str] = {}
     for key, region in gazetteer:
         first.setdefault(key, region)
-    table = F.create_map(*(F.lit(x) for pair in first.items() for x in pair))
-    return F.try_element_at(table, text.fold_text(name))
+    table = F.expr("map(" + ", ".join(f"{_quoted(k)}, {_quoted(r)}" for k, r in first.items()) + ")")
+    return F.try_element_at(table, folded)
+
+
+def _contained(folded: Column, gazetteer) -> Column:
+    rows = ", ".join(f"named_struct('key', {_quoted(k)}, 'region', {_quoted(r)})" for k, r in gazetteer)
+    hits = F.filter(F.expr(f"array({rows})"), lambda g: folded.contains(g["key"]))
+    return F.get(hits, F.lit(0))["region"]
+
+
+def region_by_locality_exact(name, gazetteer=tuple(refdata.GAZETTEER)) -> Column:
+    """Region of a folded name that is a gazetteer key."""
+    return _exact(text.fold_text(name), gazetteer)
 
 
 def region_by_locality_contains(name, gazetteer=tuple(refdata.GAZETTEER)) -> Column:
     """Region of the first gazetteer key, in list order, that occurs in the folded name."""
-    return let(
-        text.fold_text(name),
-        lambda folded: F.get(F.filter(_gazetteer_literal(gazetteer), lambda g: folded.contains(g["key"])), F.lit(0))[
-            "region"
-        ],
-    )
+    return let(text.fold_text(name), lambda folded: _contained(folded, gazetteer))
 
 
 def region_from_levels(*names, gazetteer=tuple(refdata.GAZETTEER)) -> Column:
     """First name that yields a region; for each name the exact key goes before containment."""
-    hits = []
-    for name in names:
-        name = non_empty(as_col(name))
-        hits += [region_by_locality_exact(name, gazetteer), region_by_locality_contains(name, gazetteer)]
-    return F.coalesce(*hits)
+    def region(name) -> Column:
+        folded = text.fold_text(non_empty(as_col(name)))
+        return let(folded, lambda f: F.coalesce(_exact(f, gazetteer), _contained(f, gazetteer)))
+
+    return F.coalesce(*(region(name) for name in names))
 
 
 def assign_region(df: DataFrame) -> DataFrame:
@@ -132,7 +134,9 @@ def nearest_pois_all(df: DataFrame, max_km: float = refdata.MAX_POI_KM) -> DataF
         ],
         "beach": [(name, lat, lng) for name, lat, lng, _ in refdata.BEACHES],
     }
-    near = df.withColumns({f"_{k}": geo.nearest_place("lat", "lng", v, max_km) for k, v in kinds.items()})
+    placed = df.withColumns(geo.unit_vector("lat", "lng"))
+    squares = placed.withColumns({f"_sq_{k}": geo.nearest_square(v) for k, v in kinds.items()})
+    near = squares.withColumns({f"_{k}": geo.nearest_place(f"_sq_{k}", v, max_km) for k, v in kinds.items()})
     km = lambda k: F.round(F.col(f"_{k}.km"), 1).cast("decimal(6,1)")
     return near.withColumns({
         "distance_to_beach_km": km("beach"),
@@ -142,7 +146,7 @@ def nearest_pois_all(df: DataFrame, max_km: float = refdata.MAX_POI_KM) -> DataF
         "nearest_hospital_name": F.col("_hospital.name"),
         "distance_to_school_km": km("school"),
         "nearest_school_name": F.col("_school.name"),
-    }).drop("_airport", "_hospital", "_school", "_beach")
+    }).drop("_airport", "_hospital", "_school", "_beach", "_x", "_y", "_z", *(f"_sq_{k}" for k in kinds))
 
 
 KM_PER_DEGREE = 111.19

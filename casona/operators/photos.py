@@ -47,14 +47,17 @@ def apply_verdicts(photos: DataFrame, verdicts: DataFrame, key: str = "listing_i
 
     Photos without a verdict are accepted; a rejection becomes ``vision:`` plus 60 characters.
     """
-    judged = numbered(photos.filter("reject_reason is null"), [F.col("position"), F.col("url")], "_n", key)
-    v = verdicts.groupBy(key, F.col("i").cast("bigint").alias("_i")).agg(
+    kept = F.col("reject_reason").isNull()
+    block = F.floor(F.col("position") / POSITION_BLOCK)
+    counted = running_totals(
+        photos, [key], block, [F.col("position"), F.col("url")], {"_n": F.when(kept, 1).otherwise(0).cast("bigint")})
+    judged = counted.withColumn("_at", F.when(kept, F.col("_n") - 1))
+    v = verdicts.groupBy(F.col(key).alias("_key"), F.col("i").cast("bigint").alias("_i")).agg(
         F.max_by(F.struct("verdict", "reason"), F.struct("verdict", "reason")).alias("_v"))
-    joined = judged.join(v, (judged[key] == v[key]) & (judged["_n"] == v["_i"] + 1), "left").drop(v[key])
-    rejected = F.col("_v.verdict") == "reject"
-    vision = F.when(rejected, F.concat(F.lit("vision:"), F.substring(F.coalesce("_v.reason", F.lit("")), 1, 60)))
-    seen = joined.withColumn("reject_reason", vision).select(*photos.columns)
-    return seen.unionByName(photos.filter("reject_reason is not null"))
+    joined = judged.join(v, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_i")), "left")
+    vision = F.when(
+        F.col("_v.verdict") == "reject", F.concat(F.lit("vision:"), F.substring(F.coalesce("_v.reason", F.lit("")), 1, 60)))
+    return joined.withColumn("reject_reason", F.coalesce("reject_reason", vision)).select(*photos.columns)
 
 
 def new_photos(photos: DataFrame, existing: DataFrame, key: str = "listing_id") -> DataFrame:

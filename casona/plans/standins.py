@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casona.sources.tables import spread
+
 LISTINGS = """
 SELECT
   o_orderkey AS id,
@@ -184,6 +186,10 @@ ALL_TABLES = (
 ).split()
 
 
+# tables whose rows or texts go through costly expressions
+ROW_WORK = {"orders", "lineitem", "documents", "pages"}
+
+
 class Tables:
     """The parquet tables of one folder, and the stand-in views over them, as attributes."""
 
@@ -192,7 +198,8 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in ALL_TABLES:
-            return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            return spread(df) if name in ROW_WORK else df
         if name in VIEWS:
             return self.sql(VIEWS[name])
         raise AttributeError(name)

@@ -19,6 +19,8 @@ def get_spark(app: str = "casona", cores: str = "*", shuffle_partitions: int | N
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # methods beyond 8000 bytes of bytecode are never compiled by the JVM: use smaller ones
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # call-site capture per column doubles the time to build long expressions
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -18,6 +18,15 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
     return reader.load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table of few files over all cores, for CPU-heavy row work.
+
+    A table with at least one file per core is returned as it is, so at scale nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def read_jdbc(
     spark: SparkSession, url: str, table: str, partition_column: str, lower: str, upper: str, partitions: int,
     **options: str,

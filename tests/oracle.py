@@ -12,6 +12,7 @@ from collections import Counter
 from decimal import Decimal
 
 import duckdb
+from pyspark.sql import SparkSession
 
 from casona.plans.standins import ALL_TABLES
 
@@ -69,7 +70,11 @@ def main(names: list[str]) -> int:
     import __spark_entry__ as entry
     from casona.session import get_spark
 
-    spark = get_spark("oracle", cores="8", shuffle_partitions=8)
+    if os.environ.get("CHECK_PLAIN"):  # a session without any of the package's settings
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark.sparkContext.setLogLevel("OFF")
+    else:
+        spark = get_spark("oracle", cores="8", shuffle_partitions=8)
     con = connect()
     queries, oracles = entry.queries(), entry.oracle_sql()
     failed = 0

@@ -56,7 +56,7 @@ def test_money(spark):
 def test_nearest_place_ties_and_limit(spark):
     places = [("b", 9.0, -84.0), ("a", 9.0, -84.0), ("far", 11.9, -82.1)]
     df = spark.createDataFrame([(9.0, -84.0), (7.6, -86.4)], "lat double, lng double")
-    got = [r[0] for r in df.select(geo.nearest_place("lat", "lng", places, max_km=100)).collect()]
+    got = [r[0] for r in df.withColumns(geo.unit_vector("lat", "lng")).withColumn("s", geo.nearest_square(places)).select(geo.nearest_place("s", places, max_km=100)).collect()]
     assert got[0].name == "b" and got[0].km < 1e-6 and got[1] is None
 
 
