@@ -122,7 +122,7 @@ def photo_counts(t):
     return ph.photo_counts(t.v_listings, t.v_photos).select("id", "photo_count")
 
 
-HERO_EDITS = "SELECT l_orderkey AS listing_id, max(((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey) AS photo_id FROM {lineitem} GROUP BY l_orderkey HAVING count(*) > 4"
+HERO_EDITS = "SELECT l_orderkey AS listing_id, max((((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT)) AS photo_id FROM {lineitem} GROUP BY l_orderkey HAVING count(*) > 4"
 
 
 @query("set_hero", f"""
@@ -166,7 +166,7 @@ def split_gallery(t):
 
 
 MOVES = """
-    SELECT max(((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey) AS photo_id, CASE WHEN l_orderkey % 2 = 0 THEN -1 ELSE 1 END AS direction
+    SELECT max((((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT)) AS photo_id, CASE WHEN l_orderkey % 2 = 0 THEN -1 ELSE 1 END AS direction
     FROM {lineitem} WHERE l_returnflag <> 'R' GROUP BY l_orderkey"""
 
 

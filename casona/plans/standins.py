@@ -69,7 +69,7 @@ FROM {orders}
 
 PHOTOS = """
 SELECT l_orderkey AS listing_id,
- ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey AS photo_id,
+ (((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS photo_id,
  l_linenumber - 1 AS position,
  'https://img.example.com/' || CASE l_partkey % 9 WHEN 0 THEN 'logo/' WHEN 1 THEN 'icon/' ELSE 'p/' END
    || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || CASE WHEN l_partkey % 4 = 0 THEN '-525x328' ELSE '' END
@@ -140,7 +140,7 @@ FROM {customer}
 """
 
 LINKS = """
-SELECT ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey AS link_id,
+SELECT (((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS link_id,
  l_orderkey AS raw_id, l_partkey AS candidate_id, l_partkey AS canonical_id,
  CAST(CAST(CAST(floor(l_extendedprice) AS BIGINT) % 100 AS DOUBLE) / 100 AS DECIMAL(3,2)) AS confidence,
  CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS TIMESTAMP) END AS reviewed_at,
