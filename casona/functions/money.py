@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casona import refdata
 from casona.functions.text import as_col
+from casona.session import small_table
 
 MONEY = "decimal(14,2)"
 
@@ -13,7 +14,7 @@ MONEY = "decimal(14,2)"
 def rate_table(spark, rates: dict[str, float] | None = None) -> DataFrame:
     """Units per USD as a table (currency, rate)."""
     rows = sorted((rates or refdata.FALLBACK_RATES).items())
-    return spark.createDataFrame(rows, "currency string, rate double").select(
+    return small_table(spark, rows, "currency string, rate double").select(
         "currency", F.col("rate").cast("decimal(14,6)").alias("rate")
     )
 

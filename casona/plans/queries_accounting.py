@@ -8,6 +8,7 @@ from casona import refdata
 from casona.operators import accounting as acc
 from casona.plans.catalog import query, values
 from casona.plans.sqlparts import stamp
+from casona.session import small_table
 
 TODAY = "2001-09-01"
 
@@ -17,7 +18,7 @@ def _stamp(c):
 
 
 def prices(t):
-    return t.spark.createDataFrame(refdata.MODEL_PRICES, "family string, input double, output double")
+    return small_table(t.spark, refdata.MODEL_PRICES, "family string, input double, output double")
 
 
 PRICE_ROWS = values([(f, int(i), int(o)) for f, i, o in refdata.MODEL_PRICES], "model, pin, pout")

@@ -12,6 +12,7 @@ from casona.functions import dom, html, text, urls
 from casona.operators import extraction as ex
 from casona.plans import sqlparts as p
 from casona.plans.catalog import query
+from casona.session import small_table
 from casona.sources import discovery, rules
 
 PID = "CAST(page_id AS VARCHAR)"
@@ -320,7 +321,7 @@ def run_stages(t):
     from casona.functions import money
     from casona.plans import ingest
 
-    none = t.spark.createDataFrame([], "prompt_key string, reply string")
+    none = small_table(t.spark, [], "prompt_key string, reply string")
     copy = t.part.select(F.col("p_partkey").alias("id"), *(F.lit(None).cast("string").alias(c) for c in (
         "title_en", "title_es", "description_en", "description_es", "rewritten_en", "rewritten_es")))
     tags = t.part.select(F.col("p_partkey").alias("id"), F.array(F.lit("pool")).alias("features"), F.array(F.lit("eco")).alias("tags"))

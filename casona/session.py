@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def get_spark(app: str = "casona", cores: str = "*", shuffle_partitions: int | None = None, **conf) -> SparkSession:
@@ -33,6 +35,21 @@ def get_spark(app: str = "casona", cores: str = "*", shuffle_partitions: int | N
     return spark
 
 
+def small_table(spark: SparkSession, rows: Sequence, ddl: str) -> DataFrame:
+    """Fixed rows (tuples or dicts) as a table whose size Spark knows, so that joins to it broadcast.
+
+    ``createDataFrame`` from Python rows hides the size and would make every join to a handful of
+    lookup rows a shuffle of the big side on very few keys.
+    """
+    names = T.StructType.fromDDL(ddl).names
+    records = [r if isinstance(r, dict) else dict(zip(names, r)) for r in rows]
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(records)), f"array<struct<{_colons(ddl)}>>")))
+
+
+def _colons(ddl: str) -> str:
+    return ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in T.StructType.fromDDL(ddl).fields)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``; made only on a local master (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

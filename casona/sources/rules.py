@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casona import refdata
+from casona.session import small_table
 
 RULE_SCHEMA = """
     source string, base_url string, href_pattern string, match_on string, exclude_pattern string,
@@ -76,7 +77,7 @@ def default_rules() -> list[dict]:
 
 
 def rule_table(spark: SparkSession, rules: list[dict] | None = None) -> DataFrame:
-    return spark.createDataFrame(rules or default_rules(), RULE_SCHEMA)
+    return small_table(spark, rules or default_rules(), RULE_SCHEMA)
 
 
 CONFIG_METADATA = "start_urls array<string>, listing_url_regex string, pagination_param string, max_pages int"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casona import refdata, schemas
+from casona.session import small_table
 
 
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
@@ -65,27 +66,27 @@ def reference_tables(spark: SparkSession) -> dict[str, DataFrame]:
     """Seed tables of the model; each a handful of rows fixed in ``casona.refdata``."""
     region = [(slug, name, None, None, order) for slug, name, order in refdata.REGIONS]
     return {
-        "regions": spark.createDataFrame(
-            region, "slug string, name string, parent_region string, bbox string, display_order int"),
-        "region_boxes": spark.createDataFrame(
-            [(i, *box) for i, box in enumerate(refdata.REGION_BOXES)],
+        "regions": small_table(
+            spark, region, "slug string, name string, parent_region string, bbox string, display_order int"),
+        "region_boxes": small_table(
+            spark, [(i, *box) for i, box in enumerate(refdata.REGION_BOXES)],
             "ord int, region_slug string, min_lat double, max_lat double, min_lng double, max_lng double"),
-        "localities": spark.createDataFrame(
-            [(i, key, region) for i, (key, region) in enumerate(refdata.GAZETTEER)],
+        "localities": small_table(
+            spark, [(i, key, region) for i, (key, region) in enumerate(refdata.GAZETTEER)],
             "ord int, locality string, region_slug string"),
-        "airports": spark.createDataFrame(
-            refdata.AIRPORTS, "code string, name string, type string, lat double, lng double, region_slug string"),
-        "hospitals": spark.createDataFrame(
-            refdata.HOSPITALS, "name string, type string, lat double, lng double, region_slug string"),
-        "schools": spark.createDataFrame(
-            refdata.SCHOOLS, "name string, level string, lat double, lng double, region_slug string"),
-        "beaches": spark.createDataFrame(
-            refdata.BEACHES, "name string, lat double, lng double, region_slug string"),
-        "categories": spark.createDataFrame(refdata.CATEGORIES, "slug string, name string, display_order int"),
-        "features": spark.createDataFrame([(f,) for f in refdata.FEATURE_VOCAB], "feature string"),
-        "tags": spark.createDataFrame([(t,) for t in refdata.TAG_VOCAB], "tag string"),
-        "sources": spark.createDataFrame(refdata.SOURCES, "slug string, name string, base_url string"),
-        "model_prices": spark.createDataFrame(refdata.MODEL_PRICES, "family string, input double, output double"),
+        "airports": small_table(
+            spark, refdata.AIRPORTS, "code string, name string, type string, lat double, lng double, region_slug string"),
+        "hospitals": small_table(
+            spark, refdata.HOSPITALS, "name string, type string, lat double, lng double, region_slug string"),
+        "schools": small_table(
+            spark, refdata.SCHOOLS, "name string, level string, lat double, lng double, region_slug string"),
+        "beaches": small_table(
+            spark, refdata.BEACHES, "name string, lat double, lng double, region_slug string"),
+        "categories": small_table(spark, refdata.CATEGORIES, "slug string, name string, display_order int"),
+        "features": small_table(spark, [(f,) for f in refdata.FEATURE_VOCAB], "feature string"),
+        "tags": small_table(spark, [(t,) for t in refdata.TAG_VOCAB], "tag string"),
+        "sources": small_table(spark, refdata.SOURCES, "slug string, name string, base_url string"),
+        "model_prices": small_table(spark, refdata.MODEL_PRICES, "family string, input double, output double"),
     }
 
 
