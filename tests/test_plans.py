@@ -4,6 +4,7 @@ import pytest
 
 from casona.plans import catalog
 
+catalog.load()
 ROOT = "/root/testdata/sf0.001"
 
 
