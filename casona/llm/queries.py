@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casona.llm import topk_search, vector_dedup
+from casona.llm import topk_search, vector_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,17 @@ FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.x = vec_id
 """)
 def op7(spark, root):
     return vector_dedup.near_copies(table(spark, root, "embeddings"), threshold=0.93)
+
+
+@query("op9_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS n, sha256(h) AS x FROM p),
+m AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY x) ELSE page_id END AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, x AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM coalesce(first, page_id) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM coalesce(first, page_id) THEN first END AS refers_to
+FROM m
+""")
+def op9(spark, root):
+    archives = warc.write(table(spark, root, "pages"))
+    return warc.read(archives, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
