@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casona.llm import topk_search, vector_dedup, warc
+from casona.llm import mixing, secrets, topk_search, vector_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,41 @@ FROM m
 def op9(spark, root):
     archives = warc.write(table(spark, root, "pages"))
     return warc.read(archives, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_secrets")
+def op4(spark, root):
+    return secrets.digest(secrets.scan(table(spark, root, "documents")))
+
+
+@query("op6_mixing", r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    1.0e0 / (1.0e0 + 20.0e0 * CAST(len(regexp_extract_all(coalesce(text, ''), '[!-/:-@\[-`{-~]')) AS DOUBLE)
+      / CAST(greatest(length(coalesce(text, '')), 1) AS DOUBLE)) AS weight,
+    (CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':17'), 1, 12) AS BIGINT) AS DOUBLE) + 0.5e0) / 281474976710656.0e0 AS u
+  FROM documents),
+k AS (SELECT *, -ln(u) / weight AS key FROM d),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM k GROUP BY source),
+w AS (SELECT *, CAST((rank - 1) % 3 + 1 AS DOUBLE) AS w, CAST(3 * source_size AS DOUBLE) AS most FROM s),
+r AS (
+  SELECT *, row_number() OVER o AS place,
+    CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest_w
+  FROM w WINDOW o AS (ORDER BY most / w, rank)),
+c AS (SELECT min(place) AS cut, arg_min(rest, place) AS rest, arg_min(rest_w, place) AS rest_w FROM r WHERE most * rest_w >= w * rest),
+t AS (
+  SELECT source, source_size, CASE WHEN place < c.cut THEN most ELSE w * c.rest / c.rest_w END AS target FROM r CROSS JOIN c),
+b AS (
+  SELECT doc_id, source, size, coalesce(sum(size) OVER (
+    PARTITION BY source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k),
+e AS (
+  SELECT b.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN floor(floor(t.target) / t.source_size) ELSE 0 END AS e
+  FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  CAST(e * size + greatest(0, least(size, floor(target) - e * source_size - before)) AS BIGINT) AS taken
+FROM e
+""")
+def op6(spark, root):
+    return mixing.mix(table(spark, root, "documents")).drop("source")
