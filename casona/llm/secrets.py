@@ -19,7 +19,8 @@ LEAST_VALUE, LEAST_ACCESS = 12, 18
 # weak parts: names of accounts, addresses of services, and long tokens of mixed characters
 IDENTIFIER = r"""(?i:user(?:_?name)?|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 ENDPOINT = r"""https?://[^\x20\x09-\x0D"'<>]+"""
-BLOB = r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}"
+# the look behind keeps the look ahead to one scan a token
+BLOB = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}"
 
 #: kind: (pattern, role, part of the base result)
 KINDS = {

@@ -104,8 +104,9 @@ def read(archives: DataFrame, with_payload: bool = True, split_bytes: int = SPLI
     """
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("bigint")))
     ranges = archives.filter("bytes > 0").select("path", starts.alias("start"))
-    # tiny rows that stand for much work: deal them out one by one
-    spread = ranges.repartition(F.xxhash64("path", "start"))
+    # tiny rows that stand for much work: dealt out one by one
+    number = archives.filter("bytes > 0").agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0] or 1
+    spread = ranges.repartition(int(number))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
