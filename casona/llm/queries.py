@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casona.llm import mixing, secrets, topk_search, vector_dedup, warc
+from casona.llm import mixing, packing, secrets, topk_search, vector_dedup, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,13 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 
 
@@ -113,3 +120,13 @@ FROM e
 """)
 def op6(spark, root):
     return mixing.mix(table(spark, root, "documents")).drop("source")
+
+
+@query("op8_packing")
+def op8(spark, root):
+    return packing.packed(table(spark, root, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0)
+
+
+@query("op10_wavelet")
+def op10(spark, root):
+    return wavelet.read(wavelet.write(table(spark, root, "documents"), tokenizer("word_bpe_49k.json"), end_id=1))
