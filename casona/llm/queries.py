@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casona.llm import mixing, packing, secrets, topk_search, vector_dedup, warc, wavelet
+from casona.llm import minhash_dedup, mixing, packing, secrets, topk_search, vector_dedup, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,29 @@ def tokenizer(name: str) -> str:
 USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 
 
+@query("op1_minhash_dedup", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+g AS (SELECT doc_id, unnest(s) AS g FROM s),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM g x JOIN g y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+k AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 85 * (na.n + nb.n - shared)),
+l AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
+r AS (SELECT a AS x, a AS y FROM l UNION SELECT r.x, l.b FROM r JOIN l ON r.y = l.a),
+c AS (SELECT x, min(y) AS m FROM r GROUP BY x)
+SELECT doc_id, n AS n_shingles, coalesce(m, doc_id) AS component_id, coalesce(m, doc_id) = doc_id AS kept
+FROM n LEFT JOIN c ON x = doc_id
+""")
+def op1(spark, root):
+    return minhash_dedup.near_copies(table(spark, root, "documents"), minhash_dedup.Sketch(words=3, percent=85))
+
+
 @query("op2_topk_search", f"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS t
