@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casona.llm import minhash_dedup, mixing, packing, secrets, topk_search, vector_dedup, warc, wavelet
+from casona.llm import minhash_dedup, mixing, packing, quality_net, secrets, topk_search, vector_dedup, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,3 +153,13 @@ def op8(spark, root):
 @query("op10_wavelet")
 def op10(spark, root):
     return wavelet.read(wavelet.write(table(spark, root, "documents"), tokenizer("word_bpe_49k.json"), end_id=1))
+
+
+@query("op5_quality")
+def op5(spark, root):
+    docs, labels = table(spark, root, "documents"), table(spark, root, "labels")
+    net = quality_net.fit(docs, labels.filter(~quality_net.held_out("doc_id", 5, 0)))
+    scored = quality_net.score(docs.select("doc_id", "text"), net)
+    return scored.select(
+        "doc_id", quality_net.held_out("doc_id", 5, 0).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
