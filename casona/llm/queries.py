@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casona.llm import minhash_dedup, mixing, packing, quality_net, secrets, topk_search, vector_dedup, warc, wavelet
+from casona.llm import language_net, minhash_dedup, mixing, packing, quality_net, secrets, topk_search, vector_dedup, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,3 +163,11 @@ def op5(spark, root):
     return scored.select(
         "doc_id", quality_net.held_out("doc_id", 5, 0).alias("held_out"), F.col("quality_score").alias("score"),
         (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op3_language")
+def op3(spark, root):
+    docs = table(spark, root, "documents")
+    net = language_net.fit(docs.filter(~language_net.held_out("doc_id")))
+    return language_net.predict(docs.select("doc_id", "text"), net).select(
+        "doc_id", language_net.held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
