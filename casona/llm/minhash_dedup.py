@@ -151,7 +151,7 @@ def near_copies(docs: DataFrame, sketch: Sketch | None = None, id_col: str = "do
     shingle is one shingle, a null text or one without words is empty and links with nothing.
     Two texts link if their whole shingle sets (kept as 64-bit hashes) are ``percent`` similar or
     more. Components are those of all links, named by their smallest id; rows that repeat an id
-    are one node with the links of all of them. A null id is kept with a null component. No
+    are one node with the links of all of them. A null id is kept, with a null component. No
     documents give no rows.
 
     Equal sets are first reduced to one. Sets that share a band are candidates: each is checked
