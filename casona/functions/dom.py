@@ -8,7 +8,6 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from casona import refdata
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 FIELDS = (
@@ -102,15 +101,15 @@ class _Page(HTMLParser):
         return "".join(self.texts[role]).strip() if role in self.texts else None
 
 
-def _parse(html: str, classifieds: bool) -> dict:
+def _parse(html: str, classifieds: bool, detail_chars: int | None, seller_chars: int | None) -> dict:
     page = _Page(classifieds)
     page.feed(html or "")
     page.close()
     crumbs = [" ".join("".join(c).split()) for c in page.crumbs]
     seller = page.text("seller")
     return {
-        "detail_text": (page.text("detail") or "")[: refdata.DETAIL_TEXT_CHARS],
-        "seller_text": (seller or "")[: refdata.SELLER_TEXT_CHARS] or None,
+        "detail_text": (page.text("detail") or "")[:detail_chars],
+        "seller_text": (seller or "")[:seller_chars] or None,
         "mls_text": page.text("mls") or None,
         "data_id": page.data_id,
         "breadcrumb_links": list(dict.fromkeys(c for c in crumbs if c)),
@@ -118,11 +117,15 @@ def _parse(html: str, classifieds: bool) -> dict:
     }
 
 
-def dom_fields(pages: DataFrame, keys: list[str], classifieds: str | None = None) -> DataFrame:
+def dom_fields(
+    pages: DataFrame, keys: list[str], classifieds: str | None = None, detail_chars: int | None = None,
+    seller_chars: int | None = None,
+) -> DataFrame:
     """``keys`` plus the nested-element fields of each page, in the pages' own partitions.
 
     ``classifieds`` names a boolean column choosing the classified-ad selectors. Only keys and
-    html travel to the Python workers, in Arrow batches.
+    html travel to the Python workers, in Arrow batches. Texts are whole unless a number of
+    characters is given.
     """
     carried = keys if "html" in keys else [*keys, "html"]
     picked = pages.selectExpr(*carried, f"{classifieds or 'false'} AS _classifieds")
@@ -131,7 +134,7 @@ def dom_fields(pages: DataFrame, keys: list[str], classifieds: str | None = None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [_parse(h, bool(c)) for h, c in zip(batch["html"], batch["_classifieds"])]
+            rows = [_parse(h, bool(c), detail_chars, seller_chars) for h, c in zip(batch["html"], batch["_classifieds"])]
             found = pd.DataFrame(rows, index=batch.index, columns=[f.split()[0] for f in FIELDS.split(", ")])
             yield pd.concat([batch[keys], found], axis=1)
 

@@ -193,13 +193,13 @@ def truncate_text(c, limit: int = refdata.PROMPT_HTML_CHARS) -> Column:
 def humanize(c) -> Column:
     """``ocean_view`` -> ``Ocean View``; later letters keep their case."""
     words = F.split(as_col(c), "[_-]")
-    upper_first = F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1_000_000)))
+    upper_first = F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
     return F.array_join(upper_first, " ")
 
 
 def region_label(slug) -> Column:
     words = F.split(as_col(slug), "-")
-    upper_first = F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1_000_000)))
+    upper_first = F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
     return F.array_join(upper_first, " ")
 
 

@@ -10,7 +10,8 @@ from casona.functions.text import as_col, let, non_empty, strip
 
 def _remove_dots(path: Column) -> Column:
     """Resolve ``.`` and ``..`` segments the way browsers do."""
-    segments = F.slice(F.split(path, "/"), 2, 100_000)
+    segments = F.split(path, "/")
+    segments = F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 1, F.lit(0)))
     trailing = path.rlike(r"/\.{1,2}$")
 
     def step(acc, s):

@@ -82,15 +82,19 @@ def bathrooms_total(full="bathrooms_full", half="bathrooms_half") -> Column:
     return (F.coalesce(as_col(full).cast("decimal(4,1)"), zero) + half_bath).cast("decimal(4,1)")
 
 
-def hero_and_alt(photos: DataFrame, choices: DataFrame, key: str = "listing_id") -> DataFrame:
+def hero_and_alt(photos: DataFrame, choices: DataFrame, key: str = "listing_id", candidates: int | None = None) -> DataFrame:
     """Hero flag and alt text of photos (key, position, alt) from stored choices (key, hero_index, alt_texts).
 
-    The choice looked at the first six photos; without one the first photo is the hero, and
-    a missing alt text falls back to the photo's own.
+    ``candidates`` is the number of photos the choice looked at, if it was not all: an index beyond
+    it, a negative one and none at all make the first photo the hero. A missing alt text falls
+    back to the photo's own.
     """
     c = choices.groupBy(key).agg(F.max_by(F.struct("hero_index", "alt_texts"), "hero_index").alias("_c"))
     joined = photos.join(c, key, "left")
-    index = F.coalesce(F.when(F.col("_c.hero_index").between(0, refdata.HERO_CANDIDATES - 1), F.col("_c.hero_index")), F.lit(0))
+    offered = F.col("_c.hero_index") >= 0
+    if candidates is not None:
+        offered = offered & (F.col("_c.hero_index") < candidates)
+    index = F.coalesce(F.when(offered, F.col("_c.hero_index")), F.lit(0))
     alt = F.try_element_at(F.col("_c.alt_texts"), F.col("position").cast("string"))
     return joined.withColumns({
         "is_hero": F.col("position") == index, "alt_text": F.coalesce(alt, F.col("alt")),

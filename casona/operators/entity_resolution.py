@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,8 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from casona import refdata
 from casona.functions import geo, vectors
 from casona.functions.text import as_col
+from casona.operators.graph import connected_components
 from casona.operators.ranking import top_n_per_key
-from casona.session import checkpoint
 
 CONFIDENCE = "decimal(3,2)"
 
@@ -50,26 +51,26 @@ def _matrix(vectors_: pd.Series) -> np.ndarray:
 
 def _best_k(q_ids, q_mat, b_ids, b_mat, k, exclude_self, tile=1024) -> pd.DataFrame:
     """Best k base rows of every query row, scored tile by tile so memory stays small."""
+    names, codes = np.unique(np.concatenate([q_ids, b_ids]), return_inverse=True)
+    q_codes, b_codes = codes[: len(q_ids)], codes[len(q_ids):]
     found = []
     for start in range(0, len(b_ids), tile):
-        ids = b_ids[start:start + tile]
+        ids = b_codes[start:start + tile]
         sims = q_mat @ b_mat[start:start + tile].T
         if exclude_self:
-            sims[q_ids[:, None] == ids[None, :]] = -np.inf
+            sims[q_codes[:, None] == ids[None, :]] = -np.inf
         # ties at the cut must go to the smaller id, so rank on (similarity, id)
         order = np.lexsort((np.broadcast_to(ids, sims.shape), -sims), axis=1)[:, :k]
         rows = np.repeat(np.arange(len(q_ids)), order.shape[1])
         cols = order.ravel()
         keep = np.isfinite(sims[rows, cols])
         found.append(pd.DataFrame({
-            "query_id": q_ids[rows][keep], "base_id": ids[cols][keep], "similarity": sims[rows, cols][keep],
+            "query_id": q_codes[rows][keep], "base_id": ids[cols][keep], "similarity": sims[rows, cols][keep],
         }))
     out = pd.concat(found)
     out = out.sort_values(["query_id", "similarity", "base_id"], ascending=[True, False, True])
-    return out.groupby("query_id", sort=False).head(k)
-
-
-RESULT = "query_id bigint, base_id bigint, similarity double"
+    out = out.groupby("query_id", sort=False).head(k)
+    return out.assign(query_id=names[out.query_id.to_numpy(int)], base_id=names[out.base_id.to_numpy(int)])
 
 
 def top_k_similar(
@@ -83,14 +84,14 @@ def top_k_similar(
     that multiplies two small matrices and returns only its k best per query. The k-best lists
     are then merged by a pushed-down row_number. A hot block becomes more groups, never a
     bigger one, and scored pairs never leave their group. ``blocking`` names columns that must
-    be equal on both sides; leave it out only for small inputs, since work then grows with
+    be equal on both sides; ids keep their own type, the same on both sides. Leave it out only for small inputs, since work then grows with
     |queries| x |base|. For approximate search without blocks use ``lsh_candidates``.
     """
     blocking = blocking or []
     block = F.struct(*blocking).alias("_block") if blocking else F.lit(0).alias("_block")
 
     def chunked(df: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
-        rows = df.select(block, F.col(id_col).cast("bigint").alias(f"{prefix}_id"), F.col(vec_col).alias(f"{prefix}_vec"))
+        rows = df.select(block, F.col(id_col).alias(f"{prefix}_id"), F.col(vec_col).alias(f"{prefix}_vec"))
         rows = rows.filter(F.col(f"{prefix}_vec").isNotNull())
         sizes = rows.groupBy("_block").agg(F.ceil(F.count("*") / rows_per_chunk).cast("int").alias(f"_{prefix}_chunks"))
         return rows, sizes
@@ -114,35 +115,50 @@ def top_k_similar(
         return _best_k(l.q_id.to_numpy(), _matrix(l.q_vec), r.b_id.to_numpy(), _matrix(r.b_vec), k, exclude_self)
 
     keys = ["_block", "_qc", "_bc"]
-    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, RESULT)
+    kinds = [df.schema[id_col].dataType.simpleString() for df in (queries, base)]
+    result = f"query_id {kinds[0]}, base_id {kinds[1]}, similarity double"
+    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, result)
     return top_n_per_key(scored, ["query_id"], [F.desc("similarity"), F.asc("base_id")], k)
 
 
 def lsh_candidates(
     queries: DataFrame, base: DataFrame, min_similarity: float, id_col: str = "id", vec_col: str = "embedding",
-    bucket_length: float = 0.5, tables: int = 8, seed: int = 7,
+    missed: float = 1e-6, seed: int = 7,
 ) -> DataFrame:
-    """Approximate pairs at or above a cosine, without blocks: (query_id, base_id, similarity).
+    """Pairs at or above a cosine, without blocks: (query_id, base_id, similarity); ids keep their type.
 
-    Random projection buckets on unit vectors, where squared distance is 2 - 2 cos.
+    Signs of random projections make a signature, cut into bands of bits; rows that share a band
+    are candidates, and their exact cosine decides. A band has about log2(rows) bits, so unrelated
+    vectors rarely share one at any size of the table, and there are as many bands as it takes to
+    miss a pair at the threshold with a probability of ``missed``. Each candidate is checked once.
+    Vectors that are null or zero have no pairs.
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def unit(df):
-        norm = F.sqrt(vectors.dot(vec_col, vec_col))
-        scaled = F.transform(F.col(vec_col), lambda x: x.cast("double") / norm)
-        return df.filter(norm > 0).select(F.col(id_col).cast("bigint").alias("id"), array_to_vector(scaled).alias("v"))
-
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length, numHashTables=tables, seed=seed)
-    q, b = unit(queries), unit(base)
-    model = lsh.fit(b)
-    limit = float(np.sqrt(max(0.0, 2 - 2 * min_similarity)))
-    pairs = model.approxSimilarityJoin(q, b, limit + 1e-9, distCol="d")
-    return pairs.select(
-        F.col("datasetA.id").alias("query_id"), F.col("datasetB.id").alias("base_id"),
-        (1 - F.col("d") * F.col("d") / 2).alias("similarity"),
-    )
+    rows = base.count()
+    bits = max(8, math.ceil(math.log2(max(2, rows))))
+    alike = (1 - math.acos(min(1.0, min_similarity)) / math.pi) ** bits
+    bands = 1 if alike >= 1 else max(1, math.ceil(math.log(missed) / math.log(1 - alike)))
+
+    def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                m = np.vstack(batch["v"].to_numpy()).astype(float)
+                planes = np.random.default_rng(seed).normal(size=(m.shape[1], bands * bits))
+                signs = (m @ planes > 0).reshape(len(m), bands, bits)
+                keys = (signs * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
+                yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "bands": list(keys)})
+
+    def banded(df: DataFrame) -> DataFrame:
+        picked = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+        picked = picked.filter(F.col("v").isNotNull() & F.exists("v", lambda x: x != 0))
+        return picked.mapInPandas(signatures, f"id {df.schema[id_col].dataType.simpleString()}, v array<double>, bands array<bigint>")
+
+    q, b = banded(queries), banded(base)
+    each = lambda df, name: df.select(F.col("id").alias(name), F.posexplode("bands").alias("band", "key"))
+    pairs = each(q, "query_id").join(each(b, "base_id"), ["band", "key"]).select("query_id", "base_id").distinct()
+    full = pairs.join(q.select(F.col("id").alias("query_id"), F.col("v").alias("_q")), "query_id").join(
+        b.select(F.col("id").alias("base_id"), F.col("v").alias("_b")), "base_id")
+    return full.withColumn("similarity", vectors.cosine_similarity("_q", "_b")).filter(
+        F.col("similarity") >= min_similarity).select("query_id", "base_id", "similarity")
 
 
 # ---------------------------------------------------------------- pairs
@@ -278,59 +294,30 @@ def same_key_edges(df: DataFrame, id_col: str, keys: list[str]) -> DataFrame:
     return df.join(heads, keys).filter(F.col(id_col) != F.col("b")).select(F.col(id_col).alias("a"), "b")
 
 
-def cluster_batch(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def cluster_batch(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): (id, cluster_id) with the smallest id as cluster id.
 
-    Hash-min with pointer jumping: rounds grow with the logarithm of the longest chain. Every
-    round is two aggregating joins on integer keys and is checkpointed, so lost executors only
-    repeat the current round. Hub nodes only make one join side skewed, which AQE splits.
+    Rounds grow with the logarithm of the longest chain whatever the order of its ids.
     """
-    pairs = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    links = checkpoint(
-        pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        .filter("src <> dst")
-        .distinct()
-    )
-    labels = checkpoint(
-        links.groupBy(F.col("src").alias("id")).agg(F.least(F.col("src"), F.min("dst")).alias("label"))
-    )
-    for _ in range(max_rounds):
-        # smallest label among neighbours, then the label of that label
-        seen = (
-            links.join(labels, links.dst == labels.id)
-            .groupBy(F.col("src").alias("id"))
-            .agg(F.min("label").alias("near"))
-        )
-        lowered = labels.join(seen, "id").select("id", "label", F.least("label", "near").alias("next"))
-        hop = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
-        merged = checkpoint(
-            lowered.join(hop, "next", "left").select(
-                "id", F.col("label").alias("old"), F.least(F.col("next"), F.coalesce("far", "next")).alias("label")
-            )
-        )
-        labels = merged.select("id", "label")
-        if merged.filter("label <> old").isEmpty():
-            return labels.select("id", F.col("label").alias("cluster_id"))
-    raise RuntimeError(f"clusters did not settle in {max_rounds} rounds")
+    return connected_components(edges).select("id", F.col("component").alias("cluster_id"))
 
 
 # ---------------------------------------------------------------- review
 
 def review_queue(
-    links: DataFrame, canon: DataFrame, raw: DataFrame, low: float = 0.60, high: float = 0.85, n: int = 50
+    links: DataFrame, canon: DataFrame, raw: DataFrame, low: float = 0.60, high: float = 0.85, n: int | None = None
 ) -> DataFrame:
     """Most confident unreviewed links in [low, high] with the compared listing and the raw record.
 
-    ``n`` is the size of the report. Links carry link_id, raw_id, candidate_id, confidence, method,
-    reviewed_at; the joins see at most ``n`` rows on the left.
+    ``n`` is the size of the report, by default all. Links carry link_id, raw_id, candidate_id,
+    confidence, method, reviewed_at; the joins see only the report's rows on the left.
     """
     bound = lambda x: F.lit(str(x)).cast("decimal(4,3)")
     top = (
         links.filter(F.col("reviewed_at").isNull() & F.col("confidence").between(bound(low), bound(high)))
-        .orderBy(F.desc("confidence"), "link_id")
-        .limit(n)
     )
-    top = F.broadcast(top)  # at most n rows
+    if n is not None:
+        top = F.broadcast(top.orderBy(F.desc("confidence"), "link_id").limit(n))  # at most n rows
     c = canon.select(F.col("id").alias("candidate_id"), *(F.col(x).alias(f"canon_{x}") for x in canon.columns if x != "id"))
     r = raw.select(F.col("id").alias("raw_id"), *(F.col(x).alias(f"raw_{x}") for x in raw.columns if x != "id"))
     # big tables are filtered down to the report's rows first; both joins are inner on n rows

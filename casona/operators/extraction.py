@@ -287,10 +287,10 @@ def salvage_record(df: DataFrame, raw: str = "raw_extracted") -> DataFrame:
 
 
 def prompt_key(html_col, raw_extracted, breadcrumbs, url) -> Column:
-    """Key of a stored reply: SHA-256 over everything the prompt is made of."""
+    """Key of a stored reply: SHA-256 over url, breadcrumbs, structured data and the whole page without noise."""
     return F.sha2(F.concat_ws(
         "\n", as_col(url), F.coalesce(F.to_json(as_col(breadcrumbs)), F.lit("")), as_col(raw_extracted),
-        text.truncate_text(text.strip_noise(html_col)),
+        text.strip_noise(html_col),
     ), 256)
 
 

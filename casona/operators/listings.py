@@ -163,15 +163,16 @@ def visible_rows(df: DataFrame, table: str, role: str, listings: DataFrame | Non
     return df
 
 
-def data_grid(canon: DataFrame, group: str | None = None, n: int = 500) -> DataFrame:
-    """Newest ``n`` listings with the columns of one field group, or of all; missing columns are skipped."""
+def data_grid(canon: DataFrame, group: str | None = None, n: int | None = None) -> DataFrame:
+    """All or the newest ``n`` listings with the columns of one field group, or of all; missing columns are skipped."""
     hidden = {"description_en", "description_es", "description_raw", "extra_data"}
     if group in refdata.FIELD_GROUPS:
         fields = ["slug", *refdata.FIELD_GROUPS[group]]
     else:
         fields = [f for fs in refdata.FIELD_GROUPS.values() for f in fs if f not in hidden]
     cols = [c for c in dict.fromkeys(["id", *fields]) if c in canon.columns]
-    return canon.orderBy(F.desc_nulls_last("created_at"), "id").limit(n).select(*cols)
+    newest = canon.orderBy(F.desc_nulls_last("created_at"), "id")
+    return (newest if n is None else newest.limit(n)).select(*cols)
 
 
 def display_values(df: DataFrame) -> DataFrame:

@@ -22,14 +22,13 @@ def stage_funnel(raw: DataFrame, sources: DataFrame) -> DataFrame:
     return counts.join(s, "source_id").drop("source_id")
 
 
-def recent_runs(runs: DataFrame, sources: DataFrame, now: Column, n: int | None = 100) -> DataFrame:
+def recent_runs(runs: DataFrame, sources: DataFrame, now: Column, n: int | None = None) -> DataFrame:
     """Runs with source names and rounded duration in seconds (running ones up to ``now``), newest first."""
     micros = F.unix_micros(F.coalesce("ended_at", now)) - F.unix_micros("started_at")
     s = sources.select(F.col("id").alias("source_id"), F.col("slug").alias("source_slug"), F.col("name").alias("source_name"))
-    rows = runs.orderBy(F.desc("started_at"), "id").limit(n) if n else runs
-    out = rows.join(s, "source_id").withColumn(
+    out = runs.join(s, "source_id").withColumn(
         "duration_seconds", F.round(micros.cast("decimal(20,0)") / 1_000_000, 0).cast("bigint"))
-    return out.orderBy(F.desc("started_at"), "id") if n else out
+    return out.orderBy(F.desc("started_at"), "id").limit(n) if n else out
 
 
 def stage_order(stage: str = "stage") -> Column:
@@ -71,9 +70,10 @@ def kpis(canon: DataFrame, links: DataFrame, costs: DataFrame, today: Column, lo
     return parts.agg(*(F.max(name).alias(name) for name in parts.columns))
 
 
-def last_success_per_source(runs: DataFrame, n: int = 50) -> DataFrame:
-    """Latest succeeded run per source among the newest ``n`` runs."""
-    newest = runs.orderBy(F.desc("started_at"), "id").limit(n).filter("status = 'succeeded'")
+def last_success_per_source(runs: DataFrame, n: int | None = None) -> DataFrame:
+    """Latest succeeded run per source, of all runs or of the newest ``n``."""
+    newest = runs if n is None else runs.orderBy(F.desc("started_at"), "id").limit(n)
+    newest = newest.filter("status = 'succeeded'")
     pick = F.max_by(F.struct(F.col("id").alias("run_id"), "started_at"), F.struct("started_at", -F.col("id")))
     return newest.groupBy("source_id").agg(pick.alias("_r")).select("source_id", "_r.*")
 
@@ -82,8 +82,9 @@ def cost_trend(costs: DataFrame, today: Column, days: int = 30) -> DataFrame:
     return costs.filter(F.col("day") >= F.date_sub(today, days)).select("day", "cost_usd").orderBy("day")
 
 
-def alerts_feed(alerts: DataFrame, n: int = 20) -> DataFrame:
-    return alerts.orderBy(F.desc("created_at"), "id").limit(n)
+def alerts_feed(alerts: DataFrame, n: int | None = None) -> DataFrame:
+    newest = alerts.orderBy(F.desc("created_at"), "id")
+    return newest if n is None else newest.limit(n)
 
 
 def unread_alerts(alerts: DataFrame) -> DataFrame:

@@ -118,8 +118,8 @@ def append_photo(photos: DataFrame, adds: DataFrame, key: str = "listing_id") ->
     return kept.unionByName(added, allowMissingColumns=True)
 
 
-def gallery(photos: DataFrame, n: int = refdata.MAX_PHOTOS_PER_LISTING, key: str = "listing_id") -> DataFrame:
-    """First n photos per listing by position, with the featured one marked: the hero, else the first."""
+def gallery(photos: DataFrame, n: int | None = None, key: str = "listing_id") -> DataFrame:
+    """All or the first ``n`` photos per listing by position, with the featured one marked: the hero, else the first."""
     first = top_n_per_key(photos, [key], [F.col("position"), F.col("url")], n, "_rank")
     featured = first.groupBy(key).agg(
         F.min(F.struct((~F.col("is_hero")).cast("int"), "position", "url")).alias("_f"))

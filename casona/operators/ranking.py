@@ -6,28 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Spark pushes a per-task limit below the shuffle of a row_number filter up to this n.
-PUSHED_GROUP_LIMIT = 1000
+from casona.session import stored
 
+def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | None, rank: str = "rank") -> DataFrame:
+    """First ``n`` rows of every key in a total order, or all of them, with their 1-based rank.
 
-def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
-    """First ``n`` rows of every key in a total order, with their 1-based rank.
-
-    For small ``n`` Spark itself cuts each task's rows to ``n`` per key before the shuffle.
-    For large ``n`` keys are first cut inside 32 hashed slices of each key, so that no
-    task sees more than ``32 * n`` rows of a hot key.
+    Spark itself cuts each task's rows to ``n`` per key before the shuffle.
     """
-    if n > PUSHED_GROUP_LIMIT:
-        slice_id = F.pmod(F.xxhash64(*df.columns), F.lit(32)) if keys else F.lit(0)
-        local = Window.partitionBy(*keys, "_slice").orderBy(*order)
-        df = (
-            df.withColumn("_slice", slice_id)
-            .withColumn(rank, F.row_number().over(local))
-            .filter(F.col(rank) <= n)
-            .drop(rank, "_slice")
-        )
     over = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(over)).filter(F.col(rank) <= n)
+    ranked = df.withColumn(rank, F.row_number().over(over))
+    return ranked if n is None else ranked.filter(F.col(rank) <= n)
+
+
+def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
+    """Rows numbered from 1 in a total order, without one task that sees them all.
+
+    Rows are range partitioned and written once; counts of the ranges give the number of rows
+    before each, and only rows of one range are numbered together.
+    """
+    dealt = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "row-numbers")
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.select(F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    numbered = dealt.join(ahead, F.col("_range") == F.col("_r")).withColumn(name, F.col("_ahead") + inside)
+    return numbered.drop("_range", "_r", "_ahead")
 
 
 def running_totals(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from casona import refdata
 from casona.functions.text import as_col, humanize, non_empty
+from casona.operators.ranking import global_row_number
 
 HASHED = [
     "title_en", "description_en", "price_usd", "bedrooms", "bathrooms", "interior_sqm", "lot_sqm", "year_built", "lat",
@@ -18,8 +19,8 @@ def _strings(c) -> Column:
     return F.coalesce(as_col(c), F.array().cast("array<string>"))
 
 
-def pending_sync(canon: DataFrame, n: int | None = refdata.SYNC_LIMIT) -> DataFrame:
-    """Active or to-be-reviewed listings never sent or changed since; newest change first."""
+def pending_sync(canon: DataFrame, n: int | None = None) -> DataFrame:
+    """Active or to-be-reviewed listings never sent or changed since: all, or the ``n`` newest changes."""
     due = canon.filter(
         F.col("status").isin("active", "pending_review")
         & (F.col("wp_synced_at").isNull() | (F.col("updated_at") > F.col("wp_synced_at"))))
@@ -90,13 +91,16 @@ def publish_documents(df: DataFrame) -> DataFrame:
 
 
 def assign_batches(pending: DataFrame, size: int = refdata.SYNC_BATCH_SIZE) -> DataFrame:
-    """Batch number in update order; runs on the limited report of pending_sync, not on a whole table."""
-    order = Window.orderBy(F.desc("updated_at"), "id")
-    return pending.withColumn("batch", F.floor((F.row_number().over(order) - 1) / size).cast("int") + 1)
+    """Batch number in update order, newest change first."""
+    numbered = global_row_number(pending, [F.desc("updated_at"), F.asc("id")], "_row")
+    return numbered.withColumn("batch", F.floor((F.col("_row") - 1) / size).cast("int") + 1).drop("_row")
 
 
 def sync_log_rows(planned: DataFrame, results: DataFrame | None, at: Column, dry_run: bool = False) -> DataFrame:
-    """One log row per attempt (skips are not attempts); results are (id, post_id, http_status, error)."""
+    """One log row per attempt (skips are not attempts); results are (id, post_id, http_status, error).
+
+    An attempt without a result has failed.
+    """
     sent = planned.filter("sync_action <> 'skip'")
     if dry_run or results is None:
         return sent.select(
@@ -104,12 +108,13 @@ def sync_log_rows(planned: DataFrame, results: DataFrame | None, at: Column, dry
             F.lit("dry_run").alias("status"), F.lit(None).cast("int").alias("http_status"),
             F.lit(None).cast("string").alias("error"), at.alias("logged_at"))
     r = results.select(F.col("id").alias("_id"), "post_id", "http_status", "error")
-    ok = F.col("error").isNull()
-    return sent.join(r, sent["id"] == F.col("_id")).select(
+    answered = F.col("_id").isNotNull()
+    ok = answered & F.col("error").isNull()
+    return sent.join(r, sent["id"] == F.col("_id"), "left").select(
         F.col("id").alias("canonical_id"), F.coalesce("post_id", "wp_post_id").alias("post_id"),
         F.col("sync_action").alias("action"), F.when(ok, "success").otherwise("failed").alias("status"),
-        F.when(ok, F.lit(200)).otherwise(F.col("http_status")).cast("int").alias("http_status"), "error",
-        at.alias("logged_at"))
+        F.when(ok, F.lit(200)).otherwise(F.col("http_status")).cast("int").alias("http_status"), 
+        F.when(answered, F.col("error")).otherwise("no answer").alias("error"), at.alias("logged_at"))
 
 
 def sync_summary(planned: DataFrame, log: DataFrame) -> DataFrame:

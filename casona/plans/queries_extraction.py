@@ -131,7 +131,7 @@ def truncate_text(t):
 ARTICLE = p.strip(p.decode("regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '(?s)<[^>]*>', '', 'g')"))
 
 
-@query("detail_text", f"SELECT page_id, substr({ARTICLE}, 1, 5000) AS detail_text FROM pages")
+@query("detail_text", f"SELECT page_id, {ARTICLE} AS detail_text FROM pages")
 def detail_text(t):
     return dom.dom_fields(t.pages, ["page_id"]).select("page_id", "detail_text")
 
@@ -177,7 +177,7 @@ def page_links(t):
 
 @query("discover_listing_urls", f"""
     SELECT source, url, CAST(r AS INTEGER) AS rank FROM (SELECT source, url, row_number() OVER (PARTITION BY source ORDER BY first_at, url) AS r FROM (
-      SELECT source, url, min((page, pos)) AS first_at FROM ({LINKS_SQL}) GROUP BY 1, 2)) WHERE r <= 2000""")
+      SELECT source, url, min((page, pos)) AS first_at FROM ({LINKS_SQL}) GROUP BY 1, 2))""")
 def discover_listing_urls(t):
     return discovery.discover_listing_urls(*_search_pages(t))
 

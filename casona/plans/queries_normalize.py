@@ -319,7 +319,7 @@ def hero_and_alt(t):
         F.col("p_partkey").alias("listing_id"), (F.col("p_size") % 9).alias("hero_index"),
         F.create_map(F.lit("0"), F.concat(F.lit("front of "), "p_name"), F.lit("2"), F.col("p_brand")).alias("alt_texts"))
     photos = t.v_photos.withColumn("alt", F.concat(F.lit("photo "), F.col("width").cast("string")))
-    return enrich.hero_and_alt(photos, choices).select("photo_id", "is_hero", "alt_text")
+    return enrich.hero_and_alt(photos, choices, candidates=6).select("photo_id", "is_hero", "alt_text")
 
 
 REGION_NAMES = values([(s, n) for s, n, _ in refdata.REGIONS], "slug, name")

@@ -36,13 +36,13 @@ RUNS_SQL = f"""
 
 @query("recent_runs", RUNS_SQL + " ORDER BY r.started_at DESC, r.id LIMIT 100")
 def recent_runs(t):
-    out = ops.recent_runs(t.v_runs, t.v_sources, F.lit(NOW).cast("timestamp"))
+    out = ops.recent_runs(t.v_runs, t.v_sources, F.lit(NOW).cast("timestamp"), n=100)
     return out.select("id", "source_slug", "status", _stamp("started_at").alias("started_at"), "duration_seconds")
 
 
 @query("all_runs", RUNS_SQL)
 def all_runs(t):
-    out = ops.recent_runs(t.v_runs, t.v_sources, F.lit(NOW).cast("timestamp"), n=None)
+    out = ops.recent_runs(t.v_runs, t.v_sources, F.lit(NOW).cast("timestamp"))
     return out.select("id", "source_slug", "status", _stamp("started_at").alias("started_at"), "duration_seconds")
 
 
@@ -82,7 +82,7 @@ def kpis(t):
 
 @query("last_success_per_source", f"""
     SELECT source_id, arg_max(id, (started_at, -id)) AS run_id, {stamp('max(started_at)')} AS started_at
-    FROM (SELECT * FROM v_runs ORDER BY started_at DESC, id LIMIT 50) WHERE status = 'succeeded' GROUP BY source_id""")
+    FROM v_runs WHERE status = 'succeeded' GROUP BY source_id""")
 def last_success_per_source(t):
     return ops.last_success_per_source(t.v_runs).withColumn("started_at", _stamp("started_at"))
 
@@ -100,7 +100,7 @@ ALERTS = """
 
 @query("alerts_feed", f"SELECT id, severity, message FROM ({ALERTS.format(events='events')}) ORDER BY created_at DESC, id LIMIT 20")
 def alerts_feed(t):
-    return ops.alerts_feed(t.sql(ALERTS)).select("id", "severity", "message")
+    return ops.alerts_feed(t.sql(ALERTS), n=20).select("id", "severity", "message")
 
 
 @query("unread_alerts", f"SELECT id, severity, message FROM ({ALERTS.format(events='events')}) WHERE acknowledged_at IS NULL")

@@ -79,10 +79,15 @@ def topk_similar_unblocked(t):
     return _topk(t, k=5, rows_per_chunk=128)
 
 
-@query("lsh_candidates")
+@query("lsh_candidates", """
+    WITH b AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+    q AS (SELECT vec_id, list_transform(v, lambda x, i: x + 0.02e0 * ((i + vec_id) % 3)) AS v FROM b)
+    SELECT q.vec_id AS query_id, b.vec_id AS base_id, round(list_cosine_similarity(q.v, b.v), 6) AS similarity
+    FROM q JOIN b ON list_cosine_similarity(q.v, b.v) >= 0.9""")
 def lsh_candidates(t):
-    e = t.embeddings
-    return er.lsh_candidates(e, e, 0.3, id_col="vec_id").filter("query_id < base_id").withColumn("similarity", F.round("similarity", 6))
+    e = t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    moved = e.withColumn("embedding", F.transform("embedding", lambda x, i: x + F.lit(0.02) * ((i + 1 + F.col("vec_id")) % 3)))
+    return er.lsh_candidates(moved, e, 0.9, id_col="vec_id").withColumn("similarity", F.round("similarity", 6))
 
 
 SIDES = ["locality", "canton", "bedrooms", "bathrooms", "property_type", "mls_id", "listing_agent_name", "address_line", "price_usd", "lot_sqm", "interior_sqm", "lat", "lng"]
@@ -202,7 +207,7 @@ def cluster_batch(t):
       SELECT * FROM v_links WHERE reviewed_at IS NULL AND confidence BETWEEN 0.60 AND 0.85 ORDER BY confidence DESC, link_id LIMIT 50) q
     LEFT JOIN v_listings c ON c.id = q.candidate_id LEFT JOIN v_listings r ON r.id = q.raw_id""")
 def review_queue(t):
-    out = er.review_queue(t.v_links, t.v_listings.select("id", "title", "price"), t.v_listings.select("id", "locality"))
+    out = er.review_queue(t.v_links, t.v_listings.select("id", "title", "price"), t.v_listings.select("id", "locality"), n=50)
     return out.select("link_id", "confidence", "canon_title", "canon_price", "raw_locality")
 
 

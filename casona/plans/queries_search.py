@@ -167,7 +167,7 @@ def visible_rows_by_region(t):
     WITH c AS ({CANON_SQL}) SELECT id, slug, price, price_currency, price_usd FROM c ORDER BY last_seen_at DESC NULLS LAST, id LIMIT 500""")
 def data_grid(t):
     rows = canon(t).withColumn("created_at", F.col("last_seen_at"))
-    return ls.data_grid(rows, "Pricing").select("id", "slug", "price", "price_currency", "price_usd")
+    return ls.data_grid(rows, "Pricing", n=500).select("id", "slug", "price", "price_currency", "price_usd")
 
 
 @query("display_values", f"""

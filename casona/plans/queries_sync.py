@@ -28,12 +28,12 @@ DUE = "status IN ('active', 'pending_review') AND (wp_synced_at IS NULL OR updat
 
 @query("pending_sync", f"SELECT id, source_listing_id FROM v_listings WHERE {DUE} ORDER BY updated_at DESC, id LIMIT 200")
 def pending_sync(t):
-    return sync.pending_sync(t.v_listings).select("id", "source_listing_id")
+    return sync.pending_sync(t.v_listings, n=200).select("id", "source_listing_id")
 
 
 @query("all_pending_sync", f"SELECT id, source_listing_id FROM v_listings WHERE {DUE}")
 def all_pending_sync(t):
-    return sync.pending_sync(t.v_listings, n=None).select("id", "source_listing_id")
+    return sync.pending_sync(t.v_listings).select("id", "source_listing_id")
 
 
 PLAN_SQL = f"""
@@ -42,7 +42,7 @@ PLAN_SQL = f"""
 
 
 def _plan(t):
-    return sync.plan_sync(sync.pending_sync(_with_state(t), n=None))
+    return sync.plan_sync(sync.pending_sync(_with_state(t)))
 
 
 @query("plan_sync", PLAN_SQL + " SELECT id, sync_action FROM p")
@@ -95,17 +95,17 @@ def publish_documents(t):
 
 @query("assign_batches", f"""
     SELECT id, CAST((row_number() OVER (ORDER BY updated_at DESC, id) - 1) // 25 + 1 AS INTEGER) AS batch
-    FROM (SELECT * FROM v_listings WHERE {DUE} ORDER BY updated_at DESC, id LIMIT 200)""")
+    FROM v_listings WHERE {DUE}""")
 def assign_batches(t):
     return sync.assign_batches(sync.pending_sync(t.v_listings)).select("id", "batch")
 
 
 RESULTS = """
     SELECT l_orderkey AS id, CAST(max(l_partkey) AS INTEGER) AS post_id, CASE WHEN max(l_linenumber) >= 6 THEN 503 ELSE 200 END AS http_status,
-      CASE WHEN max(l_linenumber) >= 6 THEN 'timeout' END AS error FROM {lineitem} GROUP BY l_orderkey"""
+      CASE WHEN max(l_linenumber) >= 6 THEN 'timeout' END AS error FROM {lineitem} WHERE l_orderkey % 11 <> 0 GROUP BY l_orderkey"""
 LOG_SQL = PLAN_SQL + f""", r AS ({RESULTS.format(lineitem='lineitem')}), g AS (
-    SELECT p.id AS canonical_id, coalesce(r.post_id, p.wp_post_id) AS post_id, p.sync_action AS action, CASE WHEN r.error IS NULL THEN 'success' ELSE 'failed' END AS status,
-      r.http_status, r.error FROM p JOIN r ON r.id = p.id WHERE p.sync_action <> 'skip')"""
+    SELECT p.id AS canonical_id, coalesce(r.post_id, p.wp_post_id) AS post_id, p.sync_action AS action, CASE WHEN r.id IS NOT NULL AND r.error IS NULL THEN 'success' ELSE 'failed' END AS status,
+      r.http_status, CASE WHEN r.id IS NULL THEN 'no answer' ELSE r.error END AS error FROM p LEFT JOIN r ON r.id = p.id WHERE p.sync_action <> 'skip')"""
 
 
 def _log(t, plan):
@@ -152,7 +152,7 @@ def term_dictionary(t):
     FROM c LEFT JOIN p ON p.id = c.id LEFT JOIN r ON r.id = p.id""")
 def mark_synced(t):
     rows = _with_state(t)
-    plan = sync.plan_sync(sync.pending_sync(rows, n=None))
+    plan = sync.plan_sync(sync.pending_sync(rows))
     out = sync.mark_synced(rows, plan, t.sql(RESULTS), F.lit(AT).cast("timestamp"))
     return out.select("id", "wp_post_id", F.date_format("wp_synced_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("wp_synced_at"))
 

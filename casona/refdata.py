@@ -264,18 +264,11 @@ NAV_NOISE_RENDERED = (
 FALLBACK_RATES = {"CRC": 540.0, "USD": 1.0}
 
 # ---- fixed values: limits ----
-MAX_LISTINGS_PER_RUN = 2000
-DEFAULT_LISTINGS_PER_RUN = 2000
 PAUSE_ERROR_RATE = 0.20
 PAUSE_5XX_RATE = 0.10
 PAUSE_MIN_SAMPLE = 30
-MAX_PHOTOS_PER_LISTING = 12
-HERO_CANDIDATES = 6
 SYNC_BATCH_SIZE = 25
-SYNC_LIMIT = 200
 PROMPT_HTML_CHARS = 60_000
-DETAIL_TEXT_CHARS = 5_000
-SELLER_TEXT_CHARS = 80
 EMBEDDING_DIM = 1024
 TOP_K = 3
 MERGE_THRESHOLD = 0.85

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from casona import refdata
 from casona.functions import html, urls
 from casona.operators.ranking import top_n_per_key
 
@@ -25,11 +24,10 @@ def page_links(search_pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def discover_listing_urls(
-    search_pages: DataFrame, rules: DataFrame, requested: int | None = None,
-    configured: int = refdata.DEFAULT_LISTINGS_PER_RUN,
+    search_pages: DataFrame, rules: DataFrame, requested: int | None = None, configured: int | None = None
 ) -> DataFrame:
-    """Distinct listing URLs per source in page order, at most min(requested, configured, 2000)."""
-    cap = min(requested or configured, refdata.MAX_LISTINGS_PER_RUN)
+    """Distinct listing URLs per source in page order: all, or as many as the smaller limit given."""
+    cap = min((n for n in (requested, configured) if n is not None), default=None)
     first = page_links(search_pages, rules).groupBy("source", "url").agg(F.min(F.struct("page", "pos")).alias("_at"))
     return top_n_per_key(first, ["source"], [F.col("_at"), F.col("url")], cap).select("source", "url", "rank")
 

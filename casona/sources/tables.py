@@ -15,17 +15,7 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
         reader = reader.schema(schema)
     elif fmt in ("json", "csv"):
         raise ValueError(f"{fmt} needs a declared schema")
-    path = f"{root}/{name}.parquet" if fmt == "parquet" and not root.endswith("/tables") else f"{root}/{name}"
-    return reader.load(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a table of few files over all cores, for CPU-heavy row work.
-
-    A table with at least one file per core is returned as it is, so at scale nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return reader.load(f"{root}/{name}.parquet" if fmt == "parquet" else f"{root}/{name}")
 
 
 def read_jdbc(

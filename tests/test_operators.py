@@ -12,7 +12,7 @@ from casona.functions import geo, money
 from casona.operators import (
     accounting as acc, entity_resolution as er, enrich, extraction as ex, normalize as norm, photos as ph, sync, upsert as up,
 )
-from casona.operators.ranking import previous_row, running_totals, top_n_per_key
+from casona.operators.ranking import global_row_number, previous_row, running_totals, top_n_per_key
 
 
 def at():
@@ -168,6 +168,69 @@ def test_lsh_finds_near_copies(spark):
     assert {(p.query_id, p.base_id) for p in pairs} == {(i, i) for i in range(60)}
 
 
+def test_top_k_keeps_the_type_of_ids(spark):
+    df = spark.createDataFrame([(f"{i * 7919:08x}", [float(i % 5), 1.0]) for i in range(40)], "id string, embedding array<double>")
+    rows = er.top_k_similar(df, df, k=2, exclude_self=True, rows_per_chunk=8)
+    assert dict(rows.dtypes)["base_id"] == "string"
+    best = {r.query_id: r.base_id for r in rows.filter("rank = 1").collect()}
+    ids = [f"{i * 7919:08x}" for i in range(40)]
+    assert all(best[ids[i]] == min(x for j, x in enumerate(ids) if j % 5 == i % 5 and j != i) for i in range(40))
+
+
+def test_no_listing_url_is_dropped(spark):
+    from casona.sources import discovery
+
+    links = "".join(f'<a href="/l/{i}">x</a>' for i in range(2500))
+    pages = spark.createDataFrame([("s", 1, links)], "source string, page int, html string")
+    rules = spark.createDataFrame([("s", "https://a.b", "/l/", "url", None)], "source string, base_url string, href_pattern string, match_on string, exclude_pattern string")
+    assert discovery.discover_listing_urls(pages, rules).count() == 2500
+    assert discovery.discover_listing_urls(pages, rules, requested=2300, configured=9000).count() == 2300
+
+
+def test_prompt_key_sees_the_whole_page(spark):
+    page = "<p>" + "word " * 20000
+    df = spark.createDataFrame([(page + "a",), (page + "b",)], "html string")
+    keys = df.select(ex.prompt_key("html", F.lit("{}"), F.array(F.lit("x")), F.lit("u")).alias("k")).collect()
+    assert keys[0].k != keys[1].k
+
+
+@pytest.mark.parametrize("kind", ["chain", "hub", "giant"])
+def test_clusters_settle_whatever_the_order_of_ids(spark, kind, monkeypatch):
+    from casona.operators import graph
+
+    rounds = []
+    small = graph._small_star
+    monkeypatch.setattr(graph, "_small_star", lambda s: (rounds.append(1), small(s))[1])
+    rng = random.Random(1)
+    ids = rng.sample(range(10**9), 5001)
+    edges = {
+        "chain": list(zip(ids, ids[1:])), "hub": [(ids[0], x) for x in ids[1:]],
+        "giant": [(rng.choice(ids[:3000]), rng.choice(ids[:3000])) for _ in range(9000)],
+    }[kind]
+    got = {r.id: r.cluster_id for r in er.cluster_batch(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}
+    assert len(rounds) < 25
+
+
+def test_rows_are_numbered_across_ranges(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003 % 40).alias("k"), "id")
+    rows = global_row_number(df, [F.desc("k"), F.asc("id")], "n").orderBy("n").collect()
+    want = sorted(((r.k, r.id) for r in df.collect()), key=lambda r: (-r[0], r[1]))
+    assert [(r.n, r.k, r.id) for r in rows] == [(i + 1, *w) for i, w in enumerate(want)]
+
+
 def test_clusters_equal_union_find(spark):
     rng = random.Random(3)
     # a long chain, a hub with many leaves, and random edges
