@@ -32,17 +32,17 @@ def run_status(counters: DataFrame) -> DataFrame:
 
 def auto_pause(
     fetches: DataFrame, error_rate: float = refdata.PAUSE_ERROR_RATE, server_rate: float = refdata.PAUSE_5XX_RATE,
-    min_sample: int = refdata.PAUSE_MIN_SAMPLE, bucket: str = "hour",
+    min_sample: int = refdata.PAUSE_MIN_SAMPLE,
 ) -> DataFrame:
     """Fetches (source_id, ts, event_id, http_status) with running counts up to the first breach of each source.
 
     After ``min_sample`` attempts, an error share above ``error_rate`` or a 5xx share above
-    ``server_rate`` pauses the source; later fetches are dropped. Counts run over time
-    buckets, so one busy source is spread over many tasks.
+    ``server_rate`` pauses the source; later fetches are dropped. A busy source is
+    cut into ranges of its fetches.
     """
     one = lambda cond: F.when(cond, 1).otherwise(0).cast("bigint")
     counted = running_totals(
-        fetches, ["source_id"], F.date_trunc(bucket, "ts"), [F.col("ts"), F.col("event_id")],
+        fetches, ["source_id"], [F.col("ts"), F.col("event_id")],
         {
             "attempts": F.lit(1).cast("bigint"),
             "errors": one(F.col("http_status") >= 400),
@@ -82,16 +82,16 @@ def daily_cost_rollup(calls: DataFrame, current: DataFrame | None = None) -> Dat
     return both.groupBy("day").agg(*(F.sum(c).cast(casts.get(c, "bigint")).alias(c) for c in ROLLUP_SUMS))
 
 
-def budget_cutoff(calls: DataFrame, run_cap: float, day_cap: float, bucket: str = "hour") -> DataFrame:
+def budget_cutoff(calls: DataFrame, run_cap: float, day_cap: float) -> DataFrame:
     """Calls with running spend per run and per day; ``refused`` from the first call over a cap onwards.
 
-    Both running sums go over time buckets. Refusal per run and per day starts at the first
-    breach, found by a combining aggregate, so no task sorts a whole day of a hot key.
+    Refusal per run and per day starts at the first breach, found by a combining aggregate; a hot
+    run or day is cut into ranges.
     """
     order = [F.col("ts"), F.col("event_id")]
     rows = calls.withColumn("day", F.to_date("ts"))
-    rows = running_totals(rows, ["run_id"], F.date_trunc(bucket, "ts"), order, {"run_spend": F.col("cost_usd")})
-    rows = running_totals(rows, ["day"], F.date_trunc(bucket, "ts"), order, {"day_spend": F.col("cost_usd")})
+    rows = running_totals(rows, ["run_id"], order, {"run_spend": F.col("cost_usd")})
+    rows = running_totals(rows, ["day"], order, {"day_spend": F.col("cost_usd")})
     at = F.struct("ts", "event_id")
     run_stop = rows.filter(F.col("run_spend") > run_cap).groupBy("run_id").agg(F.min(at).alias("_run_stop"))
     day_stop = rows.filter(F.col("day_spend") > day_cap).groupBy("day").agg(F.min(at).alias("_day_stop"))
@@ -119,14 +119,14 @@ def ready_for(raw: DataFrame, stage: str) -> DataFrame:
     return out
 
 
-def price_changes(snapshots: DataFrame, bucket: str = "month") -> DataFrame:
+def price_changes(snapshots: DataFrame) -> DataFrame:
     """Price changes of each listing: (listing_id, seen_at, snapshot_id, price_usd, previous_price_usd).
 
     The first price of a listing has no previous one; unchanged snapshots are left out.
     """
     order = [F.col("seen_at"), F.col("snapshot_id")]
     seen = previous_row(
-        snapshots.filter("price_usd is not null"), ["listing_id"], F.date_trunc(bucket, "seen_at"), order,
+        snapshots.filter("price_usd is not null"), ["listing_id"], order,
         {"previous_price_usd": "price_usd"})
     return seen.filter(~F.col("price_usd").eqNullSafe(F.col("previous_price_usd")))
 

@@ -9,7 +9,6 @@ from casona.functions.text import as_col, let
 from casona.functions.urls import rewrite_thumb
 from casona.operators.ranking import running_totals, top_n_per_key
 
-POSITION_BLOCK = 10_000
 
 
 def classify_photo(url, width, height) -> Column:
@@ -38,8 +37,7 @@ def classify_photo(url, width, height) -> Column:
 
 def numbered(photos: DataFrame, order: list[Column], out: str, key: str = "listing_id", position: str = "position") -> DataFrame:
     """1-based number of each photo within its listing, safe for listings with very many photos."""
-    block = F.floor(F.col(position) / POSITION_BLOCK)
-    return running_totals(photos, [key], block, order, {out: F.lit(1).cast("bigint")})
+    return running_totals(photos, [key], order, {out: F.lit(1).cast("bigint")})
 
 
 def apply_verdicts(photos: DataFrame, verdicts: DataFrame, key: str = "listing_id") -> DataFrame:
@@ -48,9 +46,8 @@ def apply_verdicts(photos: DataFrame, verdicts: DataFrame, key: str = "listing_i
     Photos without a verdict are accepted; a rejection becomes ``vision:`` plus 60 characters.
     """
     kept = F.col("reject_reason").isNull()
-    block = F.floor(F.col("position") / POSITION_BLOCK)
     counted = running_totals(
-        photos, [key], block, [F.col("position"), F.col("url")], {"_n": F.when(kept, 1).otherwise(0).cast("bigint")})
+        photos, [key], [F.col("position"), F.col("url")], {"_n": F.when(kept, 1).otherwise(0).cast("bigint")})
     judged = counted.withColumn("_at", F.when(kept, F.col("_n") - 1))
     v = verdicts.groupBy(F.col(key).alias("_key"), F.col("i").cast("bigint").alias("_i")).agg(
         F.max_by(F.struct("verdict", "reason"), F.struct("verdict", "reason")).alias("_v"))
@@ -62,8 +59,9 @@ def apply_verdicts(photos: DataFrame, verdicts: DataFrame, key: str = "listing_i
 
 def new_photos(photos: DataFrame, existing: DataFrame, key: str = "listing_id") -> DataFrame:
     """Photos whose URL, and perceptual hash if any, the listing does not have; one per URL in the batch."""
+    ties = [c for c in ("photo_id",) if c in photos.columns]
     first = photos.groupBy(key, "url").agg(
-        F.min_by(F.struct(*(c for c in photos.columns if c not in (key, "url"))), "position").alias("_p"))
+        F.min_by(F.struct(*(c for c in photos.columns if c not in (key, "url"))), F.struct("position", *ties)).alias("_p"))
     batch = first.select(key, "url", "_p.*")
     have_url = existing.select(key, "url").distinct()
     have_hash = existing.filter("phash is not null").select(key, "phash").distinct()
@@ -104,7 +102,7 @@ def set_hero(photos: DataFrame, edits: DataFrame, key: str = "listing_id", photo
 def append_photo(photos: DataFrame, adds: DataFrame, key: str = "listing_id") -> DataFrame:
     """Hand-added photos (key, photo_id, url, alt, is_hero) after the last position; a hero add demotes the rest."""
     last = photos.groupBy(key).agg(F.max("position").alias("_last"))
-    n = running_totals(adds, [key], F.floor(F.col("photo_id") / POSITION_BLOCK), [F.col("photo_id")], {"_n": F.lit(1).cast("bigint")})
+    n = running_totals(adds, [key], [F.col("photo_id")], {"_n": F.lit(1).cast("bigint")})
     heroes = adds.filter("is_hero").groupBy(key).agg(F.max("photo_id").alias("_hero"))
     added = n.join(last, key, "left").join(heroes, key, "left").select(
         key, "photo_id", "url", F.col("alt").alias("alt_text"),

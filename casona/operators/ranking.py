@@ -33,57 +33,53 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_n
     return numbered.drop("_range", "_r", "_ahead")
 
 
-def running_totals(
-    df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column], totals: dict[str, Column]
-) -> DataFrame:
+def _dealt(df: DataFrame, keys: Sequence[str], order: Sequence[Column], label: str) -> DataFrame:
+    """Rows range partitioned by key and order and written once, with their range's number."""
+    return stored(df.repartitionByRange(*map(F.col, keys), *order).withColumn("_range", F.spark_partition_id()), label)
+
+
+def _carried(dealt: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``dealt`` with the columns that ``carried`` (_k_ keys, _k_range) brings into a range."""
+    same = dealt["_range"] == carried["_k_range"]
+    for k in keys:
+        same = same & dealt[k].eqNullSafe(carried[f"_k_{k}"])
+    return dealt.join(carried, same, "left")
+
+
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column], totals: dict[str, Column]) -> DataFrame:
     """Inclusive running sums per key in a total order, added as columns.
 
-    ``bucket`` must grow with the order (a day of a timestamp, a block of positions). Sums
-    per bucket are pre-aggregated, prefix-summed (one short row per bucket) and joined back,
-    so the ordered window runs inside (key, bucket) and a hot key is spread over its buckets.
+    The input is computed once. Range partitioning by key and order cuts a hot key into as many
+    ranges as its rows need; sums of the ranges before are carried into a range only for the keys
+    that span several, so what is joined has at most a row a range.
     """
-    work = df.withColumn("_bucket", bucket)
-    for name, value in totals.items():
-        work = work.withColumn(f"_v_{name}", value)
-    per_bucket = work.groupBy(*keys, "_bucket").agg(*(F.sum(f"_v_{n}").alias(f"_s_{n}") for n in totals))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_bucket").alias("_k_bucket"),
+    work = df.withColumns({f"_v_{name}": value for name, value in totals.items()})
+    dealt = _dealt(work, keys, order, "running-totals")
+    sums = dealt.groupBy(*keys, "_range").agg(*(F.sum(f"_v_{n}").alias(f"_s_{n}") for n in totals))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        *(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_range").alias("_k_range"), F.count("*").over(before).alias("_before"),
         *(F.sum(f"_s_{n}").over(before).alias(f"_o_{n}") for n in totals),
-    )
-    same = F.lit(True)
-    for k in keys:
-        same = same & work[k].eqNullSafe(offsets[f"_k_{k}"])
-    same = same & work["_bucket"].eqNullSafe(offsets["_k_bucket"])
-    inner = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = work.join(offsets, same, "left")
+    ).filter("_before > 0")
+    inner = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = _carried(dealt, offsets, keys)
     for name in totals:
-        kind = work.schema[f"_v_{name}"].dataType
-        zero = F.lit(0).cast(kind)
-        total = F.sum(f"_v_{name}").over(inner) + F.coalesce(F.col(f"_o_{name}"), zero)
-        out = out.withColumn(name, total)
+        zero = F.lit(0).cast(work.schema[f"_v_{name}"].dataType)
+        out = out.withColumn(name, F.sum(f"_v_{name}").over(inner) + F.coalesce(F.col(f"_o_{name}"), zero))
     return out.select(*df.columns, *totals)
 
 
-def previous_row(
-    df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column], values: dict[str, str]
-) -> DataFrame:
-    """Value of the row before, per key in a total order (out name -> column), bucketed like running_totals."""
-    work = df.withColumn("_bucket", bucket)
-    order_struct = F.struct(*order)
-    last = work.groupBy(*keys, "_bucket").agg(F.max_by(F.struct(*values.values()), order_struct).alias("_last"))
-    over = Window.partitionBy(*keys).orderBy("_bucket")
+def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: dict[str, str]) -> DataFrame:
+    """Value of the row before, per key in a total order (out name -> column), over ranges like running_totals."""
+    dealt = _dealt(df, keys, order, "previous-row")
+    last = dealt.groupBy(*keys, "_range").agg(F.max_by(F.struct(*values.values()), F.struct(*order)).alias("_last"))
     carried = last.select(
-        *(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_bucket").alias("_k_bucket"),
-        F.lag("_last").over(over).alias("_carry"),
-    )
-    same = work["_bucket"].eqNullSafe(carried["_k_bucket"])
-    for k in keys:
-        same = same & work[k].eqNullSafe(carried[f"_k_{k}"])
-    inner = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    out = work.join(carried, same, "left").withColumn("_first", F.row_number().over(inner) == 1)
+        *(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_range").alias("_k_range"),
+        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_range")).alias("_carry"),
+    ).filter("_carry IS NOT NULL")
+    inner = Window.partitionBy(*keys, "_range").orderBy(*order)
+    out = _carried(dealt, carried, keys).withColumn("_first", F.row_number().over(inner) == 1)
     for name, column in values.items():
         out = out.withColumn(
-            name, F.when(F.col("_first"), F.col(f"_carry.{column}")).otherwise(F.lag(column).over(inner))
-        )
+            name, F.when(F.col("_first"), F.col(f"_carry.{column}")).otherwise(F.lag(column).over(inner)))
     return out.select(*df.columns, *values)
