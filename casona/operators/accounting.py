@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casona import refdata
-from casona.operators.ranking import previous_row, running_totals
+from casona.operators.ranking import newest, previous_row, running_totals
 
 COST = "decimal(18,6)"
 
@@ -101,8 +101,11 @@ def budget_cutoff(calls: DataFrame, run_cap: float, day_cap: float) -> DataFrame
 
 
 def stage_transition(raw: DataFrame, outcomes: DataFrame, stage: str, key: str = "id") -> DataFrame:
-    """One stage's outcomes (key, status, error) written to the raw rows; an old error stays unless a new one comes."""
-    o = outcomes.groupBy(key).agg(F.max_by(F.struct("status", "error"), F.struct("status", "error")).alias("_o"))
+    """One stage's outcomes (key, status, error, seq) written to the raw rows, the newest of a row.
+
+    An old error stays unless that outcome brings a new one.
+    """
+    o = outcomes.groupBy(key).agg(F.max_by(F.struct("status", "error"), newest(outcomes, "status", "error")).alias("_o"))
     column = f"{stage}_status"
     return raw.join(o, key, "left").withColumns({
         column: F.coalesce("_o.status", column), "error": F.coalesce("_o.error", "error")}).drop("_o")

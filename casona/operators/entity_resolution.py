@@ -13,7 +13,7 @@ from casona import refdata
 from casona.functions import geo, vectors
 from casona.functions.text import as_col
 from casona.operators.graph import connected_components
-from casona.operators.ranking import top_n_per_key
+from casona.operators.ranking import newest, top_n_per_key
 
 CONFIDENCE = "decimal(3,2)"
 
@@ -327,10 +327,10 @@ def review_queue(
 
 
 def apply_review(links: DataFrame, decisions: DataFrame, agents: DataFrame, at: Column) -> DataFrame:
-    """Stamp decisions (link_id, decision, email) onto links; reviewer by e-mail, null when unknown."""
+    """Stamp decisions (link_id, decision, email, seq) onto links, the newest of a link; reviewer by e-mail, null when unknown."""
     who = agents.groupBy(F.col("email").alias("email")).agg(F.min("id").alias("_agent"))
     verdicts = (
-        decisions.groupBy("link_id").agg(F.max_by(F.struct("decision", "email"), F.struct("decision", "email")).alias("_d"))
+        decisions.groupBy("link_id").agg(F.max_by(F.struct("decision", "email"), newest(decisions, "decision", "email")).alias("_d"))
         .select("link_id", "_d.*").join(who, "email", "left")
         .select("link_id", F.col("decision").alias("_decision"), "_agent")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from casona import refdata
 from casona.functions.text import as_col, let
 from casona.functions.urls import rewrite_thumb
-from casona.operators.ranking import running_totals, top_n_per_key
+from casona.operators.ranking import newest, running_totals, top_n_per_key
 
 
 
@@ -92,18 +92,21 @@ def photo_counts(listings: DataFrame, photos: DataFrame, key: str = "listing_id"
 
 
 def set_hero(photos: DataFrame, edits: DataFrame, key: str = "listing_id", photo_id: str = "photo_id") -> DataFrame:
-    """The named photo of each edited listing becomes its only hero; edits are (key, photo_id)."""
-    e = edits.groupBy(key).agg(F.max(photo_id).alias("_hero"))
+    """The photo that the newest edit (key, photo_id, seq) of a listing names becomes its only hero."""
+    e = edits.groupBy(key).agg(F.max_by(photo_id, newest(edits, photo_id)).alias("_hero"))
     edited = F.col("_hero").isNotNull()
     return photos.join(e, key, "left").withColumn(
         "is_hero", F.when(edited, F.col(photo_id) == F.col("_hero")).otherwise(F.col("is_hero"))).drop("_hero")
 
 
 def append_photo(photos: DataFrame, adds: DataFrame, key: str = "listing_id") -> DataFrame:
-    """Hand-added photos (key, photo_id, url, alt, is_hero) after the last position; a hero add demotes the rest."""
+    """Hand-added photos (key, photo_id, url, alt, is_hero, seq) after the last position, in their sequence.
+
+    The newest hero add demotes the rest.
+    """
     last = photos.groupBy(key).agg(F.max("position").alias("_last"))
-    n = running_totals(adds, [key], [F.col("photo_id")], {"_n": F.lit(1).cast("bigint")})
-    heroes = adds.filter("is_hero").groupBy(key).agg(F.max("photo_id").alias("_hero"))
+    n = running_totals(adds, [key], [newest(adds, "photo_id")], {"_n": F.lit(1).cast("bigint")})
+    heroes = adds.filter("is_hero").groupBy(key).agg(F.max_by("photo_id", newest(adds, "photo_id")).alias("_hero"))
     added = n.join(last, key, "left").join(heroes, key, "left").select(
         key, "photo_id", "url", F.col("alt").alias("alt_text"),
         (F.coalesce("_last", F.lit(-1)) + F.col("_n")).cast("int").alias("position"),
@@ -133,15 +136,17 @@ def split_gallery(photos: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def swap_positions(photos: DataFrame, edits: DataFrame, key: str = "listing_id", photo_id: str = "photo_id") -> DataFrame:
-    """Each edited photo (photo_id, direction -1 or 1) trades places with its neighbour among active photos.
+    """Each edited photo (photo_id, direction -1 or 1, seq) trades places with its neighbour among active photos.
 
-    One edit per listing at a time; an edit at the end of the gallery changes nothing.
+    One edit per listing is taken, the first by ``seq``; ``surplus_moves`` has the others. An edit
+    at the end of the gallery changes nothing.
     """
     active = numbered(photos.filter(~F.col("is_rejected")), [F.col("position"), F.col(photo_id)], "_n", key)
     active = active.select(key, photo_id, "position", "_n")
-    e = edits.groupBy(photo_id).agg(F.max("direction").alias("_d"))
+    order = [c for c in ("seq",) if c in edits.columns]
+    e = edits.select(photo_id, *order, F.col("direction").alias("_d"))
     moved = active.join(e, photo_id).groupBy(key).agg(
-        F.min(F.struct("_n", photo_id, "position", "_d")).alias("_m")).select(key, "_m.*")
+        F.min(F.struct(*order, "_n", photo_id, "position", "_d")).alias("_m")).select(key, "_m.*")
     a = moved.select(key, F.col(photo_id).alias("_a"), F.col("position").alias("_pa"), (F.col("_n") + F.col("_d")).alias("_n"))
     b = active.select(key, "_n", F.col(photo_id).alias("_b"), F.col("position").alias("_pb"))
     trade = a.join(b, [key, "_n"])
@@ -150,6 +155,13 @@ def swap_positions(photos: DataFrame, edits: DataFrame, key: str = "listing_id",
     return photos.join(changes, photo_id, "left").withColumn("position", F.coalesce("_to", "position")).drop("_to")
 
 
+def surplus_moves(photos: DataFrame, edits: DataFrame, key: str = "listing_id", photo_id: str = "photo_id") -> DataFrame:
+    """Edits (photo_id, direction, seq) that wait because an earlier one of their listing was taken, or name no active photo."""
+    named = edits.join(photos.filter(~F.col("is_rejected")).select(photo_id, F.col(key).alias("_key")), photo_id, "left")
+    first = named.filter("_key IS NOT NULL").groupBy("_key").agg(F.min("seq").alias("_first"))
+    return named.join(first, "_key", "left").filter("_key IS NULL OR seq > _first").select(*edits.columns)
+
+
 def classify_and_rewrite(photos: DataFrame) -> DataFrame:
     """Full-size URLs and rule verdicts of raw photos (url, width, height, ...)."""
     return photos.withColumn("url", rewrite_thumb("url")).withColumn(

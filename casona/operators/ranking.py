@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casona.session import stored
 
+def newest(edits: DataFrame, *ties: str, seq: str = "seq") -> Column:
+    """Order of edits: by their sequence column if the table has one, then by the tie columns."""
+    return F.struct(*([seq] if seq in edits.columns else []), *ties)
+
+
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | None, rank: str = "rank") -> DataFrame:
     """First ``n`` rows of every key in a total order, or all of them, with their 1-based rank.
 

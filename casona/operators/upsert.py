@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from casona import refdata, schemas
 from casona.functions.text import non_empty, strip
+from casona.operators.ranking import newest
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -142,14 +143,22 @@ def insert_canonical(current: DataFrame, new: DataFrame, at: Column, key_columns
     return current.unionByName(fresh.select(*wanted), allowMissingColumns=True)
 
 
+def _one_change(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The newest change of every key, by ``seq`` if there is one; ties go to the largest values."""
+    rest = sorted(c for c in changes.columns if c not in keys and c != "seq")
+    return latest_per_key(changes, keys, [*(["seq"] if "seq" in changes.columns else []), *rest])
+
+
 def upsert_links(current: DataFrame, changes: DataFrame) -> DataFrame:
-    """(canonical_id, raw_id) edges; confidence and method replaced, review stamps kept."""
-    return upsert(current, changes, ["canonical_id", "raw_id"])
+    """(canonical_id, raw_id) edges; confidence and method replaced, review stamps kept. The newest change of an edge counts."""
+    keys = ["canonical_id", "raw_id"]
+    return upsert(current, _one_change(changes, keys), keys)
 
 
 def upsert_embeddings(current: DataFrame, changes: DataFrame) -> DataFrame:
-    """(canonical_id, model) vectors; vector and text hash replaced."""
-    return upsert(current, changes, ["canonical_id", "model"])
+    """(canonical_id, model) vectors; vector and text hash replaced. The newest change of a key counts."""
+    keys = ["canonical_id", "model"]
+    return upsert(current, _one_change(changes, keys), keys)
 
 
 def lineage(raw: DataFrame, links: DataFrame, canon: DataFrame, sync_log: DataFrame) -> DataFrame:
@@ -177,9 +186,9 @@ def source_urls(raw: DataFrame, links: DataFrame) -> DataFrame:
 def apply_patches(
     canon: DataFrame, patches: DataFrame, at: Column, editable: Sequence[str] | None = None, key: str = "id"
 ) -> tuple[DataFrame, DataFrame]:
-    """(next table, rejected patches). A patch is (key, fields map<string,string>).
+    """(next table, rejected patches). A patch is (key, fields map<string,string>, seq).
 
-    Only editable columns are taken, '' clears a column, and a patch without any editable column
+    Of several patches of a row every field takes its newest value by ``seq``. Only editable columns are taken, '' clears a column, and a patch without any editable column
     is rejected. Text is cast to the column's type; arrays are given as JSON.
     """
     allowed = [c for c in (editable or schemas.EDITABLE) if c in canon.columns]
@@ -189,8 +198,10 @@ def apply_patches(
     good = checked.filter(F.size("_usable") > 0)
     rejected = checked.filter(F.size("_usable") == 0).select(key, "fields").withColumn(
         "error", F.lit("no editable fields in body"))
-    p = good.groupBy(key).agg(
-        F.max_by("_usable", F.to_json("_usable")).alias("_patch")).withColumnRenamed(key, "_key")
+    each = good.select(key, *(c for c in ("seq",) if c in good.columns), F.explode("_usable").alias("_field", "_value"))
+    folded = each.groupBy(key, "_field").agg(F.max_by(F.struct("_value"), newest(each, "_value")).alias("_v"))
+    p = folded.groupBy(F.col(key).alias("_key")).agg(
+        F.map_from_entries(F.collect_list(F.struct("_field", "_v._value"))).alias("_patch"))
     joined = canon.join(p, canon[key] == F.col("_key"), "left")
     types = {f.name: f.dataType for f in canon.schema.fields}
 
@@ -246,9 +257,9 @@ def create_manual(canon: DataFrame, entries: DataFrame, at: Column, key: str = "
 
 
 def apply_human_fields(canon: DataFrame, edits: DataFrame, at: Column) -> DataFrame:
-    """tags_human and agent_id replaced where an edit (slug, tags_human, agent_id) gives them."""
-    e = edits.groupBy(F.col("slug").alias("_slug")).agg(
-        F.max("tags_human").alias("_tags"), F.max("agent_id").alias("_agent"))
+    """tags_human and agent_id replaced where an edit (slug, tags_human, agent_id, seq) gives them, the newest first."""
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), newest(edits, c)))
+    e = edits.groupBy(F.col("slug").alias("_slug")).agg(last("tags_human").alias("_tags"), last("agent_id").alias("_agent"))
     return canon.join(e, canon["slug"] == F.col("_slug"), "left").withColumns({
         "tags_human": F.coalesce("_tags", "tags_human"),
         "agent_id": F.coalesce("_agent", "agent_id"),

@@ -155,3 +155,14 @@ def price_changes(t):
 def price_history(t):
     out = acc.price_history(t.sql(SNAPSHOTS), F.lit(TODAY).cast("date"))
     return out.drop("first_seen_at", "last_seen_at")
+
+
+@query("ordered_outcomes", """
+    SELECT s.id, CASE o.status WHEN 'F' THEN 'failed' WHEN 'O' THEN 'done' WHEN 'P' THEN 'pending' ELSE s.normalize_status END AS normalize_status
+    FROM v_stages s LEFT JOIN (SELECT o_custkey AS id, arg_max(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY 1) o ON o.id = s.id""")
+def ordered_outcomes(t):
+    """Several outcomes of a record: the newest counts, whatever its name."""
+    names = F.create_map(*map(F.lit, ("F", "failed", "O", "done", "P", "pending")))
+    outcomes = t.orders.select(
+        F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("seq"), names[F.col("o_orderstatus")].alias("status"), F.lit(None).cast("string").alias("error"))
+    return acc.stage_transition(t.v_stages, outcomes, "normalize").select("id", "normalize_status")

@@ -178,3 +178,23 @@ MOVES = """
     SELECT p.photo_id, coalesce(c.pos, p.position) AS position FROM v_photos p LEFT JOIN c USING (photo_id)""")
 def swap_positions(t):
     return ph.swap_positions(t.v_photos, t.sql(MOVES)).select("photo_id", "position")
+
+
+HERO_LOG = """
+    SELECT listing_id, photo_id, ((photo_id % 1000003) * 7919) % 1000003 AS seq, CASE WHEN photo_id % 2 = 0 THEN -1 ELSE 1 END AS direction
+    FROM {v_photos} WHERE NOT is_rejected"""
+
+
+@query("ordered_heroes", f"""
+    SELECT p.photo_id, coalesce(p.photo_id = e.hero, p.is_hero) AS is_hero FROM v_photos p LEFT JOIN (
+      SELECT listing_id, arg_max(photo_id, (seq, photo_id)) AS hero FROM ({HERO_LOG.format(v_photos='v_photos')}) GROUP BY 1) e USING (listing_id)""")
+def ordered_heroes(t):
+    """Several hero edits of a listing: the newest counts."""
+    return ph.set_hero(t.v_photos, t.sql(HERO_LOG).drop("direction")).select("photo_id", "is_hero")
+
+
+@query("surplus_moves", f"""
+    SELECT photo_id, direction, seq FROM (SELECT *, min(seq) OVER (PARTITION BY listing_id) AS first FROM ({HERO_LOG.format(v_photos='v_photos')})) WHERE seq > first""")
+def surplus_moves(t):
+    """Of several moves in a listing the first by sequence is taken, the others are reported."""
+    return ph.surplus_moves(t.v_photos, t.sql(HERO_LOG).drop("listing_id"))

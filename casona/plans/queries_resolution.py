@@ -232,3 +232,16 @@ def apply_review(t):
 def similar_listings(t):
     rows = t.embeddings.select(F.col("vec_id").alias("id"), F.col("label").alias("region_slug"), F.lit("active").alias("status"), "embedding")
     return er.similar_listings(rows, 42).select("id", F.round("similarity", 6).alias("similarity"))
+
+
+@query("ordered_reviews", """
+    WITH d AS (SELECT l.link_id, arg_max(CASE WHEN o_orderstatus = 'F' THEN 'reject' ELSE 'accept' END, o_orderkey) AS decision
+      FROM v_links l JOIN orders ON o_custkey = l.raw_id GROUP BY 1)
+    SELECT l.link_id, CASE d.decision WHEN 'accept' THEN 'human' WHEN 'reject' THEN 'human_rejected' ELSE l.method END AS method
+    FROM v_links l LEFT JOIN d USING (link_id)""")
+def ordered_reviews(t):
+    """Several decisions on a link: the newest counts, be it accept or reject."""
+    decisions = t.v_links.select("link_id", "raw_id").join(t.orders, F.col("o_custkey") == F.col("raw_id")).select(
+        "link_id", F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderstatus") == "F", "reject").otherwise("accept").alias("decision"),
+        F.lit("nobody@example.com").alias("email"))
+    return er.apply_review(t.v_links, decisions, t.v_agents, F.lit("2024-06-01").cast("timestamp")).select("link_id", "method")

@@ -275,3 +275,48 @@ def referential_check(t):
 def unique_check(t):
     return up.unique_check(t.lineitem, ["l_orderkey", "l_linenumber"])
 
+
+
+EDITS = "SELECT o_custkey AS id, o_orderkey AS seq, o_orderstatus, o_orderpriority, o_totalprice FROM {orders}"
+
+
+@query("ordered_patches", """
+    WITH e AS (SELECT * FROM orders),
+    p AS (SELECT o_custkey AS id, arg_max(o_orderpriority, o_orderkey) AS title, arg_max(o_totalprice, o_orderkey) FILTER (o_orderstatus <> 'F') AS price,
+      bool_or(o_orderstatus <> 'F') AS priced FROM e GROUP BY 1)
+    SELECT l.id, coalesce(p.title, l.title) AS title_en,
+      CASE WHEN p.priced THEN CAST(p.price AS DECIMAL(14,2)) ELSE l.price END AS price
+    FROM v_listings l LEFT JOIN p ON p.id = l.id""")
+def ordered_patches(t):
+    """Several patches of a listing: each field takes its newest value, and failed orders patch only the title."""
+    title = F.create_map(F.lit("title_en"), F.col("o_orderpriority"))
+    both = F.map_concat(title, F.create_map(F.lit("price"), F.col("o_totalprice").cast("decimal(14,2)").cast("string")))
+    patches = t.sql(EDITS).select("id", "seq", F.when(F.col("o_orderstatus") == "F", title).otherwise(both).alias("fields"))
+    canon = t.v_listings.select("id", F.col("title").alias("title_en"), "price", "updated_at")
+    return up.apply_patches(canon, patches, at())[0].select("id", "title_en", "price")
+
+
+@query("ordered_human_fields", """
+    SELECT l.id, array_to_string(coalesce(e.tags, l.tags_human), '|') AS tags_human, e.agent AS agent_id FROM v_listings l LEFT JOIN (
+      SELECT o_custkey AS id, arg_max([o_orderpriority], o_orderkey) FILTER (o_orderstatus = 'O') AS tags,
+        arg_max('agent' || o_orderkey, o_orderkey) FILTER (o_orderstatus = 'F') AS agent FROM orders GROUP BY 1) e ON 'L-' || e.id = l.source_listing_id""")
+def ordered_human_fields(t):
+    canon = t.v_listings.withColumns({"slug": F.col("source_listing_id"), "agent_id": F.lit(None).cast("string")})
+    edits = t.sql(EDITS).select(
+        F.concat(F.lit("L-"), "id").alias("slug"), "seq", F.when(F.col("o_orderstatus") == "O", F.array("o_orderpriority")).alias("tags_human"),
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("agent"), "seq")).alias("agent_id"))
+    return up.apply_human_fields(canon, edits, at()).select("id", F.array_join("tags_human", "|").alias("tags_human"), "agent_id")
+
+
+@query("repeated_links", """
+    WITH n AS (SELECT o_custkey % 50 AS canonical_id, o_custkey AS raw_id, o_orderpriority AS method, o_orderkey AS seq FROM orders),
+    w AS (SELECT canonical_id, raw_id, arg_max(method, seq) AS method FROM n GROUP BY ALL),
+    o AS (SELECT c_custkey % 50 AS canonical_id, c_custkey AS raw_id, 'old' AS method FROM customer)
+    SELECT canonical_id, raw_id, coalesce(w.method, o.method) AS method FROM o FULL JOIN w USING (canonical_id, raw_id)""")
+def repeated_links(t):
+    """A batch that holds an edge several times gives it once, as its newest row says."""
+    batch = t.orders.select(
+        (F.col("o_custkey") % 50).alias("canonical_id"), F.col("o_custkey").alias("raw_id"), F.col("o_orderpriority").alias("method"),
+        F.col("o_orderkey").alias("seq"))
+    current = t.customer.select((F.col("c_custkey") % 50).alias("canonical_id"), F.col("c_custkey").alias("raw_id"), F.lit("old").alias("method"))
+    return up.upsert_links(current, batch)
