@@ -48,7 +48,8 @@ class Sketch:
             at = np.searchsorted(row, np.arange(len(offsets)))
             salted = words.copy()
             for k in range(1, self.words):
-                salted[: len(words) - k] = mix(salted[: len(words) - k] * np.uint64(0x9E3779B97F4A7C15) + words[k:])
+                n = max(0, len(words) - k)
+                salted[:n] = mix(salted[:n] * np.uint64(0x9E3779B97F4A7C15) + words[k:])
             sets = []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
                 if b - a >= self.words:

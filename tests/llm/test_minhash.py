@@ -71,6 +71,13 @@ def test_large_group_of_near_copies(spark):
     assert result(near_copies(docs)) == brute(data, 3, 85)
 
 
+@pytest.mark.parametrize("texts", [["one"], ["one", None], ["a b", ""], [None], [" "], ["a b c"], ["a", "b"]])
+def test_few_words(texts):
+    sketch = Sketch(5, 80, 48, 6)
+    got = [s for _, sets in sketch.shingles(pa.array(texts, pa.string())) for s in sets]
+    assert [len(s) for s in got] == [len(shingles(t, 5)) for t in texts]
+
+
 def test_no_documents(spark):
     assert near_copies(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
