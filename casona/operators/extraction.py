@@ -97,12 +97,11 @@ def assemble_payload(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """One raw payload per page (source, url, html): ids, structured data, breadcrumbs, photos.
 
     The rule table is a row per source and is joined by name. Nested-element fields come from one
-    mapInPandas pass in the pages' partitions, before any wide row is built; nothing is shuffled
-    beyond that join.
+    mapInPandas pass in the pages' partitions, which sees the page and one flag; rules join after it.
     """
-    ruled = pages.join(rules, "source")
-    parsed = dom.dom_fields(ruled, ruled.columns, classifieds="classifieds")
-    data = with_structured_data(parsed)
+    flagged = pages.join(rules.select("source", "classifieds"), "source")
+    parsed = dom.dom_fields(flagged, pages.columns, classifieds="classifieds")
+    data = with_structured_data(parsed.join(rules, "source"))
     entity = html.main_entity("json_ld", F.col("entity_types"))
     sku = F.coalesce(html.text_field(entity, "$.sku"), html.text_field(entity, "$.productID"), html.text_field(entity, "$.identifier"))
     contact = extract_contact(body_text("html"))

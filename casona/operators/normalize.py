@@ -96,7 +96,8 @@ def geocode_lookup(df: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
     Hits outside the country are dropped. Confidence follows the place type; coordinates
     given by the source are ``exact``. The join key is the distinct query text, so Spark
-    picks broadcast or sort-merge by the gazetteer's real size and AQE splits hot queries.
+    picks broadcast or sort-merge by the gazetteer's real size and AQE splits hot queries. Rows
+    that need no lookup get keys of their own that meet nothing, not one null key.
     """
     kind = F.col("place_type")
     confidence = (
@@ -112,7 +113,8 @@ def geocode_lookup(df: DataFrame, gazetteer: DataFrame) -> DataFrame:
                       F.struct("lat", "lng", "place_type")).alias("_hit"))
     )
     known = F.col("lat").isNotNull() & F.col("lng").isNotNull()
-    asked = df.withColumn("_ask", F.when(~known, geocode_query()))
+    asked = df.withColumn("_ask", F.coalesce(
+        F.when(~known, geocode_query()), F.concat(F.lit("\u0000"), F.xxhash64("lat", "lng").cast("string"))))
     joined = asked.join(places, F.col("_ask") == F.col("_q"), "left")
     found = F.col("_hit").isNotNull()
     return joined.withColumns({
@@ -153,14 +155,15 @@ KM_PER_DEGREE = 111.19
 
 
 def nearest_poi_table(
-    df: DataFrame, key: str, pois: DataFrame, max_km: float = refdata.MAX_POI_KM, start_deg: float = 1 / 64
+    df: DataFrame, key: str, pois: DataFrame, max_km: float = refdata.MAX_POI_KM, start_deg: float = 1 / 64, most_per_cell: int = 64
 ) -> DataFrame:
     """Nearest row of a long place table (name, lat, lng) for each listing: (key, name, km).
 
     Grid search with doubling cells: at each step listings meet the places of their own and
     the eight surrounding cells; a best hit no farther than one cell edge is final, the rest
     go on with cells twice as wide until the edge covers ``max_km``. Identical spots are
-    merged first. Exact for any table size, and no step pairs everything with everything.
+    merged first, and the first cells are halved until none holds more than ``most_per_cell``
+    places, so a dense city does not pair all with all. Exact for any table size.
     """
     spots = pois.groupBy("lat", "lng").agg(F.min("name").alias("name")).select(
         F.col("lat").cast("double").alias("p_lat"), F.col("lng").cast("double").alias("p_lng"), "name"
@@ -170,6 +173,11 @@ def nearest_poi_table(
     ).filter(geo.in_country("lat", "lng"))
     steps = F.array(*(F.lit(i) for i in (-1, 0, 1)))
     done, deg = None, start_deg
+    while deg > 2**-20:
+        crowd = spots.groupBy(F.floor(F.col("p_lat") / deg), F.floor(F.col("p_lng") / deg)).count().agg(F.max("count")).first()[0]
+        if (crowd or 0) <= most_per_cell:
+            break
+        deg /= 2
     # one degree of longitude shrinks with latitude: inside the country box by at most cos(12)
     narrow = 0.978
     while True:

@@ -39,7 +39,6 @@ def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataF
 
 
 RAW_KEY = ["source", "source_listing_id"]
-RAW_CONTENT = ["source_url", "run_id", "raw_html", "raw_extracted", "breadcrumbs", "photos", "scraped_at"]
 
 
 def upsert_raw(current: DataFrame, payloads: DataFrame, order: Sequence[str] = ("scraped_at",)) -> DataFrame:
@@ -93,9 +92,14 @@ def merge_canonical(
     """Matched rows take the change's columns by mode; last_seen_at and updated_at become ``at``.
 
     ``replace`` takes a present new value, ``fill`` only closes gaps, ``keep`` never moves. Nulls
-    and empty arrays erase nothing. ``changes`` holds one row per key (see fold_changes).
+    and empty arrays erase nothing. ``changes`` holds one row per key (see fold_changes). A column
+    that both sides have and that no mode names is an error: its new values would be lost.
     """
     modes = modes or schemas.MERGE_MODES
+    stamps = {key, "last_seen_at", "updated_at"}
+    unnamed = [c for c in current.columns if c in changes.columns and c not in modes and c not in stamps]
+    if unnamed:
+        raise ValueError(f"no merge mode for {', '.join(unnamed)}")
     n = changes.select(F.col(key).alias("_key"), F.struct(*changes.columns).alias("_new"))
     joined = current.join(n, current[key] == F.col("_key"), "left")
     touched = F.col("_key").isNotNull()
@@ -293,7 +297,7 @@ def ensure_columns(df: DataFrame, columns: dict[str, str], defaults: dict[str, C
 def touch_updated_at(current: DataFrame, nxt: DataFrame, at: Column, key: str = "id") -> DataFrame:
     """``nxt`` with updated_at moved to ``at`` on rows that differ from ``current``."""
     content = [c for c in nxt.columns if c not in (key, "updated_at") and c in current.columns]
-    digest = lambda: F.xxhash64(*(F.to_json(F.struct(c)) for c in content))
+    digest = lambda: F.sha2(F.concat_ws("\n", *(F.to_json(F.struct(c), {"ignoreNullFields": "false"}) for c in content)), 256)
     before = current.select(F.col(key).alias("_key"), digest().alias("_before"))
     changed = ~digest().eqNullSafe(F.col("_before"))
     return nxt.join(before, nxt[key] == F.col("_key"), "left").withColumn(

@@ -23,7 +23,7 @@ def run_stages(
     candidate search and the two enrichment joins. ``candidates_fn`` and ``score_fn`` are the
     injectable finder and judge; without a finder every record is created.
     """
-    out = payloads.withColumn("id", F.xxhash64("source", "source_listing_id"))
+    out = payloads.withColumn("id", F.sha2(F.to_json(F.array("source", "source_listing_id")), 256))
     if "extract" in stages:
         out = extraction.apply_extraction(out, responses)
     if "normalize" in stages:
@@ -33,7 +33,7 @@ def run_stages(
         if candidates_fn is None:
             out = out.withColumns({
                 "action": F.lit("create"), "confidence": F.lit(0).cast(er.CONFIDENCE), "method": F.lit("no_match"),
-                "candidate_id": F.lit(None).cast("bigint"), "canonical_id": F.lit(None).cast("bigint")})
+                "candidate_id": F.lit(None).cast("string"), "canonical_id": F.lit(None).cast("string")})
         else:
             out = er.resolve(out, candidates_fn, score_fn)
     if "enrich" in stages:

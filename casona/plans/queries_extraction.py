@@ -322,8 +322,8 @@ def run_stages(t):
     from casona.plans import ingest
 
     none = small_table(t.spark, [], "prompt_key string, reply string")
-    copy = t.part.select(F.col("p_partkey").alias("id"), *(F.lit(None).cast("string").alias(c) for c in (
+    copy = t.part.select(F.col("p_partkey").cast("string").alias("id"), *(F.lit(None).cast("string").alias(c) for c in (
         "title_en", "title_es", "description_en", "description_es", "rewritten_en", "rewritten_es")))
-    tags = t.part.select(F.col("p_partkey").alias("id"), F.array(F.lit("pool")).alias("features"), F.array(F.lit("eco")).alias("tags"))
+    tags = t.part.select(F.col("p_partkey").cast("string").alias("id"), F.array(F.lit("pool")).alias("features"), F.array(F.lit("eco")).alias("tags"))
     out = ingest.run_stages(payloads(t), responses=none, rates=money.rate_table(t.spark), copy=copy, tags=tags)
     return out.select("source_listing_id", "region_slug", "action", "status")

@@ -72,7 +72,7 @@ def stream_cost_rollup(t):
 @query("stream_run_trace", """
     SELECT run_id, stage, count(*) AS events, count(*) FILTER (level = 'error') AS errors, count(*) FILTER (level = 'warn') AS warnings FROM v_logs GROUP BY 1, 2""")
 def stream_run_trace(t):
-    return _complete(t, jobs.run_trace(_stream(t, "events", LOGS)))
+    return jobs.folded_trace(_complete(t, jobs.run_trace(_stream(t, "events", LOGS))))
 
 
 @query("stream_dedupe", "SELECT DISTINCT source, source_listing_id, content_hash FROM (SELECT source_id AS source, run_id AS source_listing_id, stage AS content_hash FROM v_logs)")
@@ -94,14 +94,14 @@ def stream_run_sessions(t):
 
 
 SEARCHES = """
-    SELECT c_custkey AS search_id, CASE c_nationkey % 4 WHEN 0 THEN 'Nosara' WHEN 1 THEN 'Uvita de Osa' WHEN 2 THEN 'Escazú' ELSE 'San José' END AS region_slug,
+    SELECT c_custkey AS search_id, CASE WHEN c_custkey % 100 = 0 THEN NULL ELSE CASE c_nationkey % 4 WHEN 0 THEN 'Nosara' WHEN 1 THEN 'Uvita de Osa' WHEN 2 THEN 'Escazú' ELSE 'San José' END END AS region_slug,
       CASE WHEN c_nationkey % 3 = 0 THEN 'condo' END AS property_type, CAST(400000 + c_acctbal AS DECIMAL(14,2)) AS min_price,
       CASE WHEN c_nationkey % 2 = 0 THEN CAST(450000 AS DECIMAL(14,2)) END AS max_price, CASE WHEN c_nationkey > 5 THEN 3 END AS min_beds
     FROM {customer}"""
 
 
 @query("saved_search_matches", f"""
-    SELECT l.id, s.search_id FROM v_listings l JOIN ({SEARCHES.format(customer='customer')}) s ON s.region_slug = l.locality AND (s.property_type IS NULL OR s.property_type = l.property_type)
+    SELECT l.id, s.search_id FROM v_listings l JOIN ({SEARCHES.format(customer='customer')}) s ON (s.region_slug IS NULL OR s.region_slug = l.locality) AND (s.property_type IS NULL OR s.property_type = l.property_type)
       AND l.price >= s.min_price AND (s.max_price IS NULL OR l.price <= s.max_price) AND (s.min_beds IS NULL OR l.bedrooms >= s.min_beds) WHERE l.status = 'active'""")
 def saved_search_matches(t):
     arriving = _stream(t, "orders", LISTINGS).withColumns({"region_slug": F.col("locality"), "price_usd": F.col("price")})

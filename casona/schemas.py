@@ -122,7 +122,3 @@ NOT_EDITABLE = {
     "wp_synced_at", "wp_content_hash", "created_at", "updated_at",
 }
 EDITABLE = sorted(set(CANONICAL) - NOT_EDITABLE)
-
-
-def empty_struct(columns: dict[str, str]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in columns.items()))

@@ -94,11 +94,19 @@ def cost_rollup(calls: DataFrame, watermark: str = "1 day") -> DataFrame:
         .select(F.to_date("window.start").alias("day"), "cost_usd", "input_tokens", "output_tokens", "call_count"))
 
 
-def run_trace(logs: DataFrame) -> DataFrame:
-    """Events, errors and warnings of each run and stage, for update mode."""
-    return logs.groupBy("run_id", "stage").agg(
-        F.count("*").alias("events"), F.count_if(F.col("level") == "error").alias("errors"),
-        F.count_if(F.col("level") == "warn").alias("warnings"))
+def run_trace(logs: DataFrame, window: str = "1 day", watermark: str = "1 day") -> DataFrame:
+    """Events, errors and warnings of each run, stage and window; the watermark bounds the state."""
+    return (
+        logs.withWatermark("ts", watermark).groupBy(F.window("ts", window), "run_id", "stage")
+        .agg(
+            F.count("*").alias("events"), F.count_if(F.col("level") == "error").alias("errors"),
+            F.count_if(F.col("level") == "warn").alias("warnings"))
+        .select(F.col("window.start").alias("window_start"), "run_id", "stage", "events", "errors", "warnings"))
+
+
+def folded_trace(windows: DataFrame) -> DataFrame:
+    """Totals of each run and stage over the windows of ``run_trace``."""
+    return windows.groupBy("run_id", "stage").agg(*(F.sum(c).alias(c) for c in ("events", "errors", "warnings")))
 
 
 def dedupe_arrivals(payloads: DataFrame, ts: str = "ts", watermark: str = "1 day") -> DataFrame:
@@ -118,19 +126,22 @@ def run_sessions(logs: DataFrame, gap: str = "30 minutes", watermark: str = "1 h
 def saved_search_matches(listings: DataFrame, searches: DataFrame) -> DataFrame:
     """New active listings that meet stored filters (search_id, region_slug, property_type, min_price, max_price, min_beds).
 
-    The region is the equi-key and must be stored; null in any other filter means no limit. The
-    stored searches are the static side, and Spark broadcasts them only below its size threshold.
+    Null in any filter means no limit. Region and type are the equi-key: a listing asks for its own
+    values and for searches that name none. The stored searches are the static side, and Spark
+    broadcasts them only below its size threshold.
     """
+    any_value = F.lit("\u0000")
     s = searches.select(
-        "search_id", F.col("region_slug").alias("_region"), F.col("property_type").alias("_type"), "min_price", "max_price", "min_beds")
+        "search_id", F.coalesce("region_slug", any_value).alias("_region"), F.coalesce("property_type", any_value).alias("_type"),
+        "min_price", "max_price", "min_beds")
     within: Column = (
-        (F.col("_type").isNull() | (F.col("property_type") == F.col("_type")))
-        & (F.col("min_price").isNull() | (F.col("price_usd") >= F.col("min_price")))
+        (F.col("min_price").isNull() | (F.col("price_usd") >= F.col("min_price")))
         & (F.col("max_price").isNull() | (F.col("price_usd") <= F.col("max_price")))
         & (F.col("min_beds").isNull() | (F.col("bedrooms") >= F.col("min_beds"))))
-    active = listings.filter("status = 'active'")
-    return active.join(s, F.col("region_slug") == F.col("_region")).filter(within).drop(
-        "_region", "_type", "min_price", "max_price", "min_beds")
+    active = listings.filter("status = 'active'").withColumn("_r", F.explode(F.array("region_slug", any_value))).withColumn(
+        "_t", F.explode(F.array("property_type", any_value)))
+    return active.join(s, (F.col("_r") == F.col("_region")) & (F.col("_t") == F.col("_type"))).filter(within).drop(
+        "_r", "_t", "_region", "_type", "min_price", "max_price", "min_beds")
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
