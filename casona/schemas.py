@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
 
 # Extracted record: field -> kind. Kinds: string, number, int, boolean, strings (array of text).
 EXTRACTED_FIELDS = {
