@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casona.llm.bytehash import blocks, span_hashes
 from casona.llm.tokens import cuts
@@ -203,19 +203,15 @@ def train(rows: list[tuple[str, str]], seed: int = 3, steps: int = STEPS) -> Net
 def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Net:
     """A network fitted to a bounded sample of ``docs``: those of each language with the smallest hashes of their id.
 
-    Rows with a null text, language or id and texts of over ``SAMPLE_CHARS`` characters are not learned from.
+    Rows with a null text, language or id and texts of over ``SAMPLE_CHARS`` characters are not
+    learned from; of rows that repeat an id and language the smallest text is.
     """
     rows = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"))
     rows = rows.filter("d IS NOT NULL AND t IS NOT NULL AND l IS NOT NULL").filter(F.length("t") <= SAMPLE_CHARS)
-    keys = rows.select("l", F.xxhash64(F.lit(9), "d").alias("h"), "d")
-    languages = [r[0] for r in keys.select("l").distinct().collect()]
-    picked = None
-    for lang in sorted(languages):
-        some = keys.filter(F.col("l") == lang).orderBy("h", "d").limit(sample)
-        picked = some if picked is None else picked.unionByName(some)
-    if picked is None:
-        return Net([])
-    chosen = rows.join(picked.select("d", "l").distinct(), ["d", "l"]).orderBy("l", "d", "t").collect()
+    first = Window.partitionBy("l").orderBy("h", "d")
+    keys = rows.select("l", "d").distinct().withColumn("h", F.xxhash64(F.lit(9), "d")).withColumn("n", F.row_number().over(first))
+    picked = keys.filter(F.col("n") <= sample)
+    chosen = rows.join(picked.select("d", "l"), ["d", "l"]).groupBy("l", "d").agg(F.min("t").alias("t")).orderBy("l", "d").collect()
     return train([(r["t"], r["l"]) for r in chosen])
 
 
