@@ -71,5 +71,5 @@ def load() -> None:
     """Import every query module once."""
     from casona.plans import (  # noqa: F401
         queries_accounting, queries_extraction, queries_normalize, queries_operations, queries_photos,
-        queries_resolution, queries_search, queries_streaming, queries_sync, queries_upsert,
+        queries_resolution, queries_search, queries_streaming, queries_sync, queries_tables, queries_upsert,
     )
