@@ -69,6 +69,27 @@ def stream_cost_rollup(t):
     return _complete(t, jobs.cost_rollup(calls))
 
 
+@query("stream_cost_updates", f"""
+    SELECT day, cost_usd, haiku_input_tokens + sonnet_input_tokens AS input_tokens, haiku_output_tokens + sonnet_output_tokens AS output_tokens, call_count FROM ({DAY_SQL})""")
+def stream_cost_updates(t):
+    """Events that arrive in several files, one a batch, in update mode; the newest update of a day is its total."""
+    at = _folder(t)
+    logs = t.sql(LOGS)
+    logs.repartitionByRange(4, "ts").write.parquet(f"{at}/in")
+    arriving = t.spark.readStream.schema(logs.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    # files may be taken in any order, so no day is closed before all have arrived
+    stream = jobs.cost_rollup(acc.model_cost(arriving, prices(t)), watermark="3650 days")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{at}/rows/batch={batch_id}")
+
+    stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{at}/state").trigger(
+        availableNow=True).start().awaitTermination()
+    updates = t.spark.read.option("basePath", f"{at}/rows").parquet(f"{at}/rows/batch=*")
+    rest = [c for c in updates.columns if c not in ("day", "batch")]
+    return updates.groupBy("day").agg(F.max_by(F.struct(*rest), "batch").alias("_u")).select("day", "_u.*")
+
+
 @query("stream_run_trace", """
     SELECT run_id, stage, count(*) AS events, count(*) FILTER (level = 'error') AS errors, count(*) FILTER (level = 'warn') AS warnings FROM v_logs GROUP BY 1, 2""")
 def stream_run_trace(t):
