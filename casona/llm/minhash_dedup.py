@@ -24,6 +24,8 @@ ROUNDS = 6
 MANTISSA = 10
 #: Rows of one side of a tile.
 TILE_ROWS = 128
+#: Keys that the rows of one anchor are spread over.
+SALTS = 32
 #: Standard errors by which an estimate may lie below the threshold before a pair is given up.
 ERRORS = 5.0
 _EMPTY = np.uint64(2**64 - 1)
@@ -238,7 +240,9 @@ def _tiled(near: DataFrame, parts: DataFrame, profiles: DataFrame, sketch: Sketc
     labelled = stored(labelled.select("anchor", "node", "part", "side"), "minhash-groups")
     sizes = labelled.groupBy("anchor").agg(F.sum(1 - F.col("side")).alias("out"), F.sum("side").alias("ins")).filter("out > 0")
     count = lambda c: F.ceil(F.col(c) / F.lit(float(TILE_ROWS))).cast("int")
-    placed = labelled.join(sizes.select("anchor", count("out").alias("outs"), count("ins").alias("ins")), "anchor")
+    # a hot anchor's rows meet its sizes under several keys
+    sizes = sizes.select("anchor", count("out").alias("outs"), count("ins").alias("ins"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    placed = labelled.withColumn("salt", F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(SALTS)).cast("int")).join(sizes, ["anchor", "salt"])
     block = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 1, F.col("ins")).otherwise(F.col("outs"))).cast("int")
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     tile = lambda a, b: F.struct(a.alias("i"), b.alias("j"))
