@@ -28,3 +28,9 @@ def test_no_nested_loops(spark, name):
 
 def test_only_needed_columns_are_read(spark):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan(spark, "stage_funnel").replace("\n", " ")
+
+
+@pytest.mark.parametrize("name,most", [("assign_positions", 3), ("budget_cutoff", 0), ("apply_verdicts", 1)])
+def test_running_totals_read_their_input_once(spark, name, most):
+    """What follows the one write of the input reads that, and the tables only for its own joins."""
+    assert plan(spark, name).count(ROOT) <= most
