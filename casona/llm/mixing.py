@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from casona.operators.ranking import running_totals
 from casona.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,6 +31,12 @@ def race_key(doc_id: Column, weight: Column, seed: str = SEED) -> Column:
     return -F.log(uniform) / weight
 
 
+def row_key(doc_id: Column, source: Column, text: Column) -> Column:
+    """Digest of what makes a document one of its own; nulls differ from all values."""
+    said = [F.coalesce(F.sha2(c.cast("string").cast("binary"), 256), F.lit("")) for c in (doc_id, source, text)]
+    return F.unhex(F.sha2(F.concat_ws("|", *said).cast("binary"), 256))
+
+
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most_repeats: int = MOST_REPEATS) -> DataFrame:
     """(source, source_size, target) from (source, source_size), one short row a source.
 
@@ -60,13 +67,14 @@ def mix(
     docs: DataFrame, weight: Column | None = None, weights: tuple = WEIGHTS, most_repeats: int = MOST_REPEATS,
     seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, source): words that the mix takes from every document.
+    """(doc_id, size, source_size, target, taken, source, row_key): words that the mix takes from every document.
 
     A source whose target holds e times its size gives every document e times; the rest of the
     target is drawn by ascending race key, and the last document drawn gives the words still
     missing, so the words of a source sum up to its target, rounded down. ``weight`` is the
     documents' quality weight (default: ``text_weight``). A null or empty text has size 0 and gives
-    0. Rows that repeat an id are documents of their own. Reruns agree; no rows give no rows.
+    0. Rows that repeat an id, null included, are documents of their own; ``row_key`` tells them
+    apart unless source and text repeat too. Reruns agree; no rows give no rows.
 
     Text is read once; the rest works on short rows. These are range partitioned by (source, key),
     so a hot source fills many buckets; sums of buckets give what comes before each, and only
@@ -76,10 +84,11 @@ def mix(
     rows = stored(
         docs.select(
             F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text).alias("size"),
-            race_key(F.col(id_col), text_weight(text) if weight is None else weight, seed).alias("key")), "mix-sizes")
+            race_key(F.col(id_col), text_weight(text) if weight is None else weight, seed).alias("key"),
+            row_key(F.col(id_col), F.col(source_col), text).alias("row_key")), "mix-sizes")
     buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = stored(
-        rows.repartitionByRange(buckets, F.asc_nulls_last("source"), "key", "doc_id", "size")
+        rows.repartitionByRange(buckets, F.asc_nulls_last("source"), "key", "doc_id", "size", "row_key")
         .withColumn("bucket", F.spark_partition_id()), "mix-order")
     sums = dealt.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most_repeats)
@@ -87,26 +96,55 @@ def mix(
     sums = sums.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words")
     plan = sums.alias("b").join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))).select(
         F.col("b.source").alias("s"), F.col("b.bucket").alias("k"), "ahead", "source_size", "target")
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "row_key").rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
         plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("k")))
     words = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(words / F.greatest("source_size", F.lit(1)))).otherwise(0)
     rest = words - epochs * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before") - F.col("ahead")))
-    return placed.select("doc_id", "size", "source_size", "target", (epochs * F.col("size") + part).cast("bigint").alias("taken"), "source")
+    return placed.select("doc_id", "size", "source_size", "target", (epochs * F.col("size") + part).cast("bigint").alias("taken"), "source", "row_key")
+
 
+def _with_taken(
+    docs: DataFrame, plan: DataFrame, id_col: str, text_col: str, source_col: str,
+) -> DataFrame:
+    """The documents that ``plan`` takes words of, with their _size and their own _taken.
 
-def mixed(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_cols: tuple = ("n_chars",)) -> DataFrame:
+    Rows of one key are equal in id, source and text, so any of them may give what the plan takes
+    from another. Mostly all give the same. A key whose rows give unequal parts (where a source's
+    target is reached: about one a source) has its rows numbered, and the first ones give more.
+    """
+    want = stored(plan.groupBy(F.col("row_key").alias("_want")).agg(
+        F.max("size").alias("_size"), F.count("*").alias("_rows"), F.sum("taken").alias("_sum"),
+        F.min("taken").alias("_least"), F.max("taken").alias("_most")).filter("_sum > 0"), "mix-wanted")
+    keyed = docs.withColumn("_key", row_key(F.col(id_col), F.col(source_col), F.col(text_col)))
+    same = F.col("_key") == F.col("_want")
+    columns = [*docs.columns, "_size", "_taken"]
+    out = keyed.join(want.filter("_least = _most"), same).withColumn("_taken", F.col("_most")).select(*columns)
+    torn = stored(want.filter("_least < _most"), "mix-torn")
+    if torn.isEmpty():
+        return out
+    rows = keyed.join(torn, same).withColumn("_row", F.monotonically_increasing_id())
+    order = [F.col(c) for c in docs.columns if c not in (id_col, source_col, text_col)] + [F.col("_row")]
+    rows = running_totals(rows, ["_key"], order, {"_place": F.lit(1)})
+    epochs = F.floor(F.col("_least") / F.col("_size")) * F.col("_size")
+    left = F.col("_sum") - F.col("_rows") * epochs - (F.col("_place") - 1) * F.col("_size")
+    rows = rows.withColumn("_taken", epochs + F.greatest(F.lit(0), F.least(F.col("_size"), left))).filter("_taken > 0")
+    return out.unionByName(rows.select(*columns))
+
+
+def mixed(
+    docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_cols: tuple = ("n_chars",),
+    source_col: str = "source",
+) -> DataFrame:
     """The documents of a mix, with their own columns: each as often as it is taken whole.
 
     A last part of a document has its first words, joined by one space; columns of ``size_cols``
-    follow the text. ``plan`` is (doc_id, size, taken); documents it does not take drop out. An id
-    that several rows hold takes the words of all of them from each in equal shares, rounded up.
+    follow the text. ``plan`` is what ``mix`` gives for ``docs``; documents it does not take drop
+    out. Rows with a null or repeated id give what the plan takes from each of them.
     """
-    want = plan.filter("taken > 0").groupBy("doc_id").agg(
-        F.ceil(F.sum("taken") / F.count("*")).alias("_taken"), F.max("size").alias("_size"))
-    joined = docs.join(want.withColumnRenamed("doc_id", "_id"), F.col(id_col).eqNullSafe(F.col("_id")))
+    joined = _with_taken(docs, plan, id_col, text_col, source_col)
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("_taken") / F.col("_size")).cast("bigint")))
     rows = joined.withColumn("_copy", copies).withColumn(
         "_words", F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")))

@@ -142,7 +142,7 @@ SELECT doc_id, size, source_size, target,
 FROM e
 """)
 def op6(spark, root):
-    return mixing.mix(table(spark, root, "documents")).drop("source")
+    return mixing.mix(table(spark, root, "documents")).drop("source", "row_key")
 
 
 @query("op8_packing")

@@ -71,3 +71,34 @@ def test_documents_of_the_mix(spark):
         got[r.doc_id] = got.get(r.doc_id, 0) + words(r.text)
         assert r.n_chars == len(r.text)
     assert got == want
+
+
+def test_null_and_repeated_ids_give_their_own_words(spark):
+    """A word of its own in each text tells what of it came out."""
+    sizes = {(None, "a"): [1000, 10, 40], (None, "b"): [300, 7], (None, None): [25], (5, "a"): [60, 11], (5, "b"): [90], (6, "c"): [400], (7, "d"): [3, 2]}
+    data = [(d, f"w{n} " * n, s, len(f"w{n} " * n)) for (d, s), ns in sizes.items() for n in ns] + [(None, None, "a", 0), (None, "", "b", 0)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, n_chars long")
+    plan = mixing.mix(docs)
+    want = {(r.doc_id, r.source, r["size"]): r.taken for r in plan.collect() if r.taken}
+    assert len(want) < sum(map(len, sizes.values()))  # some give nothing
+    got = {}
+    for r in mixing.mixed(docs, plan).collect():
+        n = int(r.text.split()[0][1:])
+        got[r.doc_id, r.source, n] = got.get((r.doc_id, r.source, n), 0) + words(r.text)
+    assert got == want
+
+
+@pytest.mark.parametrize("copies", [2, 7, 40])
+def test_equal_rows_share_what_is_taken(spark, copies):
+    """Rows equal in id, source and text: all words of the plan come out, and one row of a source is cut at most."""
+    data = [(None, "x y z", "a", 5, f"l{i % 3}") for i in range(copies)] + [(i, "q " * 11, "b", 22, "en") for i in range(9)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, n_chars long, lang string")
+    plan = mixing.mix(docs)
+    taken = {}
+    for r in plan.collect():
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    got, cut = {}, {}
+    for r in mixing.mixed(docs, plan).collect():
+        got[r.source] = got.get(r.source, 0) + words(r.text)
+        cut[r.source] = cut.get(r.source, 0) + (words(r.text) < {"a": 3, "b": 11}[r.source])
+    assert got == {s: n for s, n in taken.items() if n} and max(cut.values()) <= 1
