@@ -16,9 +16,11 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"  # runs below 16 would be dropped anyhow
 LEAST_VALUE, LEAST_ACCESS = 12, 18
 
-# weak parts: names of accounts, addresses of services, and long tokens of mixed characters
+# weak parts: names of accounts, addresses of services, long tokens of mixed characters, and short
+# matches of the patterns above
 IDENTIFIER = r"""(?i:user(?:_?name)?|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
-ENDPOINT = r"""https?://[^\x20\x09-\x0D"'<>]+"""
+# any scheme; the look behind keeps the search for one to one scan a token, so digits and marks before it belong to the match
+ENDPOINT = r"""(?:(?<![A-Za-z0-9+.-])[0-9+.-]*+[A-Za-z][A-Za-z0-9+.-]*+://|(?i:jdbc):)[^\x20\x09-\x0D"'<>]+"""
 # the look behind keeps the look ahead to one scan a token
 BLOB = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}"
 
@@ -26,42 +28,45 @@ BLOB = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}"
 KINDS = {
     "assign": (ASSIGN, "secret", True), "access": (ACCESS, "id", True), "hex": (HEX, "secret", True),
     "identifier": (IDENTIFIER, "id", False), "endpoint": (ENDPOINT, "endpoint", False), "blob": (BLOB, "secret", False),
+    "short_assign": (ASSIGN, "secret", False), "short_access": (ACCESS, "id", False),
 }
-#: Code points between the starts of parts of one credential, at most.
+#: Kinds whose matches below the least length are of a weak kind.
+SHORT = {"assign": "short_assign", "access": "short_access"}
+#: Code points between the end of one part of a credential and the start of another, at most.
 SCOPE = 240
 
 
-def _counts(kind: str, match: Column) -> Column:
-    """Whether a match of the kind's pattern is one of the kind."""
-    if kind == "assign":
-        return F.length(F.regexp_extract(match, ASSIGN, 1)) >= LEAST_VALUE
-    if kind == "access":
-        return F.length(match) >= LEAST_ACCESS
-    if kind == "blob":
-        return match.rlike("[a-z]") & match.rlike("[A-Z]")
-    return F.lit(True)
+def _kind(pattern: str, match: Column) -> Column:
+    """The kind that a match of the pattern of kind ``pattern`` is of; null for none."""
+    if pattern == "assign":
+        return F.when(F.length(F.regexp_extract(match, ASSIGN, 1)) >= LEAST_VALUE, pattern).otherwise(SHORT[pattern])
+    if pattern == "access":
+        return F.when(F.length(match) >= LEAST_ACCESS, pattern).otherwise(SHORT[pattern])
+    if pattern == "blob":
+        return F.when(match.rlike("[a-z]") & match.rlike("[A-Z]"), pattern)
+    return F.lit(pattern)
 
 
 def _found(kind: str, text: Column) -> Column:
-    """Array of (kind, length of the text before the match and after the last one, length of the match, whether it counts)."""
+    """Array of (pattern, length of the text before the match and after the last one, length of the match, its kind)."""
     pattern = KINDS[kind][0]
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     row = lambda m, p: F.struct(
-        F.lit(kind).alias("kind"), F.length(p).alias("gap"), F.length(m).alias("width"), _counts(kind, m).alias("counts"))
+        F.lit(kind).alias("pattern"), F.length(p).alias("gap"), F.length(m).alias("width"), _kind(kind, m).alias("kind"))
     zipped = F.filter(F.zip_with(matches, F.split(text, pattern, -1), row), lambda x: x["width"].isNotNull())
-    return F.when(text.rlike(pattern), zipped).otherwise(F.array().cast("array<struct<kind:string,gap:int,width:int,counts:boolean>>"))
+    return F.when(text.rlike(pattern), zipped).otherwise(F.array().cast("array<struct<pattern:string,gap:int,width:int,kind:string>>"))
 
 
 def parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, body, kind, start, end) of all parts, weak ones included; body is a hash of the text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("body"), F.concat(*(_found(k, text) for k in KINDS)).alias("found"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("body"), F.concat(*(_found(k, text) for k in KINDS if k not in SHORT.values())).alias("found"))
     rows = rows.filter(F.size("found") > 0).select("doc_id", "body", F.posexplode("found").alias("place", "part"))
     rows = rows.dropDuplicates(["doc_id", "body", "place"])  # of repeated documents
-    so_far = Window.partitionBy("doc_id", "body", "part.kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("doc_id", "body", "part.pattern").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("part.gap") + F.col("part.width")).over(so_far)
     return (
-        rows.withColumn("end", end).filter("part.counts")
+        rows.withColumn("end", end).filter("part.kind IS NOT NULL")
         .select("doc_id", "body", "part.kind", (F.col("end") - F.col("part.width")).alias("start"), "end")
     )
 
@@ -69,28 +74,32 @@ def parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Base parts, and the weak ones with their complement in scope.
 
-    An identifier needs a secret, a long token needs an identifier, an endpoint needs both; base
-    parts count as complements. Parts are put in bins as wide as the scope, so the interval join
-    is an equality of bins, a neighbour included, and semi joins never multiply rows.
+    An identifier or short access key needs a secret, a long token or short value needs an
+    identifier, an endpoint needs both; all parts count as complements. Parts in scope of each
+    other do not overlap, and the end of one is at most ``scope`` before the start of the other,
+    however long both are. Ends and starts are put in bins as wide as the scope, so the interval
+    join is an equality of bins, a neighbour included, and semi joins never multiply rows.
     """
     role = F.create_map(*(F.lit(x) for k, v in KINDS.items() for x in (k, v[1])))
     base = F.col("kind").isin([k for k, v in KINDS.items() if v[2]])
-    rows = found.withColumn("role", role[F.col("kind")]).withColumn("bin", F.floor(F.col("start") / scope))
+    rows = found.withColumn("role", role[F.col("kind")])
+    at = lambda side, place, more=0: F.struct(F.lit(side).alias("side"), (F.floor(F.col(place) / scope) + more).alias("bin"))
 
     def near(weak: DataFrame, other: str) -> DataFrame:
-        w = weak.withColumn("beside", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
+        # another part's end at or before the start, or its start at or after the end
+        w = weak.withColumn("beside", F.explode(F.array(at("end", "start", -1), at("end", "start"), at("start", "end"), at("start", "end", 1))))
         o = rows.filter(F.col("role") == other).select(
-            F.col("doc_id").alias("o_id"), F.col("body").alias("o_body"), F.col("bin").alias("o_bin"),
-            F.col("start").alias("o_start"), F.col("end").alias("o_end"))
-        apart = (F.col("o_end") <= F.col("start")) | (F.col("end") <= F.col("o_start"))
+            F.col("doc_id").alias("o_id"), F.col("body").alias("o_body"), F.col("start").alias("o_start"), F.col("end").alias("o_end"),
+            F.explode(F.array(at("end", "end"), at("start", "start"))).alias("o_beside"))
+        apart = F.when(F.col("beside.side") == "end", F.col("start") - F.col("o_end")).otherwise(F.col("o_start") - F.col("end"))
         hit = w.join(
-            o, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("body") == F.col("o_body")) & (F.col("beside") == F.col("o_bin"))
-            & (F.abs(F.col("start") - F.col("o_start")) <= scope) & apart, "left_semi")
+            o, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("body") == F.col("o_body")) & (F.col("beside") == F.col("o_beside"))
+            & apart.between(0, scope), "left_semi")
         return hit.drop("beside").dropDuplicates(["doc_id", "body", "kind", "start"])
 
-    of = lambda kind: rows.filter(F.col("kind") == kind)
+    of = lambda *kinds: rows.filter(F.col("kind").isin(*kinds))
     out = rows.filter(base)
-    for more in (near(of("identifier"), "secret"), near(of("blob"), "id"), near(near(of("endpoint"), "secret"), "id")):
+    for more in (near(of("identifier", "short_access"), "secret"), near(of("blob", "short_assign"), "id"), near(near(of("endpoint"), "secret"), "id")):
         out = out.unionByName(more)
     return out.select(*found.columns)
 

@@ -88,3 +88,49 @@ def test_empty_table(spark):
 def test_very_long_text(spark, text):
     docs = spark.createDataFrame([(1, text + " token=abcdefabcdefzz")], "doc_id long, text string")
     assert secrets.digest(secrets.scan(docs)).first()["n_assign"] == 1
+
+
+def brute_weak(text, scope=secrets.SCOPE):
+    """Spans with short matches as weak parts, and the scope from the end of a part to the start of the next."""
+    every = []
+    for k, (p, ok) in {**BASE, **WEAK}.items():
+        for m in p.finditer(text):
+            if ok(m):
+                every.append((m.start(), m.end(), k))
+            elif k in secrets.SHORT:
+                every.append((m.start(), m.end(), secrets.SHORT[k]))
+
+    def near(part, role):
+        return any(ROLE[k] == role and (0 <= part[0] - e <= scope or 0 <= s - part[1] <= scope) for s, e, k in every)
+
+    need = {"identifier": ["secret"], "short_access": ["secret"], "blob": ["id"], "short_assign": ["id"], "endpoint": ["secret", "id"]}
+    order = list(secrets.KINDS)
+    spans = [x for x in every if all(near(x, r) for r in need.get(x[2], []))]
+    spans.sort(key=lambda x: (x[0], order.index(x[2]), x[1]))
+    return ",".join(f"{k}:{s}:{e}" for s, e, k in spans)
+
+
+LONG = "Ab1" * 150
+WEAK_CASES = [
+    "username=admin password=hunter2 https://db.example", "password=hunter2 alone", "user: bob", "AKIASHORT with token=abc", "AKIASHORT alone",
+    "login=ann password: x1 postgres://db:5432/x", "login=ann password: x1 at jdbc:oracle:thin:@db:1521:x and s3://bucket/key",
+    "login=ann token=abc see...ftp://h 2https://h JDBC:x://y MongoDB+srv://a.b", f"user: bob {LONG} https://x.y", f"{LONG} user: bob", f"user: bob {LONG} AKIASHORT {LONG}",
+    *(f"user: bob{' ' * n}password=abc{' ' * n}https://h/{'p' * 700}{' ' * n}token=q" for n in (1, 239, 240, 241, 480)),
+    *(f"{'.' * n} https://h/{'p' * 500} login=ann passwd=zz" for n in (0, 100, 238, 239)), "password=hunter2 " + "é" * 230 + " account=joe",
+]
+
+
+def test_weak_parts_next_to_their_complement(spark):
+    docs = spark.createDataFrame(list(enumerate(WEAK_CASES)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.digest(secrets.scan(docs)).collect()}
+    assert got == {i: brute_weak(t) for i, t in enumerate(WEAK_CASES)}
+    assert got[0] == "identifier:0:14,short_assign:15:31,endpoint:32:50" and got[1] == got[2] == got[4] == ""
+    assert "postgres" not in secrets.redacted(docs).filter("doc_id = 5").first().text
+    base = secrets.digest(secrets.scan(docs)).filter("doc_id IN (0, 5)").select("base_sha256", "n_assign").distinct().collect()
+    assert [tuple(r) for r in base] == [(hashlib.sha256(b"").hexdigest(), 0)]
+
+
+@pytest.mark.parametrize("text", ["x" * 400_000, "a1" * 100_000, "1." * 100_000, "user: bob " + "Ab1" * 100_000 + " https://h"])
+def test_very_long_text_with_weak_parts(spark, text):
+    docs = spark.createDataFrame([(1, text + " login=ann pwd password=zz s3://b")], "doc_id long, text string")
+    assert secrets.digest(secrets.scan(docs)).first()["spans"] == brute_weak(docs.first()["text"])
