@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casona.llm.bytehash import blocks, span_hashes
+from casona.llm.bytehash import SpanTable, blocks
 from casona.llm.tokens import cuts
 
 UNITS = 12
@@ -26,7 +26,7 @@ SAMPLE, SAMPLE_CHARS = 400, 20_000
 SAMPLE_WORDS = 6000
 STEPS, BATCH, RATE = 700, 256, 0.01
 UNKNOWN = "und"
-SLOTS = 1 << 21
+SLOTS = 1 << 20
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -116,7 +116,7 @@ class Reader:
 
     def __init__(self, net: Net):
         self.net = net
-        self.keys = np.zeros(SLOTS, np.uint64)
+        self.table = SpanTable(SLOTS, LONGEST // 8)
         self.sums = np.zeros((SLOTS, max(1, len(net.languages))), np.float32)
 
     def _words(self, data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -135,16 +135,13 @@ class Reader:
             starts, ends, row = pieces(data, offsets)
             if not len(starts):
                 continue
-            keys = span_hashes(data, starts, ends) | np.uint64(1 << 63)
-            slot = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
+            slot, known, first_of, same = self.table.look(data, starts, ends)
             sums = self.sums[slot]
-            new = np.flatnonzero(self.keys[slot] != keys)
-            if len(new):
-                unique, at, back = np.unique(keys[new], return_index=True, return_inverse=True)
-                got = self._words(data, starts[new[at]], (ends - starts)[new[at]])
-                sums[new] = got[back]
-                place, one = np.unique((unique & np.uint64(SLOTS - 1)).astype(np.int64), return_index=True)
-                self.keys[place], self.sums[place] = unique[one], got[one]
+            if len(first_of):
+                got = self._words(data, starts[first_of], (ends - starts)[first_of])
+                sums[~known] = got[same]
+                own = self.table.keep(slot, ends - starts, first_of)
+                self.sums[slot[first_of[own]]] = got[own]
             begin = np.searchsorted(row, np.arange(len(offsets)))
             total = np.concatenate([np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0, dtype=np.float64)])
             size = np.concatenate([[0], np.cumsum(ends - starts)])

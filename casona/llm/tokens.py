@@ -2,23 +2,24 @@
 
 The tokenizers used here never join text across certain places: before the last space of a run
 of white space, after a single line break, and between a Latin letter and punctuation. Texts are cut there,
-pieces are looked up by hash in a table kept by the Python worker, and the tokenizer itself
-encodes those not seen before.
+pieces are looked up in a table kept by the Python worker, which compares their bytes, and the
+tokenizer itself encodes those not seen before.
 """
 
 from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from casona.llm.bytehash import blocks, span_hashes
+from casona.llm.bytehash import SpanTable, blocks
 
-#: Pieces up to so many bytes are remembered.
-SHORT = 48
-SLOTS = 1 << 21
+#: Pieces up to so many bytes are remembered, by these bytes.
+SHORT = 32
+SLOTS = 1 << 20
 #: Ids remembered before the table is emptied.
 MOST_IDS = 1 << 24
 
@@ -49,65 +50,84 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Pieces:
-    """A tokenizer with its table of remembered pieces."""
+    """A tokenizer with its table of remembered pieces; ``plain`` reads the strings of special tokens as text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(SLOTS, np.uint64)
+        self.table = SpanTable(SLOTS, SHORT // 8)
         self.at = np.zeros(SLOTS, np.int32)
         self.count = np.zeros(SLOTS, np.uint16)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return cuts(data, offsets)
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _remember(self, keys: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _append(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         encoded = self._encode(texts)
         count = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for x in encoded for i in x), np.uint32, int(count.sum()))
+        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(count.sum()))
         at = self.used + np.cumsum(count) - count
         self.used += len(flat)
         if self.used > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.uint32)])
         self.ids[self.used - len(flat):self.used] = flat
-        keep = count < 65536
-        slot = (keys[keep] & np.uint64(SLOTS - 1)).astype(np.int64)
-        # of pieces that share a slot one stays, whole in all three columns
-        slot, one = np.unique(slot, return_index=True)
-        self.keys[slot], self.at[slot], self.count[slot] = keys[keep][one], at[keep][one], count[keep][one]
         return at, count
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, ids before each text and at the end)."""
         if self.used > MOST_IDS:
             self._clear()
-        starts = cuts(data, offsets)
+        starts = self._cuts(data, offsets)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
-        hashes = span_hashes(data, starts, ends) | np.uint64(1 << 63)  # no key is 0
-        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        slot, known, first, same = self.table.look(data, starts, ends)
         at, count = self.at[slot].astype(np.int64), self.count[slot].astype(np.int64)
-        new = np.flatnonzero((self.keys[slot] != hashes) | (ends - starts > SHORT))
-        if len(new):
-            keys, first, back = np.unique(hashes[new], return_index=True, return_inverse=True)
+        if len(first):
             raw = data.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(starts[new[first]].tolist(), ends[new[first]].tolist())]
-            got_at, got_count = self._remember(keys, texts)
-            at[new], count[new] = got_at[back], got_count[back]
+            got_at, got_count = self._append([raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+            at[~known], count[~known] = got_at[same], got_count[same]
+            own = self.table.keep(slot, ends - starts, first)
+            self.at[slot[first[own]]], self.count[slot[first[own]]] = got_at[own], got_count[own]
         before = np.concatenate([[0], np.cumsum(count)])
         ids = self.ids[np.repeat(at - before[:-1], count) + np.arange(before[-1])]
         return ids, before[np.searchsorted(starts, offsets)]
 
 
+class SentencePieces(Pieces):
+    """A sentencepiece model over texts that begin with the space it would add; no piece goes on from a letter to a space."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self._clear()
+
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        if not len(data):
+            return np.empty(0, np.int64)
+        begin = np.zeros(len(data) + 1, bool)
+        begin[1:-1] = (data[1:] == 32) & (data[:-1] != 32)
+        begin[offsets] = True
+        return np.flatnonzero(begin[:-1])
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        alone = [self.model.piece_to_id("\u2581")]  # nothing is added to an empty text
+        return [ids if t != " " else alone for t, ids in zip(texts, self.model.encode([t[1:] for t in texts], num_threads=1))]
+
+
 @lru_cache(maxsize=4)
-def pieces(path: str) -> Pieces:
-    return Pieces(path)
+def pieces(path: str, plain: bool = False) -> Pieces:
+    return SentencePieces(path) if path.endswith(".model") else Pieces(path, plain)
 
 
 def encoded(texts: pa.Array, path: str, end_id: int):
