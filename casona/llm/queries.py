@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casona.llm import language_net, minhash_dedup, mixing, packing, quality_net, secrets, topk_search, vector_dedup, warc, wavelet
+from casona.llm import alignment, filter_audit, language_net, minhash_dedup, mixing, packing, quality_net, secrets, topk_search, vector_dedup, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -171,3 +171,48 @@ def op3(spark, root):
     net = language_net.fit(docs.filter(~language_net.held_out("doc_id")))
     return language_net.predict(docs.select("doc_id", "text"), net).select(
         "doc_id", language_net.held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query("op11_alignment")
+def op11(spark, root):
+    return alignment.aligned(table(spark, root, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+@query("op12_filter_audit", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+m AS (
+  SELECT doc_id, part, CAST(len(w) < 100 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 80 * len(w) AS INTEGER)
+    + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS INTEGER)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+    + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INTEGER) AS mask FROM d),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM m LEFT JOIN l ON l.doc_id = m.doc_id GROUP BY part, mask),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS x(f, bit)),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a JOIN f b ON b.f <> a.f JOIN f c ON c.f NOT IN (a.f, b.f) JOIN f d ON d.f NOT IN (a.f, b.f, c.f)
+  JOIN f e ON e.f NOT IN (a.f, b.f, c.f, d.f)),
+s AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0) AS before
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step) AS k),
+r AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & CAST(before AS INTEGER) = 0 AND mask & bit = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & CAST(before AS INTEGER) = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & CAST(before AS INTEGER) <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & CAST(before AS INTEGER) = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & CAST(before AS INTEGER) = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+""")
+def op12(spark, root):
+    failed = filter_audit.failures(table(spark, root, "documents"))
+    return filter_audit.audit(failed, table(spark, root, "labels"))
