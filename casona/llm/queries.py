@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casona.llm import alignment, filter_audit, language_net, minhash_dedup, mixing, packing, quality_net, secrets, topk_search, vector_dedup, warc, wavelet
+from casona.llm import alignment, filter_audit, language_net, minhash_dedup, mixing, packing, pii_net, quality_net, secrets, topk_search, vector_dedup, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -216,3 +216,9 @@ FROM r
 def op12(spark, root):
     failed = filter_audit.failures(table(spark, root, "documents"))
     return filter_audit.audit(failed, table(spark, root, "labels"))
+
+
+@query("op13_pii")
+def op13(spark, root):
+    docs = table(spark, root, "documents")
+    return pii_net.digest(pii_net.scan(docs, pii_net.fit(docs)))
