@@ -18,6 +18,7 @@ from casona.plans.queries_extraction import IDS
 from casona.plans.sqlparts import stamp
 from casona.plans.standins import DETAIL_PAGES, LISTINGS, LOGS
 from casona.operators import accounting as acc
+from casona.operators.keyed import RawTable
 from casona.session import shared_folder
 from casona.sources import rules
 from casona.streaming import jobs
@@ -43,8 +44,9 @@ def _complete(t, stream: DataFrame) -> DataFrame:
 
     stream.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{out}/state").trigger(
         availableNow=True).start().awaitTermination()
-    last = jobs._numbered_folders(t.spark, f"{out}/rows", "batch=")[-1]
-    return t.spark.read.parquet(f"{out}/rows/batch={last}")
+    batches = t.spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows")
+    last = batches.agg(F.max("batch")).first()[0]
+    return batches.filter(F.col("batch") == last).drop("batch")
 
 
 def _append(t, stream: DataFrame) -> DataFrame:
@@ -135,17 +137,54 @@ RAW_TABLE = """
     enrich_status string, publish_status string, error string"""
 
 
+def _stamped(payloads: DataFrame) -> DataFrame:
+    return payloads.withColumns({"run_id": F.lit(1).cast("bigint"), "scraped_at": F.lit("2024-06-01").cast("timestamp")})
+
+
+def _raw_table(t, path: str, buckets: int = 16) -> RawTable:
+    return RawTable(t.spark, path, t.spark.createDataFrame([], RAW_TABLE).schema, buckets)
+
+
 @query("stream_ingest", f"""
     SELECT source, {IDS} AS source_listing_id, url AS source_url, 'pending' AS extract_status, true AS was_new FROM v_details""")
 def stream_ingest(t):
     pages = _stream(t, "pages", DETAIL_PAGES).select("source", "url", "html")
     rule_rows = rules.rule_table(t.spark)
-
-    def to_payloads(batch: DataFrame) -> DataFrame:
-        return ex.assemble_payload(batch, rule_rows).withColumns({
-            "run_id": F.lit(1).cast("bigint"), "scraped_at": F.lit("2024-06-01").cast("timestamp")})
-
-    table = _folder(t)
-    jobs.stream_ingest(pages, to_payloads, f"{table}/raw", f"{table}/state").awaitTermination()
-    empty = t.spark.createDataFrame([], RAW_TABLE)
-    return jobs.current_raw(t.spark, f"{table}/raw", empty).select("source", "source_listing_id", "source_url", "extract_status", "was_new")
+    at = _folder(t)
+    table = _raw_table(t, f"{at}/raw")
+    to_payloads = lambda batch: _stamped(ex.assemble_payload(batch, rule_rows))
+    jobs.stream_ingest(pages, to_payloads, table, f"{at}/state").awaitTermination()
+    return table.read().select("source", "source_listing_id", "source_url", "extract_status", "was_new")
+
+
+@query("ingest_snapshots", f"""
+    SELECT source, source_listing_id, CAST(max(version) AS INTEGER) AS version, count(*) > 1 AS returned, CASE WHEN max(version) = 2 THEN count(*) = 1 END AS was_new FROM (
+      SELECT source, {IDS} AS source_listing_id, 1 AS version FROM v_details
+      UNION ALL SELECT source, {IDS}, 2 FROM v_details WHERE length(page_html) % 2 = 0
+      UNION ALL SELECT source, 'late-' || page_id, 2 FROM v_details WHERE length(page_html) % 3 = 0) GROUP BY 1, 2""")
+def ingest_snapshots(t):
+    """Two streamed batches with a compaction between them; what was there before is told from the older snapshot."""
+    at = _folder(t)
+    rows = ex.assemble_payload(t.v_details.select("source", "url", "html"), rules.rule_table(t.spark))
+    pages = t.v_details.select(F.col("url").alias("source_url"), "page_id", F.length("page_html").alias("size"))
+    rows = _stamped(rows.join(pages, "source_url"))
+    first = rows.drop("page_id", "size")
+    again = rows.filter("size % 2 = 0").drop("page_id", "size")
+    late = rows.filter("size % 3 = 0").withColumn("source_listing_id", F.concat(F.lit("late-"), "page_id")).drop("page_id", "size")
+    second = again.unionByName(late).withColumn("run_id", F.lit(2).cast("bigint"))
+    first.write.parquet(f"{at}/in/batch=1")
+    table = _raw_table(t, f"{at}/raw")
+
+    def run() -> None:
+        arriving = t.spark.readStream.schema(first.schema).parquet(f"{at}/in/batch=*")
+        jobs.stream_ingest(arriving, lambda batch: batch, table, f"{at}/state").awaitTermination()
+
+    run()
+    table.compact()
+    before = table.snapshot()
+    second.write.parquet(f"{at}/in/batch=2")
+    run()
+    old = table.read(before).select("source", "source_listing_id", F.lit(True).alias("old"))
+    return table.read().select("source", "source_listing_id", F.col("run_id").cast("int").alias("version"), "was_new").join(
+        old, ["source", "source_listing_id"], "left").select(
+        "source", "source_listing_id", "version", (F.coalesce("old", F.lit(False)) & (F.col("version") == 2)).alias("returned"), "was_new")

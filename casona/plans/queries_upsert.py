@@ -6,12 +6,16 @@ untouched rows all occur.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from casona.operators import upsert as up
+from casona.operators.keyed import CanonicalTable, RawTable
 from casona.plans import sqlparts as p
 from casona.plans.catalog import query
 from casona.plans.sqlparts import stamp
+from casona.session import shared_folder
 
 AT = "2024-06-01 12:00:00"
 
@@ -50,6 +54,35 @@ def upsert_raw(t):
     return out.select("source", "source_listing_id", "run_id", _stamp("scraped_at").alias("scraped_at"), "dedupe_status", "error", "was_new")
 
 
+def _table(t, kind, name: str, rows, buckets: int = 16):
+    """A bucket table in the shared folder that holds some rows."""
+    table = kind(t.spark, f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}", rows.schema, buckets)
+    table.merge("start", 0, rows, lambda now, new: new)
+    return table
+
+
+@query("bucketed_upsert_raw", f"""
+    WITH c AS ({RAW_CURRENT.format(orders='orders')}), p AS ({RAW_PAYLOADS.format(lineitem='lineitem').replace('FROM lineitem', ", l_linestatus = 'O' AS late FROM lineitem")}),
+    b AS (SELECT source, source_listing_id, arg_max(run_id, (late, scraped_at, seq)) AS run_id, arg_max(scraped_at, (late, scraped_at, seq)) AS scraped_at, bool_or(late) AS late, bool_or(NOT late) AS early
+      FROM p GROUP BY 1, 2)
+    SELECT source, source_listing_id, coalesce(b.run_id, c.run_id) AS run_id, {stamp('coalesce(b.scraped_at, c.scraped_at)')} AS scraped_at,
+      CASE WHEN b.source IS NOT NULL THEN 'pending' ELSE c.dedupe_status END AS dedupe_status, CASE WHEN b.source IS NULL THEN c.error END AS error,
+      CASE WHEN b.late THEN c.source IS NULL AND NOT b.early END AS was_new
+    FROM c FULL JOIN b USING (source, source_listing_id)""")
+def bucketed_upsert_raw(t):
+    """Two runs on a bucketed raw table; new records of the second are told by the snapshot before it."""
+    table = _table(t, RawTable, "raw", t.sql(RAW_CURRENT).drop("o_orderkey"))
+    payloads = t.sql(RAW_PAYLOADS.replace("FROM {lineitem}", ", l_linestatus = 'O' AS late FROM {lineitem}"))
+    early, late = payloads.filter("NOT late").drop("late"), payloads.filter("late").drop("late")
+    table.upsert(1, early, ("scraped_at", "seq"))
+    before = table.snapshot()
+    table.upsert(2, late, ("scraped_at", "seq"))
+    table.upsert(2, early, ("scraped_at", "seq"))  # a run that is there already
+    new = table.known_before(late, before)
+    return table.read().drop("was_new").join(new, ["source", "source_listing_id"], "left").select(
+        "source", "source_listing_id", "run_id", _stamp("scraped_at").alias("scraped_at"), "dedupe_status", "error", "was_new")
+
+
 CHANGES = """
     SELECT l_orderkey AS id, CAST(l_shipdate AS TIMESTAMP) AS seen_at, ((l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey AS seq,
       CASE WHEN l_returnflag = 'N' THEN NULL ELSE 'House ' || CAST(l_partkey AS STRING) END AS title_en,
@@ -80,6 +113,27 @@ def merge_canonical(t):
         F.col("year_built").cast("int").alias("year_built"), _stamp("updated_at").alias("updated_at"))
 
 
+FOLDED = """SELECT id, arg_max(title_en, (seen_at, seq)) FILTER (title_en IS NOT NULL) AS title_en, arg_max(price, (seen_at, seq)) FILTER (price IS NOT NULL) AS price,
+    arg_min(address_line, (seen_at, seq)) FILTER (address_line IS NOT NULL) AS address_line, arg_max(features, (seen_at, seq)) FILTER (len(features) > 0) AS features,
+    arg_min(year_built, (seen_at, seq)) FILTER (year_built IS NOT NULL) AS year_built"""
+
+
+@query("bucketed_merge_canonical", f"""
+    WITH e AS ({FOLDED} FROM ({CHANGES.format(lineitem='lineitem')}) WHERE seq % 2 = 0 GROUP BY id), l AS ({FOLDED} FROM ({CHANGES.format(lineitem='lineitem')}) WHERE seq % 2 = 1 GROUP BY id)
+    SELECT c.id, c.slug, coalesce(l.title_en, e.title_en, c.title_en) AS title_en, coalesce(l.price, e.price, c.price) AS price, coalesce(c.address_line, e.address_line, l.address_line) AS address_line,
+      array_to_string(coalesce(l.features, e.features, c.features), '|') AS features, CAST(coalesce(c.year_built, e.year_built, l.year_built) AS INTEGER) AS year_built,
+      CASE WHEN e.id IS NOT NULL OR l.id IS NOT NULL THEN '{AT}.000000' ELSE {stamp('c.updated_at')} END AS updated_at
+    FROM ({CANON.format(v_listings='v_listings')}) c LEFT JOIN e ON e.id = c.id LEFT JOIN l ON l.id = c.id""")
+def bucketed_merge_canonical(t):
+    """Two runs of changes on a bucketed canonical table."""
+    table = _table(t, CanonicalTable, "canonical", t.sql(CANON))
+    for run, odd in enumerate((0, 1)):
+        table.update(run, t.sql(CHANGES).filter(F.col("seq") % 2 == odd), ["seen_at", "seq"], at())
+    return table.read().select(
+        "id", "slug", "title_en", "price", "address_line", F.array_join("features", "|").alias("features"),
+        F.col("year_built").cast("int").alias("year_built"), _stamp("updated_at").alias("updated_at"))
+
+
 @query("insert_canonical", f"""
     SELECT sha256('C|' || c_custkey) AS id, 'customer' AS slug, 'customer' AS origin, CASE WHEN trim(coalesce(c_mktsegment, '')) = 'HOUSEHOLD' OR c_nationkey = 5 OR c_acctbal < 0 THEN 'pending_review' ELSE 'active' END AS status,
       CASE WHEN c_nationkey = 7 THEN 'other' ELSE 'house' END AS property_type, 'CR' AS country

@@ -21,6 +21,17 @@ COMMIT, BUCKET, ADDED = "_commit", "_bucket", "_added"
 Fold = Callable[[DataFrame, DataFrame], DataFrame]
 
 
+def _loose(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed everywhere, as files give it back."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_loose(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_loose(kind.keyType), _loose(kind.valueType))
+    return kind
+
+
 class Conflict(RuntimeError):
     """Another writer made the next version first."""
 
@@ -103,7 +114,7 @@ class BucketTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 256, fold: Fold | None = None):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), _loose(schema)
         self.keys, self.buckets, self.fold = list(keys), buckets, fold
         self.files = _Files(spark, self.path)
 

@@ -8,64 +8,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from casona import refdata
-from casona.operators import upsert
 from casona.operators.accounting import COST
+from casona.operators.keyed import RawTable
 
 
 def stream_ingest(
-    pages: DataFrame, to_payloads: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, **trigger,
+    pages: DataFrame, to_payloads: Callable[[DataFrame], DataFrame], table: RawTable, checkpoint: str, writer: str = "stream", **trigger,
 ) -> StreamingQuery:
-    """Page arrivals -> payloads -> raw table, as an append-only log of batches.
+    """Page arrivals -> payloads -> raw table: micro-batch n is one append, numbered n by ``writer``.
 
-    Micro-batch n overwrites its own folder ``arrivals/batch=n``, so a replayed batch changes
-    nothing, and no batch rewrites earlier data. ``current_raw`` folds the log at read time and
-    ``compact_raw`` moves the fold into a new base now and then.
+    A batch writes its own rows only and reads nothing; its commit is one manifest. A replayed
+    batch changes nothing, readers fold waiting rows for the buckets that have some, and
+    ``RawTable.compact`` rewrites the fullest buckets while readers keep their snapshot.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        to_payloads(batch).write.mode("overwrite").parquet(f"{table}/arrivals/batch={batch_id}")
+        table.arrive(batch_id, to_payloads(batch), writer)
 
     return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
         **(trigger or {"availableNow": True})).start()
 
 
-def _numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the complete ``<prefix><n>`` folders under a path, on any Hadoop file system."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [(st.getPath().getName(), st.getPath()) for st in fs.listStatus(root)]
-    return sorted(
-        int(name[len(prefix):]) for name, at in names
-        if name.startswith(prefix) and fs.exists(hadoop.Path(at, "_SUCCESS")))
-
-
-def current_raw(spark: SparkSession, table: str, empty_raw: DataFrame) -> DataFrame:
-    """Raw table as of the last complete batch: the newest base with later arrivals upserted."""
-    bases = _numbered_folders(spark, f"{table}/base", "upto=")
-    base = spark.read.parquet(f"{table}/base/upto={bases[-1]}") if bases else empty_raw
-    later = [n for n in _numbered_folders(spark, f"{table}/arrivals", "batch=") if not bases or n > bases[-1]]
-    if not later:
-        return base
-    paths = [f"{table}/arrivals/batch={n}" for n in later]
-    log = spark.read.option("basePath", f"{table}/arrivals").parquet(*paths)
-    nxt = upsert.upsert_raw(base.drop("was_new"), log, order=("batch", "scraped_at"))
-    return nxt
-
-
-def compact_raw(spark: SparkSession, table: str, empty_raw: DataFrame) -> None:
-    """Write the current fold as a new base; old folders may be removed afterwards."""
-    done = _numbered_folders(spark, f"{table}/arrivals", "batch=")
-    if done:
-        current_raw(spark, table, empty_raw).drop("was_new").write.mode("overwrite").parquet(
-            f"{table}/base/upto={done[-1]}")
-
-
 def error_rates(
     fetches: DataFrame, window: str = "1 hour", watermark: str = "2 hours", min_sample: int = refdata.PAUSE_MIN_SAMPLE
 ) -> DataFrame:

@@ -3,8 +3,11 @@
 import datetime as dt
 import uuid
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from casona.operators.keyed import RawTable
 from casona.session import shared_folder
 from casona.streaming import jobs
 
@@ -28,31 +31,54 @@ def payloads(batch):
 
 def test_ingest_updates_replays_and_compacts(spark):
     at, schema = folder(spark), "source string, url string, html string, fetched_at timestamp"
-    empty = spark.createDataFrame([], RAW)
+    table = RawTable(spark, f"{at}/raw", spark.createDataFrame([], RAW).schema, 4)
     day = lambda d: dt.datetime(2024, 6, d)
 
     def run():
         pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/pages")
-        jobs.stream_ingest(pages, payloads, f"{at}/raw", f"{at}/state").awaitTermination()
+        jobs.stream_ingest(pages, payloads, table, f"{at}/state").awaitTermination()
 
-    def now():
-        return {r.source_listing_id: r.raw_html for r in jobs.current_raw(spark, f"{at}/raw", empty).collect()}
+    def now(snapshot=None):
+        return {r.source_listing_id: (r.raw_html, r.was_new) for r in table.read(snapshot).collect()}
 
     arrive(spark, f"{at}/pages", [("s", "a", "1", day(1)), ("s", "b", "1", day(1))], schema)
     run()
     arrive(spark, f"{at}/pages", [("s", "a", "2", day(2)), ("s", "c", "2", day(2))], schema)
     run()
-    want = {"a": "2", "b": "1", "c": "2"}
+    want = {"a": ("2", True), "b": ("1", True), "c": ("2", True)}
     assert now() == want
-    # a batch that is written once more, as after a failure, changes nothing
-    again = spark.read.parquet(f"{at}/raw/arrivals/batch=1").collect()
-    spark.createDataFrame(again, spark.read.parquet(f"{at}/raw/arrivals/batch=1").schema).write.mode("overwrite").parquet(f"{at}/raw/arrivals/batch=1")
-    assert now() == want
-    jobs.compact_raw(spark, f"{at}/raw", empty)
-    assert now() == want
-    arrive(spark, f"{at}/pages", [("s", "b", "3", day(3))], schema)
+    # a batch that comes once more, as after a failure, changes nothing
+    again = payloads(spark.createDataFrame([("s", "a", "9", day(9))], schema))
+    assert not table.arrive(1, again) and not table.arrive(0, again) and now() == want
+    before = table.snapshot()
+    table.compact()
+    settled = {k: (v, None) for k, (v, _) in want.items()}
+    assert now() == settled and now(before) == want
+    arrive(spark, f"{at}/pages", [("s", "b", "3", day(3)), ("s", "d", "3", day(3))], schema)
     run()
-    assert now() == {**want, "b": "3"}
+    assert now() == {**settled, "b": ("3", False), "d": ("3", True)}
+    assert {r.source_listing_id for r in table.read().filter("extract_status = 'pending'").collect()} == set("abcd")
+
+
+def test_crash_between_rows_and_manifest(spark, monkeypatch):
+    at, schema = folder(spark), "source string, url string, html string, fetched_at timestamp"
+    table = RawTable(spark, f"{at}/raw", spark.createDataFrame([], RAW).schema, 4)
+    arrive(spark, f"{at}/pages", [("s", "a", "1", dt.datetime(2024, 6, 1))], schema)
+
+    def run():
+        pages = spark.readStream.schema(schema).parquet(f"{at}/pages")
+        jobs.stream_ingest(pages, payloads, table, f"{at}/state").awaitTermination()
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(RawTable, "_commit", dies)
+        with pytest.raises(StreamingQueryException):
+            run()
+    assert table.read().count() == 0
+    run()  # the stream takes the same batch up again
+    assert [r.source_listing_id for r in table.read().collect()] == ["a"]
 
 
 def test_windows_close_once_and_late_rows_drop(spark):
