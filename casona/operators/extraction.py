@@ -293,19 +293,20 @@ def prompt_key(html_col, raw_extracted, breadcrumbs, url) -> Column:
     ), 256)
 
 
-def apply_extraction(payloads: DataFrame, responses: DataFrame) -> DataFrame:
+def apply_extraction(payloads: DataFrame, responses: DataFrame, replied: str | None = None) -> DataFrame:
     """Typed record per payload from stored replies (prompt_key, reply); the rest is salvaged.
 
     One shuffle join on the key; a key stored twice keeps its greatest reply, so the result does
-    not depend on order.
+    not depend on order. ``replied`` names a column that tells whether there was a reply.
     """
     stored = responses.groupBy(F.col("prompt_key").alias("_key")).agg(F.max("reply").alias("_text"))
     keyed = payloads.withColumn("_key", prompt_key("raw_html", "raw_extracted", "breadcrumbs", "source_url"))
     joined = keyed.join(stored, "_key", "left").drop("_key")
-    parsed = joined.withColumn("_reply", parse_tolerant_json("_text")).drop("_text")
+    answered = {replied: F.col("_text").isNotNull()} if replied else {}
+    parsed = joined.withColumns({**answered, "_reply": parse_tolerant_json("_text")}).drop("_text")
     names = [*schemas.EXTRACTED_FIELDS, "floorplans", "extra_data", "confidence_per_field"]
     read = validate_extracted(parsed, "_reply").drop("_reply")
     typed = title_backstop(breadcrumb_fallback(read)).withColumn("_read", F.struct(*names)).drop(*names)
     both = salvage_record(typed).withColumn("_salvaged", F.struct(*names)).drop(*names)
     chosen = F.when(F.col("valid"), F.col("_read")).otherwise(F.col("_salvaged"))
-    return both.withColumn("_r", chosen).select(*payloads.columns, "_r.*", (~F.col("valid")).alias("salvaged"))
+    return both.withColumn("_r", chosen).select(*payloads.columns, "_r.*", (~F.col("valid")).alias("salvaged"), *answered)

@@ -1,4 +1,4 @@
-"""The ingest run: every stage over all rows it may take, stages skippable and re-runnable."""
+"""The stages of an ingest run as one plan, and the market report. ``plans.warehouse`` runs them stage by stage over stored tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casona.operators import accounting, enrich as enrich_ops, entity_resolution as er, extraction, normalize as norm, upsert
+from casona.operators import enrich as enrich_ops, entity_resolution as er, extraction, normalize as norm, upsert
 
 STAGES = ("extract", "normalize", "dedupe", "enrich", "publish")
 
@@ -43,11 +43,6 @@ def run_stages(
     return out
 
 
-def rerun(raw: DataFrame, stage: str, outcomes: DataFrame) -> DataFrame:
-    """Write one stage's outcomes back and leave later stages to ``accounting.ready_for``."""
-    return accounting.stage_transition(raw, outcomes, stage)
-
-
 def market_report(listings: DataFrame, rates: DataFrame) -> DataFrame:
     """Active listings per region and category: count, price range and total, beach distance.
 

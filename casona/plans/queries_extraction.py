@@ -6,13 +6,16 @@ operator must find is known from the page number.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from casona.functions import dom, html, text, urls
-from casona.operators import extraction as ex
+from casona.functions import dom, html, money, text, urls
+from casona.operators import entity_resolution as er, extraction as ex
 from casona.plans import sqlparts as p
 from casona.plans.catalog import query
-from casona.session import small_table
+from casona.plans.warehouse import Warehouse, record_id
+from casona.session import shared_folder, small_table, stored
 from casona.sources import discovery, rules
 
 PID = "CAST(page_id AS VARCHAR)"
@@ -327,3 +330,67 @@ def run_stages(t):
     tags = t.part.select(F.col("p_partkey").cast("string").alias("id"), F.array(F.lit("pool")).alias("features"), F.array(F.lit("eco")).alias("tags"))
     out = ingest.run_stages(payloads(t), responses=none, rates=money.rate_table(t.spark), copy=copy, tags=tags)
     return out.select("source_listing_id", "region_slug", "action", "status")
+
+
+FOUND = ["title", "price_usd", "bedrooms", "bathrooms", "lot_sqm", "interior_sqm", "locality", "canton", "property_type", "mls_id", "listing_agent_name", "address_line", "lat", "lng"]
+
+
+def _same_address(new, canonical):
+    """Pairs of records and published listings at one address, by the listing's id."""
+    side = lambda df, x, key: df.withColumn("title", F.col("title_en") if "title_en" in df.columns else F.col("title")).select(
+        F.col("id").alias(key), F.col("address_line").alias(f"_{x}"), *(F.col(c).alias(f"{x}_{c}") for c in FOUND))
+    pairs = side(new, "a", "query_id").join(side(canonical, "b", "base_id"), F.col("_a") == F.col("_b"))
+    return pairs.withColumn("rank", F.lit(1))
+
+
+SIZE = "length(page_html)"
+RECORD_SQL = f"""sha256('["' || source || '","' || {IDS} || '"]')"""
+
+
+@query("joined_run", f"""
+    WITH d AS (SELECT page_id, {RECORD_SQL} AS rid, {IDS} AS source_listing_id, source, CASE WHEN {SIZE} % 3 <> 0 THEN 1 ELSE 2 END AS run, page_id % 15 = 7 AS broken,
+      page_id % 4 = 1 AND page_id % 15 <> 7 AS twin, page_id % 5 IN (0, 3) AS placed FROM v_details),
+    g AS (SELECT page_id // 8 AS k, placed, arg_min(rid, (run, rid)) AS head FROM d WHERE twin GROUP BY 1, 2),
+    x AS (SELECT d.*, g.head, CASE WHEN broken THEN 'create' WHEN page_id % 8 = 0 THEN 'merge' WHEN page_id % 8 = 4 THEN 'review' WHEN twin AND head <> rid THEN 'merge' ELSE 'create' END AS action
+      FROM d LEFT JOIN g ON d.twin AND g.k = d.page_id // 8 AND g.placed = d.placed)
+    SELECT source, source_listing_id, 'done' AS publish_status, CAST(run AS VARCHAR) AS run_id, action,
+      CASE WHEN broken THEN 'no_match' WHEN page_id % 4 = 0 THEN 'embedding' WHEN action = 'merge' THEN 'same_text' ELSE 'no_match' END AS method,
+      CAST(CASE WHEN broken THEN 0 WHEN page_id % 8 = 0 THEN 1 WHEN page_id % 8 = 4 THEN 0.75 WHEN action = 'merge' THEN 1 ELSE 0 END AS DECIMAL(3,2)) AS confidence,
+      CASE WHEN action = 'merge' AND page_id % 8 = 0 THEN 'old-' || page_id WHEN action = 'merge' THEN sha256(head) ELSE sha256(rid) END AS canonical_id,
+      CASE WHEN action = 'review' OR broken THEN 'pending_review' ELSE 'active' END AS status,
+      CASE WHEN broken THEN NULL WHEN page_id % 4 = 1 THEN 'Twin ' || (page_id // 8) ELSE 'Casa ' || page_id END AS title
+    FROM x""")
+def joined_run(t):
+    """All stages over two runs: replies that hit, miss and break; merges, reviews, twins; the second run takes up what failed."""
+    size, page = F.length("page_html"), F.col("page_id")
+    details = t.v_details
+    rows = ex.assemble_payload(details.select("source", "url", "html"), rules.rule_table(t.spark)).withColumn("scraped_at", F.lit("2024-06-01").cast("timestamp"))
+    pages = details.select(page, F.col("url").alias("source_url"), size.alias("size"))
+    title = F.when(page % 4 == 1, F.concat(F.lit("Twin "), F.floor(page / 8))).otherwise(F.concat(F.lit("Casa "), page))
+    reply = F.to_json(F.struct(
+        title.alias("title"), F.lit("en").alias("language"), F.lit(250000).alias("price"), F.lit("USD").alias("price_currency"), F.lit(3).alias("bedrooms"), F.lit(1000).alias("lot_sqm"),
+        F.concat(F.lit("Calle "), page).alias("address_line"), F.lit("Nosara").alias("locality"), F.lit("house").alias("property_type"),
+        F.lit("Ann").alias("listing_agent_name"), F.when(page % 8 == 0, F.concat(F.lit("M"), page)).alias("mls_id")))
+    replies = rows.join(pages, "source_url").select(
+        ex.prompt_key("raw_html", "raw_extracted", "breadcrumbs", "source_url").alias("prompt_key"), F.when(page % 15 == 7, "sorry").otherwise(reply).alias("reply"), "size")
+    replies = stored(replies, "replies")
+    old = details.filter(page % 4 == 0).select(
+        F.concat(F.lit("old-"), page).alias("id"), F.concat(F.lit("Kept "), page).alias("title_en"), F.lit("active").alias("status"), F.lit(250000).cast("decimal(14,2)").alias("price_usd"),
+        F.lit(3).cast("decimal(4,1)").alias("bedrooms"), F.lit(1000).cast("decimal(12,2)").alias("lot_sqm"), F.concat(F.lit("Calle "), page).alias("address_line"), F.lit("Nosara").alias("locality"),
+        F.lit("house").alias("property_type"), F.lit("Ann").alias("listing_agent_name"), F.concat(F.lit("M"), page).alias("mls_id"))
+    none = lambda ddl: small_table(t.spark, [], ddl)
+    copy = none("id string, title_en string, title_es string, description_en string, description_es string, rewritten_en string, rewritten_es string")
+    tags = details.select(F.sha2(F.lit("nothing"), 256).alias("id"), F.array(F.lit("pool")).alias("features"), F.array(F.lit("eco")).alias("tags")).limit(0)
+    house = Warehouse(
+        t.spark, f"{shared_folder(t.spark)}/warehouse-{uuid.uuid4().hex}", rates=money.rate_table(t.spark), finder=_same_address,
+        judge=lambda pairs: er.score_pairs(er.pair_features(pairs)), buckets=8)
+    house.canonical.insert("start", old)
+    at = F.lit("2024-06-01").cast("timestamp")
+    house.run(1, at, rows, responses=replies.filter("size % 3 <> 0"), copy=copy, tags=tags)
+    house.run(2, at, responses=replies, copy=copy, tags=tags, stages=("extract", "normalize", "dedupe"))
+    house.run(3, at, copy=copy, tags=tags, stages=("enrich", "publish"))
+    house.run(1, at, rows.limit(0), responses=replies.limit(0), copy=copy, tags=tags)  # a run that is there already
+    links = house.links.read().select("raw_id", "canonical_id", "action", "method", "confidence", F.when(F.col("run_id") == "1", "1").otherwise("2").alias("run_id"))
+    listings = house.canonical.read().select(F.col("id").alias("canonical_id"), "status", F.col("title_en").alias("title"))
+    return house.raw.read().select("source", "source_listing_id", "publish_status", record_id().alias("raw_id")).join(links, "raw_id", "left").join(
+        listings, "canonical_id", "left").drop("raw_id")

@@ -233,6 +233,9 @@ class BucketTable:
             return False
         old = self.snapshot()
         touched = self.buckets_of(changes)
+        if not touched:
+            self._commit(old, Snapshot(0, old.base, old.waiting, {**old.writers, writer: number}))
+            return True
         commit, filled = self._write(change(self.read(old, touched), changes))
         gone = set(touched)
         if not set(filled) <= gone:
