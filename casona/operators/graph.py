@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from casona.session import checkpoint
 
+#: A node with more than this share of all edges is joined by broadcast; there are at most 2 / share such nodes.
+HOT_SHARE = 0.001
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) for every node of edges (a, b); the component is its smallest node.
@@ -14,8 +17,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     neighbours of a node to the smallest node around it, a small star does so with the lower
     ones. Both keep components whole, and the edges end as one star around each smallest node,
     after a number of rounds that grows with the logarithm of the longest chain. A round is two
-    aggregates that combine before their shuffle and two joins whose hot side is splittable;
-    it ends in a reliable checkpoint, so a lost executor repeats one round only.
+    aggregates that combine before their shuffle and two joins; edges of the few nodes that have
+    a large share of them all stay where they are and meet these nodes' rows by broadcast. A
+    round ends in a reliable checkpoint, so a lost executor repeats one round only.
 
     Nulls, loops and repeated edges are ignored. Without edges the result is empty.
     """
@@ -26,7 +30,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     before = _fingerprint(stars)
     while before[0]:
-        stars = checkpoint(_small_star(_large_star(stars)))
+        least = max(1000, int(HOT_SHARE * before[0]))
+        stars = checkpoint(_small_star(_large_star(stars, least), least))
         after = _fingerprint(stars)
         if after == before:
             break
@@ -40,18 +45,31 @@ def _fingerprint(stars: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _large_star(stars: DataFrame) -> DataFrame:
+def _joined(stars: DataFrame, nodes: DataFrame, key: str, value: str, least: int) -> DataFrame:
+    """Edges with ``value`` of their node ``key``; nodes (key, value, n) with over ``least`` edges are broadcast.
+
+    All n add up to at most twice the edges, and ``least`` is a share of these, so the broadcast
+    side has at most 2 / HOT_SHARE rows.
+    """
+    hot = nodes.filter(F.col("n") > least).select(F.col(key).alias("_node"), F.col(value).alias("_value"))
+    met = stars.join(F.broadcast(hot), F.col(key) == F.col("_node"), "left")
+    cold = nodes.filter(F.col("n") <= least).select(key, value)
+    return met.filter("_node IS NOT NULL").select("hi", "lo", F.col("_value").alias(value)).unionByName(
+        met.filter("_node IS NULL").select("hi", "lo").join(cold, key).select("hi", "lo", value))
+
+
+def _large_star(stars: DataFrame, least: int) -> DataFrame:
     """(hi, smallest node among lo and lo's neighbours)."""
     around = (
         stars.select(F.col("hi").alias("lo"), F.col("lo").alias("near"))
         .unionByName(stars.select("lo", F.col("hi").alias("near")))
-        .groupBy("lo").agg(F.min("near").alias("near"))
+        .groupBy("lo").agg(F.min("near").alias("near"), F.count("*").alias("n"))
     )
-    return stars.join(around, "lo").select("hi", F.least("lo", "near").alias("lo")).distinct()
+    return _joined(stars, around, "lo", "near", least).select("hi", F.least("lo", "near").alias("lo")).distinct()
 
 
-def _small_star(stars: DataFrame) -> DataFrame:
+def _small_star(stars: DataFrame, least: int) -> DataFrame:
     """Lower neighbours of a node, and the node itself, hang on the smallest of them."""
-    lowest = stars.groupBy("hi").agg(F.min("lo").alias("lowest"))
-    moved = stars.join(lowest, "hi").filter("lo <> lowest").select(F.col("lo").alias("hi"), F.col("lowest").alias("lo"))
+    lowest = stars.groupBy("hi").agg(F.min("lo").alias("lowest"), F.count("*").alias("n"))
+    moved = _joined(stars, lowest, "hi", "lowest", least).filter("lo <> lowest").select(F.col("lo").alias("hi"), F.col("lowest").alias("lo"))
     return moved.unionByName(lowest.select("hi", F.col("lowest").alias("lo"))).distinct()

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+
+from pyspark.sql import functions as F, types as T
 
 from casona.functions import money, vectors
 from casona.operators import entity_resolution as er, normalize as norm
+from casona.operators.clusters import ClusterTable
 from casona.plans import sqlparts as p
 from casona.plans.catalog import query
+from casona.session import shared_folder
 
 TEXT_SQL = f"""coalesce(title, '') || ' | ' || coalesce(locality, '') || ', ' || coalesce(province, '') || ' | ' || coalesce(CAST(bedrooms AS VARCHAR), '')
     || 'br ' || coalesce(CAST(bathrooms AS VARCHAR), '') || 'ba ' || coalesce(CAST(interior_sqm AS VARCHAR), '') || 'm² | $' || coalesce(CAST({p.price_usd()} AS VARCHAR), '')"""
@@ -202,6 +206,24 @@ def cluster_batch(t):
 
 
 
+@query("cluster_batches", """
+    WITH RECURSIVE d AS (SELECT doc_id, sha256(lower(text)) AS h, n_chars // 40 AS z, source FROM documents),
+    e AS (SELECT a.doc_id AS a, b.b FROM d a JOIN (SELECT h, min(doc_id) AS b FROM d GROUP BY h) b USING (h) WHERE a.doc_id <> b.b
+      UNION SELECT a.doc_id, b.b FROM d a JOIN (SELECT z, source, min(doc_id) AS b FROM d GROUP BY z, source) b USING (z, source) WHERE a.doc_id <> b.b),
+    u AS (SELECT a AS s, b AS t FROM e UNION SELECT b, a FROM e),
+    r(id, seen) AS (SELECT s, s FROM u UNION SELECT u.t, r.seen FROM r JOIN u ON u.s = r.id)
+    SELECT id, min(seen) AS cluster_id FROM r GROUP BY id""")
+def cluster_batches(t):
+    """The edges of cluster_batch in three batches, by kind and then by source."""
+    docs = t.documents.select("doc_id", F.sha2(F.lower("text"), 256).alias("h"), F.floor(F.col("n_chars") / 40).alias("z"), "source")
+    sized = er.same_key_edges(docs, "doc_id", ["z", "source"])
+    late = sized.join(docs.filter(F.col("source") > "src15").select(F.col("doc_id").alias("a")), "a", "left_semi")
+    clusters = ClusterTable(t.spark, f"{shared_folder(t.spark)}/clusters-{uuid.uuid4().hex}", T.LongType(), 16)
+    for number, edges in enumerate((sized.join(late.select("a"), "a", "left_anti"), er.same_key_edges(docs, "doc_id", ["h"]), late)):
+        clusters.add(number, edges)
+    return clusters.read()
+
+
 @query("review_queue", """
     SELECT q.link_id, q.confidence, c.title AS canon_title, c.price AS canon_price, r.locality AS raw_locality FROM (
       SELECT * FROM v_links WHERE reviewed_at IS NULL AND confidence BETWEEN 0.60 AND 0.85 ORDER BY confidence DESC, link_id LIMIT 50) q
