@@ -89,6 +89,31 @@ def search(
     return rows, hits.agg(F.count("*").alias("total"))
 
 
+def search_after(cards: DataFrame, filters: SearchFilters, cursor: tuple | None = None, size: int = refdata.SEARCH_PAGE_SIZE) -> DataFrame:
+    """The rows after a cursor, in the order of ``search``: the next page, at the cost of a first one.
+
+    The cursor is (last_seen_at, id) of the last row shown; None asks for the first page. What lies
+    before it is filtered out at the scan, and every task keeps ``size`` rows at most. On a table
+    laid out by ``by_recency`` files and row groups before the cursor are skipped by their bounds.
+    """
+    hits = cards.filter(search_filter(filters))
+    if cursor is not None:
+        seen, last = cursor
+        if seen is None:
+            hits = hits.filter(F.col("last_seen_at").isNull() & (F.col("id") > last))
+        else:
+            at = F.lit(seen)
+            hits = hits.filter(F.col("last_seen_at").isNull() | (F.col("last_seen_at") <= at)).filter(
+                F.col("last_seen_at").isNull() | (F.col("last_seen_at") < at) | (F.col("id") > last))
+    return hits.orderBy(F.desc_nulls_last("last_seen_at"), "id").limit(size)
+
+
+def by_recency(cards: DataFrame, ranges: int) -> DataFrame:
+    """Rows range partitioned and sorted as pages show them, to be written as a table for ``search_after``."""
+    order = [F.desc_nulls_last("last_seen_at"), F.asc("id")]
+    return cards.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+
+
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 WEIGHTS = [("title_en", "1.0"), ("title_es", "1.0"), ("locality", "0.4"), ("canton", "0.4"), ("province", "0.2"), ("description_en", "0.1")]
 

@@ -62,6 +62,29 @@ def region_by_locality_contains(name, gazetteer=tuple(refdata.GAZETTEER)) -> Col
     return let(text.fold_text(name), lambda folded: _contained(folded, gazetteer))
 
 
+def region_by_gazetteer(df: DataFrame, gazetteer: DataFrame, name: str = "locality", out: str = "region_slug") -> DataFrame:
+    """Rows with the region of the first gazetteer row (ord, key, region), by ``ord``, whose key occurs in the folded name.
+
+    For gazetteers of any length. Each key is listed under its rarest gram of three characters
+    (short keys under themselves), each distinct name asks for its own grams, and only the keys
+    found so are looked for in the name. Keys are folded already; a null name, key or order has no
+    region, and an empty key occurs in every name that is not null.
+    """
+    keys = gazetteer.select("ord", "key", "region").filter("ord IS NOT NULL AND key IS NOT NULL").groupBy("key").agg(
+        F.min(F.struct("ord", "region")).alias("_g")).select("key", "_g.*")
+    grams = lambda c, n: F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(c) - (n - 1), F.lit(1))), lambda i: F.substr(c, i, F.lit(n))))
+    listed = keys.withColumn("_gram", F.explode(F.when(F.length("key") >= 3, grams(F.col("key"), 3)).otherwise(F.array("key"))))
+    common = listed.groupBy("_gram").agg(F.count("*").alias("_n"))
+    index = listed.join(common, "_gram").groupBy("key", "ord", "region").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
+    folded = df.withColumn("_folded", text.fold_text(name))
+    names = folded.select("_folded").filter("_folded IS NOT NULL").distinct()
+    own = F.col("_folded")
+    asked = names.withColumn("_gram", F.explode(F.array_distinct(F.concat(grams(own, 3), grams(own, 2), grams(own, 1), F.array(F.lit(""))))))
+    found = asked.join(index, "_gram").filter(own.contains(F.col("key"))).groupBy(own.alias("_name")).agg(F.min_by("region", "ord").alias("_region"))
+    return folded.join(found, own == F.col("_name"), "left").withColumn(out, F.col("_region")).drop("_folded", "_name", "_region")
+
+
 def region_from_levels(*names, gazetteer=tuple(refdata.GAZETTEER)) -> Column:
     """First name that yields a region; for each name the exact key goes before containment."""
     def region(name) -> Column:

@@ -9,6 +9,7 @@ from casona.functions import geo, money, text
 from casona.operators import enrich, normalize as norm
 from casona.plans import ingest, sqlparts as p
 from casona.plans.catalog import query, values
+from casona.session import small_table
 from casona.sources.tables import reference_tables as seed_tables
 
 
@@ -48,6 +49,22 @@ def fold_text(t):
     return folded.select("doc_id", F.length("f").cast("bigint").alias("n"), F.md5("f").alias("folded"))
 
 
+@query("gazetteer_region", f"""
+    WITH g AS (SELECT c_custkey * 7919 % 100003 AS ord, CASE WHEN c_custkey % 20 = 0 THEN {p.fold("c_mktsegment")} || ' ' ELSE '' END || CAST(c_custkey AS VARCHAR) AS key, 'r' || c_nationkey AS region FROM customer
+      UNION ALL SELECT 200000 + ord, key, region FROM f_localities)
+    SELECT id, (SELECT arg_min(region, ord) FROM g WHERE contains({p.fold("coalesce(title, locality)")}, g.key)) AS region_slug FROM v_listings""")
+def gazetteer_region(t):
+    """A gazetteer as long as the customer table, of numbers, words with numbers and place names, in titles."""
+    number = F.col("c_custkey").cast("string")
+    long = t.customer.select(
+        (F.col("c_custkey") * 7919 % 100003).alias("ord"),
+        F.when(F.col("c_custkey") % 20 == 0, F.concat(text.fold_text("c_mktsegment"), F.lit(" "), number)).otherwise(number).alias("key"),
+        F.concat(F.lit("r"), "c_nationkey").alias("region"))
+    fixed = small_table(t.spark, [(200000 + i, k, r) for i, (k, r) in enumerate(refdata.GAZETTEER)], "ord bigint, key string, region string")
+    rows = t.v_listings.select("id", F.coalesce("title", "locality").alias("place"))
+    return norm.region_by_gazetteer(rows, long.unionByName(fixed), "place").select("id", "region_slug")
+
+
 @query("region_locality", f"""
     SELECT id, (SELECT arg_min(region, ord) FROM f_localities g WHERE g.key = {p.fold('locality')}) AS by_key,
       (SELECT arg_min(region, ord) FROM f_localities g WHERE contains({p.fold('locality')}, g.key)) AS by_part,

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+
+from pyspark.sql import functions as F, types as T
 
 from casona.functions import geo, money
 from casona.operators import enrich, listings as ls, normalize as norm
+from casona.operators.textindex import TextIndex
 from casona.plans import sqlparts as p
 from casona.plans.catalog import query
+from casona.session import shared_folder
 
 CANON_SQL = f"""
     SELECT l.*, l.source_listing_id AS slug, l.title AS title_en, l.locality AS title_es, l.description AS description_en,
@@ -69,6 +73,20 @@ def search_page(t):
     return rows.select("id", "price_usd", "property_type")
 
 
+@query("search_after", """
+    SELECT id, strftime(last_seen_at, '%Y-%m-%d') AS day FROM v_listings WHERE status = 'active' AND locality IN ('Nosara', 'Puerto Viejo', 'Uvita de Osa') ORDER BY last_seen_at DESC NULLS LAST, id LIMIT 100 OFFSET 200""")
+def search_after(t):
+    """The third page by cursors, over a table laid out for paging."""
+    path = f"{shared_folder(t.spark)}/by-recency-{uuid.uuid4().hex}"
+    ls.by_recency(t.v_listings.withColumn("region_slug", F.col("locality")), 8).write.parquet(path)
+    cards, cursor = t.spark.read.parquet(path), None
+    filters = ls.SearchFilters(regions=("Nosara", "Puerto Viejo", "Uvita de Osa"))
+    for _ in range(2):
+        shown = ls.search_after(cards, filters, cursor, 100).select("last_seen_at", "id").tail(1)
+        cursor = tuple(shown[0]) if shown else cursor
+    return ls.search_after(cards, filters, cursor, 100).select("id", F.date_format("last_seen_at", "yyyy-MM-dd").alias("day"))
+
+
 @query("search_total", f"WITH c AS ({CANON_SQL}) SELECT count(*) AS total FROM c WHERE {FILTER_SQL}")
 def search_total(t):
     return ls.search(canon(t), FILTERS)[1]
@@ -107,6 +125,25 @@ def fulltext_rank(t):
     return ls.fulltext_rank(_tokens(t), "Casa, BEACH house")
 
 
+CHANGED = """SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN 'Renovated beach casa' ELSE title END AS title, CASE WHEN id % 3 = 0 THEN NULL ELSE description END AS description) FROM v_listings WHERE id % 11 <> 0"""
+
+
+@query("text_index", f"""
+    SELECT id, CAST(sum(weight) AS DECIMAL(14,2)) AS score FROM ({TOKENS_SQL.replace('FROM v_listings', f'FROM ({CHANGED})')}) WHERE token IN ('casa', 'beach')
+    GROUP BY id HAVING count(*) = 2""")
+def text_index(t):
+    """A stored index after two updates: listings that changed and listings that went."""
+    rows = t.v_listings.select("id", F.col("title").alias("title_en"), "locality", "canton", "province", F.col("description").alias("description_en"))
+    index = TextIndex(t.spark, f"{shared_folder(t.spark)}/text-{uuid.uuid4().hex}", T.LongType(), 16)
+    index.update(0, rows)
+    third = F.col("id") % 3 == 0
+    changed = rows.filter(third).withColumns({"title_en": F.lit("Renovated beach casa"), "description_en": F.lit(None).cast("string")})
+    index.update(1, changed)
+    index.compact(most=8)
+    index.update(2, rows.limit(0), rows.filter("id % 11 = 0").select("id"))
+    return index.search("Beach, CASA")
+
+
 DOC_TOKENS = """
     SELECT token, id, CAST(count(*) AS DECIMAL(14,2)) AS weight FROM (
       SELECT doc_id AS id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS token FROM documents)

@@ -6,6 +6,7 @@ watermark are dropped and counted by Spark's own metrics.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -89,25 +90,78 @@ def run_sessions(logs: DataFrame, gap: str = "30 minutes", watermark: str = "1 h
         .select("run_id", F.col("_s.start").alias("started_at"), F.col("_s.end").alias("ended_at"), "events", "errors"))
 
 
+#: Price cells: level n is cut into cells of 4^n whole currency units; the highest level is one cell.
+LEVELS = 20
+MOST_BEDS = 12
+_ANY_TEXT, _ANY_BEDS, _ANY_PRICE = "\u0000", -1, -1
+
+
+def _pieces(low: str, high: str) -> str:
+    """SQL: the fewest cells (level, cell) that together are the whole numbers from ``low`` to ``high``.
+
+    A cell is taken where it lies inside the range and its parent does not: at most six a level.
+    """
+    first, last = f"(({low} + w - 1) div w)", f"(({high} + 1) div w - 1)"
+    up_first, up_last = f"(({low} + 4 * w - 1) div (4 * w))", f"(({high} + 1) div (4 * w) - 1)"
+    run = lambda a, b: f"if({a} <= {b}, sequence({a}, {b}), array())"
+    cells = f"if({up_first} > {up_last}, {run(first, last)}, concat({run(first, f'4 * {up_first} - 1')}, {run(f'4 * {up_last} + 4', last)}))"
+    cells = f"transform({cells}, c -> named_struct('level', l, 'cell', c))"
+    return f"flatten(transform(sequence(0, {LEVELS}), l -> element_at(transform(array(shiftleft(1L, 2 * l)), w -> {cells}), 1)))"
+
+
+def _clamped(c: str, kind: str, top: int) -> Column:
+    """Whole number from 0 to ``top``; null stays null (greatest and least would skip it)."""
+    return F.when(F.col(c).isNotNull(), F.least(F.greatest(F.floor(c).cast(kind), F.lit(0)), F.lit(top)))
+
+
+def _indexed(searches: DataFrame) -> DataFrame:
+    """A row for each key under which a listing finds a search: region, type, beds and a price cell."""
+    top = 4**LEVELS - 1
+    whole = lambda c: _clamped(c, "bigint", top)
+    bounds = searches.select(
+        "search_id", "min_price", "max_price", "min_beds", F.coalesce("region_slug", F.lit(_ANY_TEXT)).alias("_region"),
+        F.coalesce("property_type", F.lit(_ANY_TEXT)).alias("_type"),
+        F.coalesce(whole("min_price"), F.lit(0)).alias("_low"), F.coalesce(whole("max_price"), F.lit(top)).alias("_high"),
+        _clamped("min_beds", "int", MOST_BEDS).alias("_least"))
+    unlimited = F.col("min_price").isNull() & F.col("max_price").isNull()
+    price = F.when(unlimited, F.array(F.struct(F.lit(_ANY_PRICE).alias("level"), F.lit(0).cast("bigint").alias("cell")))).otherwise(F.expr(_pieces("_low", "_high")))
+    beds = F.coalesce(F.sequence("_least", F.lit(MOST_BEDS)), F.array(F.lit(_ANY_BEDS)))
+    return bounds.withColumn("_price", F.explode(price)).withColumn("_beds", F.explode(beds)).drop("_low", "_high", "_least")
+
+
+def _candidates(listings: DataFrame, searches: DataFrame) -> DataFrame:
+    """Active listings with the searches that they meet but for parts of a currency unit or a room and for beds beyond the highest.
+
+    A listing asks only for kinds of keys that some search has: whether region, type and beds are
+    named, and the price level. There are at most 8 * (LEVELS + 2) of them, so they are read first.
+    """
+    keys = _indexed(searches)
+    shape = [F.col("_region") == _ANY_TEXT, F.col("_type") == _ANY_TEXT, F.col("_beds") == _ANY_BEDS, F.col("_price.level")]
+    shapes = [r.asDict() for r in keys.select(*(c.alias(name) for name, c in zip("rtbl", shape))).distinct().collect()]
+    shapes = F.from_json(F.lit(json.dumps(shapes)), "array<struct<r: boolean, t: boolean, b: boolean, l: int>>")
+    active = listings.filter("status = 'active'").withColumns({
+        "_p": _clamped("price_usd", "bigint", 4**LEVELS - 1), "_b": _clamped("bedrooms", "int", MOST_BEDS), "_s": F.explode(shapes)})
+    active = active.withColumn("_k", F.struct(
+        F.when(F.col("_s.r"), _ANY_TEXT).otherwise(F.col("region_slug")).alias("region"), F.when(F.col("_s.t"), _ANY_TEXT).otherwise(F.col("property_type")).alias("type"),
+        F.when(F.col("_s.b"), _ANY_BEDS).otherwise(F.col("_b")).alias("beds"), F.col("_s.l").alias("level"),
+        F.when(F.col("_s.l") == _ANY_PRICE, 0).otherwise(F.expr("shiftright(_p, 2 * _s.l)")).alias("cell"))).drop("_p", "_b", "_s")
+    on = [F.col(f"_k.{a}") == F.col(b) for a, b in (("region", "_region"), ("type", "_type"), ("beds", "_beds"), ("level", "_price.level"), ("cell", "_price.cell"))]
+    return active.join(keys, on[0] & on[1] & on[2] & on[3] & on[4]).drop("_k", "_region", "_type", "_beds", "_price")
+
+
 def saved_search_matches(listings: DataFrame, searches: DataFrame) -> DataFrame:
     """New active listings that meet stored filters (search_id, region_slug, property_type, min_price, max_price, min_beds).
 
-    Null in any filter means no limit. Region and type are the equi-key: a listing asks for its own
-    values and for searches that name none. The stored searches are the static side, and Spark
-    broadcasts them only below its size threshold.
+    Null in any filter means no limit. Searches are indexed by region, type, beds and the cells
+    that make up their price range, so a listing meets few searches that do not match, also where
+    they name neither region nor type. The index is the static side, and Spark broadcasts it only
+    below its size threshold. A listing meets a search under one key at most.
     """
-    any_value = F.lit("\u0000")
-    s = searches.select(
-        "search_id", F.coalesce("region_slug", any_value).alias("_region"), F.coalesce("property_type", any_value).alias("_type"),
-        "min_price", "max_price", "min_beds")
     within: Column = (
         (F.col("min_price").isNull() | (F.col("price_usd") >= F.col("min_price")))
         & (F.col("max_price").isNull() | (F.col("price_usd") <= F.col("max_price")))
         & (F.col("min_beds").isNull() | (F.col("bedrooms") >= F.col("min_beds"))))
-    active = listings.filter("status = 'active'").withColumn("_r", F.explode(F.array("region_slug", any_value))).withColumn(
-        "_t", F.explode(F.array("property_type", any_value)))
-    return active.join(s, (F.col("_r") == F.col("_region")) & (F.col("_t") == F.col("_type"))).filter(within).drop(
-        "_r", "_t", "_region", "_type", "min_price", "max_price", "min_beds")
+    return _candidates(listings, searches).filter(within).drop("min_price", "max_price", "min_beds")
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:

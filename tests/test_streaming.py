@@ -130,3 +130,26 @@ def test_searches_without_a_region_match(spark):
         "search_id int, region_slug string, property_type string, min_price double, max_price double, min_beds int")
     got = {(r.id, r.search_id) for r in jobs.saved_search_matches(listings, searches).collect()}
     assert got == {(1, 7), (2, 7), (4, 7), (1, 8), (1, 9), (2, 9)}
+
+
+def test_searches_by_price_cells(spark):
+    """Against all pairs, with edges of cells, parts of a unit, nulls and reversed ranges; few pairs fail the filter."""
+    import random
+
+    rng = random.Random(3)
+    prices = [None, -5.0, 0.0, 0.5, 1.0, 15.99, 16.0, 16.01, 63.0, 64.0, 65.0, 1023.5, 1024.0, 4.0**20, 4.0**21] + [rng.uniform(0, 5000) for _ in range(120)]
+    listings = [(k, "active" if k % 7 else "sold", rng.choice(["n", "s", None]), rng.choice(["house", None]), p, rng.choice([None, 0, 1, 2.5, 3, 11, 12, 15])) for k, p in enumerate(prices)]
+    edge = lambda: rng.choice([None, 0.0, 0.5, 16.0, 63.99, 64.0, 1024.0, 4.0**20, rng.uniform(0, 5000)])
+    searches = [(k, rng.choice(["n", None, None]), rng.choice(["house", None, None]), edge(), edge(), rng.choice([None, 0, 2, 2.5, 12, 14])) for k in range(150)]
+    listings = [(a, b, c, d, e, None if f is None else float(f)) for a, b, c, d, e, f in listings]
+    searches = [(a, b, c, d, e, None if f is None else float(f)) for a, b, c, d, e, f in searches]
+    lf = spark.createDataFrame(listings, "id int, status string, region_slug string, property_type string, price_usd double, bedrooms double")
+    sf = spark.createDataFrame(searches, "search_id int, region_slug string, property_type string, min_price double, max_price double, min_beds double")
+    fits = lambda x, low, high: (low is None and high is None) or (x is not None and (low is None or x >= low) and (high is None or x <= high))
+    want = sorted(
+        (x[0], s[0]) for x in listings for s in searches
+        if x[1] == "active" and s[1] in (None, x[2]) and s[2] in (None, x[3]) and fits(x[4], s[3], s[4]) and fits(x[5], s[5], None))
+    got = sorted((r.id, r.search_id) for r in jobs.saved_search_matches(lf, sf).collect())
+    assert got == want and len(want) > 500
+    assert jobs._candidates(lf, sf).count() < 1.25 * len(want)
+    assert jobs.saved_search_matches(lf, sf.limit(0)).count() == 0
