@@ -20,8 +20,10 @@ from casona.llm.tokens import cuts
 
 UNITS = 12
 LONGEST = 24
-#: Documents of each language that are learned from, at most, and characters of such a document.
-SAMPLE, SAMPLE_CHARS = 400, 20_000
+#: Documents of each language that are learned from, at most: equally many of each bucket of ids.
+SAMPLE, SAMPLE_BUCKETS = 400, 16
+#: Characters of such a document; a longer one gives so many in equal pieces spread over its whole length.
+SAMPLE_CHARS, SAMPLE_PIECES = 20_000, 10
 #: Words of the sample that are learned from, at most, for each language.
 SAMPLE_WORDS = 6000
 STEPS, BATCH, RATE = 700, 256, 0.01
@@ -198,26 +200,34 @@ def train(rows: list[tuple[str, str]], seed: int = 3, steps: int = STEPS) -> Net
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Net:
-    """A network fitted to a bounded sample of ``docs``: those of each language with the smallest hashes of their id.
+    """A network fitted to a bounded sample of ``docs``: those of each language and id bucket with the smallest hashes of their id.
 
-    Rows with a null text, language or id and texts of over ``SAMPLE_CHARS`` characters are not
-    learned from; of rows that repeat an id and language the smallest text is.
+    Rows with a null text, language or id are not learned from; of rows that repeat an id and
+    language the smallest text is. No language is left out, however long or short its texts are.
     """
     rows = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"))
-    rows = rows.filter("d IS NOT NULL AND t IS NOT NULL AND l IS NOT NULL").filter(F.length("t") <= SAMPLE_CHARS)
-    first = Window.partitionBy("l").orderBy("h", "d")
-    keys = rows.select("l", "d").distinct().withColumn("h", F.xxhash64(F.lit(9), "d")).withColumn("n", F.row_number().over(first))
-    picked = keys.filter(F.col("n") <= sample)
-    chosen = rows.join(picked.select("d", "l"), ["d", "l"]).groupBy("l", "d").agg(F.min("t").alias("t")).orderBy("l", "d").collect()
-    return train([(r["t"], r["l"]) for r in chosen])
+    rows = rows.filter("d IS NOT NULL AND t IS NOT NULL AND l IS NOT NULL")
+    first = Window.partitionBy("l", "b").orderBy("h", "d")  # buckets split a language that has most rows
+    keys = rows.select("l", "d").distinct().withColumns({
+        "h": F.xxhash64(F.lit(9), "d"), "b": F.pmod(F.xxhash64(F.lit(10), "d"), F.lit(SAMPLE_BUCKETS))}).withColumn("n", F.row_number().over(first))
+    picked = keys.filter(F.col("n") <= -(-sample // SAMPLE_BUCKETS))
+    size, piece = F.length("t"), SAMPLE_CHARS // SAMPLE_PIECES
+    spread = F.array_join(F.transform(
+        F.sequence(F.lit(0), F.lit(SAMPLE_PIECES - 1)),
+        lambda k: F.substr("t", F.floor(k * (size - piece) / (SAMPLE_PIECES - 1)).cast("int") + 1, F.lit(piece))), " ")
+    chosen = rows.join(picked.select("d", "l"), ["d", "l"]).groupBy("l", "d").agg(F.min("t").alias("t"))
+    chosen = chosen.withColumn("t", F.when(size > SAMPLE_CHARS, spread).otherwise(F.col("t")))
+    return train([(r["t"], r["l"]) for r in chosen.orderBy("l", "d").collect()])
 
 
 def predict(docs: DataFrame, net: Net, text_col: str = "text") -> DataFrame:
     """The documents with ``lang_pred`` and ``lang_score``, the pooled probability of that language by the whole text.
 
     A null text, one without a letter, and any text if nothing was learned are ``und`` with score 0.
+    Columns of these names that the documents have already are replaced.
     """
     raw, languages = net.dump(), net.languages
+    docs = docs.drop("lang_pred", "lang_score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Net.load(raw, languages))

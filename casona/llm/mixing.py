@@ -109,29 +109,29 @@ def mix(
 def _with_taken(
     docs: DataFrame, plan: DataFrame, id_col: str, text_col: str, source_col: str,
 ) -> DataFrame:
-    """The documents that ``plan`` takes words of, with their _size and their own _taken.
+    """(row, size, taken): the documents that ``plan`` takes words of, whole, with what it takes of each.
 
     Rows of one key are equal in id, source and text, so any of them may give what the plan takes
     from another. Mostly all give the same. A key whose rows give unequal parts (where a source's
     target is reached: about one a source) has its rows numbered, and the first ones give more.
     """
-    want = stored(plan.groupBy(F.col("row_key").alias("_want")).agg(
-        F.max("size").alias("_size"), F.count("*").alias("_rows"), F.sum("taken").alias("_sum"),
-        F.min("taken").alias("_least"), F.max("taken").alias("_most")).filter("_sum > 0"), "mix-wanted")
-    keyed = docs.withColumn("_key", row_key(F.col(id_col), F.col(source_col), F.col(text_col)))
-    same = F.col("_key") == F.col("_want")
-    columns = [*docs.columns, "_size", "_taken"]
-    out = keyed.join(want.filter("_least = _most"), same).withColumn("_taken", F.col("_most")).select(*columns)
-    torn = stored(want.filter("_least < _most"), "mix-torn")
+    want = stored(plan.groupBy(F.col("row_key").alias("want")).agg(
+        F.max("size").alias("size"), F.count("*").alias("rows"), F.sum("taken").alias("sum"),
+        F.min("taken").alias("least"), F.max("taken").alias("most")).filter("sum > 0"), "mix-wanted")
+    keyed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), row_key(F.col(id_col), F.col(source_col), F.col(text_col)).alias("key"))
+    same = F.col("key") == F.col("want")
+    out = keyed.join(want.filter("least = most"), same).select("row", "size", F.col("most").alias("taken"))
+    torn = stored(want.filter("least < most"), "mix-torn")
     if torn.isEmpty():
         return out
-    rows = keyed.join(torn, same).withColumn("_row", F.monotonically_increasing_id())
-    order = [F.col(c) for c in docs.columns if c not in (id_col, source_col, text_col)] + [F.col("_row")]
-    rows = running_totals(rows, ["_key"], order, {"_place": F.lit(1)})
-    epochs = F.floor(F.col("_least") / F.col("_size")) * F.col("_size")
-    left = F.col("_sum") - F.col("_rows") * epochs - (F.col("_place") - 1) * F.col("_size")
-    rows = rows.withColumn("_taken", epochs + F.greatest(F.lit(0), F.least(F.col("_size"), left))).filter("_taken > 0")
-    return out.unionByName(rows.select(*columns))
+    rows = keyed.join(torn, same).withColumn("number", F.monotonically_increasing_id())
+    order = [F.col("row").getField(c) for c in docs.columns if c not in (id_col, source_col, text_col)] + [F.col("number")]
+    rows = running_totals(rows, ["key"], order, {"place": F.lit(1)})
+    epochs = F.floor(F.col("least") / F.col("size")) * F.col("size")
+    left = F.col("sum") - F.col("rows") * epochs - (F.col("place") - 1) * F.col("size")
+    rows = rows.withColumn("taken", epochs + F.greatest(F.lit(0), F.least(F.col("size"), left))).filter("taken > 0")
+    return out.unionByName(rows.select("row", "size", "taken"))
 
 
 def mixed(
@@ -144,14 +144,18 @@ def mixed(
     follow the text. ``plan`` is what ``mix`` gives for ``docs``; documents it does not take drop
     out. Rows with a null or repeated id give what the plan takes from each of them.
     """
-    joined = _with_taken(docs, plan, id_col, text_col, source_col)
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("_taken") / F.col("_size")).cast("bigint")))
-    rows = joined.withColumn("_copy", copies).withColumn(
-        "_words", F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")))
-    words = F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = F.when(F.col("_words") < F.col("_size"), F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), " "))
-    rows = rows.withColumn(text_col, F.coalesce(cut, F.col(text_col)))
-    for c in size_cols:
-        if c in docs.columns:
-            rows = rows.withColumn(c, F.when(F.col("_words") < F.col("_size"), F.length(text_col).cast("bigint")).otherwise(F.col(c)))
-    return rows.select(*docs.columns)
+    rows = _with_taken(docs, plan, id_col, text_col, source_col).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("taken") / F.col("size")).cast("bigint"))))
+    part = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size"))
+    text = F.col("row").getField(text_col)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = rows.withColumn("part", part).withColumn("cut", F.when(
+        F.col("part") < F.col("size"), F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), " ")))
+
+    def column(c: str) -> Column:
+        old = F.col("row").getField(c)
+        if c == text_col:
+            return F.coalesce("cut", old).alias(c)
+        return (F.when(F.col("cut").isNotNull(), F.length("cut").cast("bigint")).otherwise(old) if c in size_cols else old).alias(c)
+
+    return rows.select(*map(column, docs.columns))

@@ -26,6 +26,8 @@ BACK = 10  # values of the second channel
 SAMPLE = 3000
 #: Characters of a text that is learned from, at most; longer labelled texts are not in the sample.
 LONGEST = 20_000
+#: Chunks of a text that one pass of training draws, at most; scoring reads all.
+CHUNKS_A_PASS = 4
 EPOCHS, BATCH, RATE = 8, 64, 0.004
 
 
@@ -115,8 +117,8 @@ class Net:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed: int = 11) -> Net:
-    """A network fitted to whole texts by backpropagation (Adam); both labels weigh the same in sum."""
+def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed: int = 11, chunks: int = CHUNKS_A_PASS) -> Net:
+    """A network fitted by backpropagation (Adam) to texts, of each at most ``chunks`` random chunks a pass; both labels weigh the same in sum."""
     net = Net(seed)
     labels = np.array(labels, float)
     if not len(labels) or labels.min() == labels.max():
@@ -139,7 +141,7 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed
         for s in range(0, len(order), BATCH):
             docs = order[s:s + BATCH]
             # of each text some chunks a pass, others in the next one
-            picks = [rng.permutation(np.arange(begin[d], begin[d + 1]))[:4] for d in docs]
+            picks = [rng.permutation(np.arange(begin[d], begin[d + 1]))[:chunks] for d in docs]
             chunk = np.concatenate(picks)
             if not len(chunk):
                 continue
@@ -196,17 +198,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     return train([r["t"] for r in rows], [r["y"] for r in rows])
 
 
-def score(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with ``quality_score``, the probability of label 1 by their whole text; null texts are empty."""
+def score(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "text", out: str = "quality_score") -> DataFrame:
+    """The documents with ``out``, the probability of label 1 by their whole text; null texts are empty. A column ``out`` that they have is replaced."""
     raw = net.dump()
+    docs = docs.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Net.load(raw)
         for batch in batches:
-            yield batch.append_column("quality_score", pa.array(own.texts(batch.column(batch.schema.get_field_index(text_col))), pa.float64()))
+            yield batch.append_column(out, pa.array(own.texts(batch.column(batch.schema.get_field_index(text_col))), pa.float64()))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, kinds + ", quality_score double")
+    return docs.mapInArrow(run, kinds + f", `{out}` double")
 
 
 def held_out(id_col: str, folds: int, fold: int):

@@ -130,24 +130,46 @@ def digest(scanned: DataFrame) -> DataFrame:
         F.sha2(said(F.filter("found", lambda x: x["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"), said(F.col("found")).alias("spans"))
 
 
+#: Code points of the blocks that a text is cut into before pieces of it are taken.
+BLOCK = 4096
+
+
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text cut into blocks; only the blocks that hold them are looked at."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+    cut = lambda block, a, n: F.substr(F.get(blocks, block), (a + 1).cast("int"), n.cast("int"))
+    inside = cut(first, start - first * BLOCK, end - start)
+    across = F.concat(
+        cut(first, start - first * BLOCK, F.lit(BLOCK)), F.array_join(F.slice(blocks, first + 2, last - first - 1), ""), cut(last, F.lit(0), end - last * BLOCK))
+    return F.when(end <= start, "").when(first == last, inside).otherwise(across)
+
+
 def redacted(docs: DataFrame, mark: str = "[secret]", id_col: str = "doc_id", text_col: str = "text", size_cols: tuple = ("n_chars",)) -> DataFrame:
-    """The documents with every span, weak ones included, replaced by ``mark``; overlapping spans become one mark."""
-    hits = scan(docs, id_col, text_col).filter(F.size("found") > 0).dropDuplicates(["doc_id", "body"])
-    hits = hits.select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("found").alias("_found"))
-    body = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.join(hits, F.col(id_col).eqNullSafe(F.col("_id")) & (body == F.col("_body")), "left")
-    text = F.col(text_col)
-
-    def cover(done: Column, x: Column) -> Column:
-        gap = x["start"] - done["at"]
-        more = F.when(gap >= 0, F.concat(F.substring(text, (done["at"] + 1).cast("int"), gap.cast("int")), F.lit(mark))).otherwise("")
-        return F.struct(F.concat(done["text"], more).alias("text"), F.greatest(done["at"], x["end"]).alias("at"))
-
-    clean = F.aggregate(
-        "_found", F.struct(F.lit("").alias("text"), F.lit(0).cast("bigint").alias("at")), cover,
-        lambda done: F.concat(done["text"], F.substr(text, (done["at"] + 1).cast("int"))))
-    rows = rows.withColumn(text_col, F.when(F.col("_found").isNotNull(), clean).otherwise(text))
-    for c in size_cols:
-        if c in docs.columns:
-            rows = rows.withColumn(c, F.when(F.col("_found").isNotNull(), F.length(text_col).cast("bigint")).otherwise(F.col(c)))
-    return rows.select(*docs.columns)
+    """The documents with every span, weak ones included, replaced by ``mark``; overlapping spans become one mark.
+
+    The text between marks is found by a running end of the spans and taken out of blocks of the
+    text, so the work grows with the text and its spans and not with their product. Columns of
+    any names come out as they are.
+    """
+    spans = scan(docs, id_col, text_col).filter(F.size("found") > 0).dropDuplicates(["doc_id", "body"]).select("doc_id", "body", F.inline("found"))
+    ahead = Window.partitionBy("doc_id", "body").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    gaps = spans.withColumn("after", F.coalesce(F.max("end").over(ahead), F.lit(0))).groupBy("doc_id", "body").agg(
+        F.array_sort(F.collect_list(F.when(F.col("start") >= F.col("after"), F.struct("start", "after")))).alias("gaps"), F.max("end").alias("tail"))
+    gaps = gaps.select(F.col("doc_id").alias("g_id"), F.col("body").alias("g_body"), "gaps", "tail")
+    text = F.col("row").getField(text_col)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.withColumn("body", F.xxhash64(F.coalesce(text, F.lit(""))))
+    rows = rows.join(gaps, F.col("row").getField(id_col).eqNullSafe(F.col("g_id")) & (F.col("body") == F.col("g_body")), "left")
+    rows = rows.withColumn("blocks", F.when(F.col("gaps").isNotNull(), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
+    pieces = F.concat(
+        F.transform("gaps", lambda g: _piece(F.col("blocks"), g["after"], g["start"])), F.array(_piece(F.col("blocks"), F.col("tail"), F.length(text).cast("bigint"))))
+    touched = F.col("gaps").isNotNull()
+    rows = rows.withColumn("clean", F.when(touched, F.array_join(pieces, mark)).otherwise(text))
+
+    def column(c: str) -> Column:
+        old = F.col("row").getField(c)
+        if c == text_col:
+            return F.col("clean").alias(c)
+        return (F.when(touched, F.length("clean").cast("bigint")).otherwise(old) if c in size_cols else old).alias(c)
+
+    return rows.select(*map(column, docs.columns))

@@ -59,12 +59,12 @@ def dump(out, docs: np.ndarray, known: np.ndarray, sizes: np.ndarray, ids: np.nd
     for name, values in sections.items():
         raw = np.ascontiguousarray(values).tobytes()
         small = _zstd.compress(raw, asbytes=True)
-        index[name] = [at, len(small), len(raw), values.dtype.str]
+        index[name] = [at, len(small), len(raw), values.dtype.str, zlib.crc32(small)]
         packed.append(small)
         at += len(small)
     head = json.dumps({"tokens": len(ids), "levels": sum(n.startswith("plane") for n in sections), "sections": index}).encode()
     body = b"".join(packed)
-    out.write(MAGIC + struct.pack("<II", len(head), zlib.crc32(body)) + head + body)
+    out.write(MAGIC + struct.pack("<II", len(head), zlib.crc32(head)) + head + body)
     return len(MAGIC) + 8 + len(head) + at
 
 
@@ -77,17 +77,23 @@ class Shard:
         start = f.read(len(MAGIC) + 8)
         if start[: len(MAGIC)] != MAGIC:
             raise ValueError("not a wavelet matrix file")
-        size, self.crc = struct.unpack("<II", start[len(MAGIC):])
-        head = json.loads(f.read(size))
+        size, crc = struct.unpack("<II", start[len(MAGIC):])
+        head = f.read(size)
+        if zlib.crc32(head) != crc:
+            raise ValueError("the head of a wavelet matrix file is damaged")
+        head = json.loads(head)
         self.tokens, self.levels, self.index = head["tokens"], head["levels"], head["sections"]
         self.body = len(start) + size
         self._read: dict[str, np.ndarray] = {}
 
     def section(self, name: str) -> np.ndarray:
         if name not in self._read:
-            at, small, raw, kind = self.index[name]
+            at, small, raw, kind, crc = self.index[name]
             self.file.seek(self.body + at)
-            self._read[name] = np.frombuffer(_zstd.decompress(self.file.read(small), raw), kind)
+            packed = self.file.read(small)
+            if zlib.crc32(packed) != crc:
+                raise ValueError(f"section {name} of a wavelet matrix file is damaged")
+            self._read[name] = np.frombuffer(_zstd.decompress(packed, raw), kind)
         return self._read[name]
 
     def _ones(self, level: int, at: np.ndarray) -> np.ndarray:
@@ -217,7 +223,8 @@ def write(
         if sizes:
             yield close()
 
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # a digest of the text splits rows of one id, as those without one
+    ordered = rows.withColumn("digest", F.xxhash64("text")).repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest", "text").drop("digest")
     return stored(ordered.mapInArrow(shards, "path string, part bigint, number bigint, docs bigint, tokens bigint"), f"{label}-files")
 
 

@@ -20,20 +20,23 @@ SKETCH = {"words": 5, "percent": 80, "bands": 48, "rows": 6}
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network does not reject; it learns from the labelled rows outside fold 0."""
     labels = table(spark, sf_dir, "labels").filter(~quality_net.held_out("doc_id", 5, 0))
-    scored = quality_net.score(docs, quality_net.fit(docs, labels))
-    return scored.filter(F.col("quality_score") >= LEAST_QUALITY).select(*docs.columns)
+    name = "quality_score" + "_" * max(map(len, docs.columns))  # no column of the documents
+    scored = quality_net.score(docs, quality_net.fit(docs, labels), out=name)
+    return scored.filter(F.col(name) >= LEAST_QUALITY).select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies.
+    """One document of each group of near copies: that with the smallest id, null ids last, then the smallest digest of its text.
 
-    Of rows that repeat an id one stays, by the smallest text; rows with a null id all stay.
+    Rows are nodes of their own, numbered once, so equal texts without an id are copies like any
+    others, and rows that share an id but not their text both stay.
     """
-    found = minhash_dedup.near_copies(docs, minhash_dedup.Sketch(**SKETCH))
-    keep = found.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(*(F.asc_nulls_last(c) for c in docs.columns if c != "doc_id"))
-    named = docs.join(keep, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first)).filter("_row = 1")
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("node"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")), "distinct-rows")
+    found = minhash_dedup.near_copies(rows.select("node", "row.text"), minhash_dedup.Sketch(**SKETCH), id_col="node")
+    order = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.xxhash64("row.text"), F.col("node"))
+    places = rows.select("node", order.alias("place")).join(found.select("node", "component_id"), "node")
+    keep = places.groupBy("component_id").agg(F.min("place").alias("place")).select(F.col("place.node").alias("node"))
+    return rows.join(keep, "node", "left_semi").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -109,3 +109,14 @@ def test_texts_of_batches_are_whole():
     for first, sets in sketch.shingles(pa.array(texts)):
         out.update({first + i: s.tolist() for i, s in enumerate(sets)})
     assert out[0] == out[2] == out[4] and len(out[0]) == 3 and len(out[3]) == 1
+
+
+@pytest.mark.parametrize("bits", [5, 8, 10, 11])
+def test_regular_words_are_told_apart(spark, bits):
+    """Words that polynomial hashes modulo 2^64 take for equal, alone and inside texts."""
+    from tests.llm.test_tokens import thue_morse
+
+    a, b = thue_morse(bits)
+    rows = [(1, a), (2, b), (3, f"{a} {a} {b} end"), (4, f"{b} {b} {a} end"), (5, a)]
+    got = sorted(map(tuple, near_copies(spark.createDataFrame(rows, "doc_id long, text string"), Sketch()).collect()))
+    assert got == brute(rows, 3, 85) and [r[2] for r in got] == [1, 2, 3, 4, 1]

@@ -52,6 +52,59 @@ def test_language_sums_do_not_depend_on_memory():
     assert np.allclose(first, again, atol=1e-6) and np.allclose(first[[0, 1, 4]].sum(axis=1), 1, atol=1e-5) and not first[2:4].any()
 
 
+def test_languages_of_long_texts_only_are_learned(spark):
+    """German comes in texts of over the sample's characters only, and its words stand late in them."""
+    rows = [(i, f"the thing word{i} being of and with other " * 3, "en") for i in range(60)] + [(100 + i, f"mañana{i} el niño cigüeña señor para " * 3, "es") for i in range(60)]
+    rows += [(200 + i, "1234 " * 2000 + f"über die schöne straße und nicht wort{i} " * 900, "de") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(t) for i, t, _ in rows if i >= 200) > language_net.SAMPLE_CHARS
+    net = language_net.fit(docs)
+    assert net.languages == ["de", "en", "es"]
+    got = language_net.predict(docs, net).filter("lang_pred <> lang").count()
+    assert got == 0
+
+
+def test_sample_is_bounded_and_even(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"), F.when(F.col("id") < 2900, "aa").otherwise("bb").alias("lang"))
+    seen = []
+    train, language_net.train = language_net.train, lambda rows: seen.extend(rows)
+    try:
+        language_net.fit(docs, sample=160)
+    finally:
+        language_net.train = train
+    count = {x: sum(lang == x for _, lang in seen) for x in ("aa", "bb")}
+    assert count["aa"] == 160 and 60 <= count["bb"] <= 100
+
+
+def test_quality_gradients(monkeypatch):
+    """One step from fresh weights moves each weight against the numerical slope of the loss."""
+    texts, labels = ["abcab cab " * 3, "XY!XY!!X " * 4, "abba", "!!"], [1, 0, 1, 0]
+    one = quality_net.train(texts, labels, epochs=1)
+    fresh = quality_net.Net(11)
+    parts = [t.encode() for t in texts]
+
+    def loss(net):
+        p = np.clip(net.texts(pa.array(texts)), 1e-7, 1 - 1e-7)
+        return -np.mean([np.log(q if y else 1 - q) for q, y in zip(p, labels)])
+
+    assert len(parts) <= quality_net.BATCH
+    checked = 0
+    for key in ("out", "dense", "bias", "byte"):
+        moved = one.w[key] - fresh.w[key]
+        where = np.argwhere(np.abs(moved) > 0.9 * quality_net.RATE)
+        for at in where[:: max(1, len(where) // 8)][:8]:
+            at, old = tuple(at), fresh.w[key][tuple(at)]
+            fresh.w[key][at] = old + 2e-2
+            up = loss(fresh)
+            fresh.w[key][at] = old - 2e-2
+            slope = up - loss(fresh)
+            fresh.w[key][at] = old
+            if abs(slope) > 1e-4:
+                checked += 1
+                assert np.sign(slope) == -np.sign(moved[at]), key
+    assert checked > 8
+
+
 def test_quality_held_out(spark):
     rows = QUERIES["op5_quality"](spark, ROOT).join(table(spark, ROOT, "labels").select("doc_id", "quality"), "doc_id").filter("held_out")
     r = rows.agg(F.avg((F.col("predicted") == F.col("quality")).cast("int")), F.count("*"), F.min("score"), F.max("score")).first()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from casona.llm import language_net, quality_net
 from casona.llm.queries import table
 from tests.llm.test_minhash import brute, corpus
 from tests.llm.test_secrets import brute as secret_spans
@@ -35,10 +36,43 @@ def test_dedup_stage_keeps_one_of_each_group(spark):
     rows = corpus(9) + [(424242, "A b C d e F"), (424243, "a b c d E f"), (424242, "A b C d e F")]
     docs = frame(spark, rows)
     kept = corpus_pipeline.distinct(spark, docs, ROOT)
-    want = sorted({d for d, _, _, keep in brute(rows, 5, 80) if keep})
+    # every row is a node of its own; the smallest id of a group stays
+    order = sorted(range(len(rows)), key=lambda i: rows[i][0])
+    want = sorted(rows[order[d]][0] for d, _, _, keep in brute([(k, rows[i][1]) for k, i in enumerate(order)], 5, 80) if keep)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == want
-    nulls = frame(spark, [(None, "one two"), (None, "one two"), (3, None)])
-    assert corpus_pipeline.distinct(spark, nulls, ROOT).count() == 3
+
+
+def test_dedup_stage_with_null_and_shared_ids(spark):
+    long = [" ".join(f"w{k}x{n}" for n in range(40)) for k in range(4)]
+    rows = [(None, long[0]), (None, long[0]), (7, long[1]), (7, long[2]), (None, long[3]), (9, long[3] + " end"), (8, long[1]), (3, None), (None, None), (4, "")]
+    docs = frame(spark, rows)
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.distinct(spark, docs, ROOT).collect()), key=repr)
+    want = [(None, long[0]), (7, long[1]), (7, long[2]), (9, long[3] + " end"), (3, None), (None, None), (4, "")]
+    assert got == sorted(want, key=repr)
+
+
+CLASHES = ["quality_score", "lang_pred", "lang_score", "row", "node", "_row", "body", "blocks", "gaps", "clean", "found", "_id", "_found", "_size", "size", "taken", "key", "want", "cut", "part", "copy", "row_key", "tail"]
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES[:4])
+def test_columns_of_any_name(spark, name, stage):
+    rows = [(i, f"a plain line of words number {i} token=abcdefabcdef99{i} end") for i in range(12)] + [(None, None), (5, "")]
+    docs = frame(spark, rows)
+    plain = sorted((tuple(r) for r in stage(spark, docs, ROOT).collect()), key=repr)
+    more = docs.select("*", *(F.lit(c).alias(c) for c in CLASHES))
+    out = stage(spark, more, ROOT)
+    assert out.columns == more.columns
+    got = out.collect()
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == plain and {tuple(r)[5:] for r in got} <= {tuple(CLASHES)}
+
+
+def test_networks_replace_columns_of_their_names(spark):
+    docs = frame(spark, [(1, "a plain line"), (2, None)]).select("*", F.lit("x").alias("lang_pred"), F.lit("y").alias("quality_score"))
+    net = language_net.train([("the line of words", "en"), ("la casa del río", "es")], steps=5)
+    got = language_net.predict(docs, net)
+    assert sorted(got.columns) == sorted([*docs.columns, "lang_score"]) and got.first().lang_pred in ("en", "es")
+    got = quality_net.score(docs, quality_net.train([], []))
+    assert sorted(got.columns) == sorted(docs.columns) and got.first().quality_score == 0.5
 
 
 def test_secret_stage_leaves_clean_documents_alone(spark):

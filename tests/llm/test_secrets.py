@@ -1,7 +1,9 @@
 """Secret spans against Python's re, and linking of weak parts against all pairs."""
 
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
@@ -134,3 +136,31 @@ def test_weak_parts_next_to_their_complement(spark):
 def test_very_long_text_with_weak_parts(spark, text):
     docs = spark.createDataFrame([(1, text + " login=ann pwd password=zz s3://b")], "doc_id long, text string")
     assert secrets.digest(secrets.scan(docs)).first()["spans"] == brute_weak(docs.first()["text"])
+
+
+def test_redaction_of_many_spans_in_one_text(spark):
+    """Work that grows with spans times text would take minutes here."""
+    rng = random.Random(5)
+    parts = [f"{'é' * rng.randrange(4)}{rng.choice(['x', ' ', '日本 '])}token=abcdefabcdef{k:05d} " for k in range(40_000)]
+    text, want = "".join(parts) + "tail", "".join(p[:p.index("token")] + "[secret] " for p in parts) + "tail"
+    docs = spark.createDataFrame([(1, text, 0), (2, "y" * 5000 + text[:60] + "z" * 9000, 0)], "doc_id long, text string, n_chars long")
+    start = time.time()
+    got = {r.doc_id: r for r in secrets.redacted(docs).collect()}
+    assert time.time() - start < 40 and got[1].text == want and got[1].n_chars == len(want)
+    assert got[2].text.startswith("y" * 5000) and got[2].text.endswith("z" * 9000) and "abcdef" not in got[2].text
+
+
+@pytest.mark.parametrize("size", [4095, 4096, 4097, 8192])
+def test_redaction_at_the_ends_of_blocks(spark, size):
+    secret = "token=abcdefabcdef99"
+    texts = ["é" * size + secret, "é" * (size - 7) + secret + " " + "b" * size, secret + "." * size + secret, "a" * (size - len(secret)) + secret]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    spans = [[tuple(map(int, x.split(":")[1:])) for x in brute_weak(t).split(",") if x] for t in texts]
+    for k, (t, own) in enumerate(zip(texts, spans)):
+        at, want = 0, ""
+        for s, e in sorted(own):
+            if s >= at:
+                want += t[at:s] + "[secret]"
+            at = max(at, e)
+        assert got[k] == want + t[at:]

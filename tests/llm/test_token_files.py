@@ -130,3 +130,29 @@ def test_access_count_and_select(ids, a, b):
         assert shard.count(token, a, b) == ((places >= a) & (places < b)).sum()
         assert [shard.select(token, k) for k in range(min(3, len(places)))] == places[:3].tolist()
         assert shard.select(token, len(places)) is None
+
+
+def test_damaged_files_are_not_decoded():
+    out = io.BytesIO()
+    ids = np.arange(5000, dtype=np.uint32) * 7 % 991
+    wavelet.dump(out, np.array([1]), np.array([True]), np.array([5000]), ids)
+    raw = bytearray(out.getvalue())
+    whole = wavelet.Shard(io.BytesIO(bytes(raw)))
+    assert whole.access(np.arange(5000)).tolist() == ids.tolist()
+    for at in (len(raw) - 20, len(raw) // 2, 30):
+        bad = bytearray(raw)
+        bad[at] ^= 4
+        with pytest.raises(ValueError):
+            shard = wavelet.Shard(io.BytesIO(bytes(bad)))
+            for name in shard.index:
+                shard.section(name)
+
+
+def test_regular_texts_have_ids_of_their_own(spark):
+    from tests.llm.test_tokens import thue_morse
+
+    rows = [(k, t) for k, t in enumerate(t for bits in (5, 10, 11) for t in thue_morse(bits))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_packed(packing.packed(docs, tokenizer("byte_bpe_50k.json"), end_id=0).collect(), rows)
+    got = {r.doc_id: r.ids_crc32 for r in wavelet.read(wavelet.write(docs, tokenizer("word_bpe_49k.json"), end_id=1)).collect()}
+    assert got == {k: crc(ids_of(t, "word_bpe_49k.json", 1)) for k, t in rows}
