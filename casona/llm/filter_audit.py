@@ -28,8 +28,8 @@ LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 100, 80, 10
 LOCAL = 24 << 20
 #: Bytes of prefix, from one level to the next.
 LEVELS = tuple(8 * 4**k for k in range(8))
-#: Bytes of text that a range should hold, and how many prefixes may be longer than the first level.
-LEAF, MOST_LEAVES = 32 << 20, 100_000
+#: Bytes of text of a range; bytes that may share a prefix before it grows; prefixes of a level that may grow, and ranges, at most.
+LEAF, GRAIN, MOST_LEAVES = 32 << 20, 64 << 10, 100_000
 
 _not = lambda keep: bytes(x for x in range(256) if x not in keep)
 _NO_CAPITALS, _NO_MARKS = _not(range(65, 91)), _not(b"#$%&*|")
@@ -159,20 +159,20 @@ def _read(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFra
     return chosen.mapInArrow(run, ROWS)
 
 
-def _deep(texts: DataFrame, leaf: int, most: int) -> tuple[set[int], int]:
-    """Hashes of the prefixes that more than a leaf's bytes share, and the number of leaves.
+def _deep(texts: DataFrame, leaf: int, grain: int, most: int) -> tuple[set[int], int]:
+    """Hashes of the prefixes that more than a grain's bytes share, and the number of ranges.
 
-    A leaf grows with the corpus beyond ``most`` leaves, so at most ``most`` prefixes of a level come to the driver.
+    The grain grows with the corpus, so at most ``most`` prefixes of a level come to the driver.
     """
     total = texts.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    leaf = max(leaf, total // most + 1)
+    grain = max(grain, total // most + 1)
     shares = texts.select("size", F.posexplode("prefixes").alias("level", "hash")).groupBy("level", "hash").agg(F.sum("size").alias("size"))
-    return {r[0] for r in shares.filter(F.col("size") > leaf).select("hash").collect()}, max(1, -(-total // leaf))
+    return {r[0] for r in shares.filter(F.col("size") > grain).select("hash").collect()}, max(1, min(most, -(-total // leaf)))
 
 
-def _smallest(texts: DataFrame, leaf: int, most: int) -> DataFrame:
+def _smallest(texts: DataFrame, leaf: int, grain: int, most: int) -> DataFrame:
     """(owner, first): the smallest id of each owner's text in the whole table."""
-    deep, leaves = _deep(texts, leaf, most)
+    deep, leaves = _deep(texts, leaf, grain, most)
 
     def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,7 +199,8 @@ def _smallest(texts: DataFrame, leaf: int, most: int) -> DataFrame:
 
 
 def failures(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", leaf: int = LEAF, most: int = MOST_LEAVES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", leaf: int = LEAF,
+    grain: int = GRAIN, most: int = MOST_LEAVES,
 ) -> DataFrame:
     """(doc_id, part, mask) of every row: the filters that it fails, A to E as bits 1 to 16.
 
@@ -208,7 +209,7 @@ def failures(
     than each other. Other columns are not read; an empty table gives no rows.
     """
     rows = stored(_read(docs, id_col, text_col, part_col), "filter-rows")
-    first = _smallest(rows.filter(F.col("text").isNotNull()), leaf, most)
+    first = _smallest(rows.filter(F.col("text").isNotNull()), leaf, grain, most)
     return rows.select("doc_id", "part", "mask", "owner").join(first, "owner").select(
         "doc_id", "part", (F.col("mask") + F.when(F.col("doc_id") > F.col("first"), DUPLICATE).otherwise(0)).alias("mask"))
 

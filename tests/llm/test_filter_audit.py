@@ -63,10 +63,10 @@ def test_every_order(spark, monkeypatch):
     want = brute(ROWS, LABELS)
     assert len(want) == 4 * 120 * 5
     assert audited(spark, ROWS, LABELS) == want
-    assert audited(spark, ROWS, LABELS, leaf=8) == want  # ranges by prefixes as long as the texts
-    assert audited(spark, ROWS, LABELS, leaf=8, most=2) == want
+    assert audited(spark, ROWS, LABELS, leaf=8, grain=8) == want  # ranges by prefixes as long as the texts
+    assert audited(spark, ROWS, LABELS, leaf=8, grain=8, most=2) == want
     monkeypatch.setattr(filter_audit, "LOCAL", 1)  # every row in a trie of its own
-    assert audited(spark, ROWS, LABELS, leaf=200) == want
+    assert audited(spark, ROWS, LABELS, leaf=200, grain=50) == want
 
 
 def test_no_rows_and_no_labels(spark):
@@ -77,11 +77,11 @@ def test_no_rows_and_no_labels(spark):
 def test_prefixes_of_crowded_ranges_grow(spark):
     rows = [(k, "en", LONG * 3 + str(k % 40)) for k in range(80)] + [(100 + k, "en", str(k)) for k in range(20)]
     texts = filter_audit._read(spark.createDataFrame(rows, "doc_id long, lang string, text string"), "doc_id", "text", "lang").filter("text IS NOT NULL").cache()
-    deep, leaves = filter_audit._deep(texts, 20_000, 1000)
+    deep, leaves = filter_audit._deep(texts, 20_000, 20_000, 1000)
     assert len(deep) == 5 and leaves > 1  # the shared levels of 8 to 2048 bytes, none of the short texts'
-    deep, leaves = filter_audit._deep(texts, 20_000, 2)
+    deep, leaves = filter_audit._deep(texts, 20_000, 20_000, 2)
     assert leaves <= 2 and len(deep) <= 2 * len(filter_audit.LEVELS)
-    result = {r.doc_id: r.mask >> 4 for r in filter_audit.failures(spark.createDataFrame(rows, "doc_id long, lang string, text string"), leaf=20_000).collect()}
+    result = {r.doc_id: r.mask >> 4 for r in filter_audit.failures(spark.createDataFrame(rows, "doc_id long, lang string, text string"), leaf=20_000, grain=20_000).collect()}
     assert result == {k: int(40 <= k < 80) for k, _, _ in rows}
 
 
