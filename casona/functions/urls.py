@@ -23,32 +23,50 @@ def _remove_dots(path: Column) -> Column:
     return F.when(path.rlike(r"/\.{1,2}(/|$)"), resolved).otherwise(path)
 
 
+# fixed values: characters that the parts of a URL hold as percent codes, beside controls, spaces and all beyond ASCII
+_PATH_CODED, _QUERY_CODED, _FRAGMENT_CODED = r"[^\x21-\x7E]|[\"<>`{}]", r"[^\x21-\x7E]|[\"<>']", r"[^\x21-\x7E]|[\"<>`]"
+
+
+def _coded(part: Column, pattern: str) -> Column:
+    """The part with the UTF-8 bytes of the characters in ``pattern`` as percent codes; most parts have none and stay as they are."""
+    each = F.transform(F.split(part, ""), lambda c: F.when(c.rlike(pattern), F.regexp_replace(F.hex(c), "(..)", r"%$1")).otherwise(c))
+    return F.when(part.rlike(pattern), F.array_join(each, "")).otherwise(part)
+
+
 def absolutize_url(c, base) -> Column:
-    """Absolute form of an href against the page URL; '' when there is nothing to resolve."""
+    """Absolute form of an href against the page URL; '' when there is nothing to resolve or no page to resolve it against.
+
+    An href that starts with http(s):// comes back as it is. What is resolved against the page has
+    scheme and host in lower case, no default port, dots resolved and its parts percent-encoded.
+    """
     base = as_col(base)
-    origin = F.regexp_extract(base, r"(?i)^([a-z][a-z0-9+.-]*://[^/?#]*)", 1)
-    scheme = F.regexp_extract(base, r"(?i)^([a-z][a-z0-9+.-]*:)//", 1)
+    scheme = F.lower(F.regexp_extract(base, r"(?i)^([a-z][a-z0-9+.-]*:)//[^/?#]", 1))
+    host = F.lower(F.regexp_extract(base, r"(?i)^[a-z][a-z0-9+.-]*://([^/?#]+)", 1))
+    host = F.when(scheme == "https:", F.regexp_replace(host, ":443$", "")).when(scheme == "http:", F.regexp_replace(host, ":80$", "")).otherwise(host)
+    origin = F.when(scheme != "", F.concat(scheme, F.lit("//"), host)).otherwise("")
     page_path = F.regexp_replace(F.regexp_replace(base, r"(?i)^[a-z][a-z0-9+.-]*://[^/?#]*", ""), r"[?#].*$", "")
     folder = F.coalesce(non_empty(F.regexp_extract(page_path, r"^(.*/)", 1)), F.lit("/"))
 
     def resolve(href: Column) -> Column:
-        path = F.regexp_extract(href, r"^([^?#]*)", 1)
-        tail = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
-        rooted = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
-        own_path = F.coalesce(non_empty(page_path), F.lit("/"))
-        own_query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+        href_path = F.translate(F.regexp_extract(href, r"^([^?#]*)", 1), "\\", "/")
+        query = _coded(F.regexp_extract(href, r"^[^?#]*(\?[^#]*)", 1), _QUERY_CODED)
+        fragment = _coded(F.regexp_extract(href, r"(#.*)$", 1), _FRAGMENT_CODED)
+        rooted = F.when(href_path.startswith("/"), href_path).otherwise(F.concat(folder, href_path))
+        own_path = _coded(F.coalesce(non_empty(page_path), F.lit("/")), _PATH_CODED)
+        own_query = _coded(F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1), _QUERY_CODED)
         return (
             F.when(href == "", "")
             .when(href.rlike("(?i)^https?://"), href)
             .when(origin == "", "")
             .when(href.startswith("//"), F.concat(scheme, href))
             .when(href.rlike("(?i)^[a-z][a-z0-9+.-]*:"), href)
-            .when(href.startswith("?"), F.concat(origin, own_path, href))
-            .when(href.startswith("#"), F.concat(origin, own_path, own_query, href))
-            .otherwise(F.concat(origin, _remove_dots(rooted), tail))
+            .when(href.startswith("?"), F.concat(origin, own_path, query, fragment))
+            .when(href.startswith("#"), F.concat(origin, own_path, own_query, fragment))
+            .otherwise(F.concat(origin, _coded(_remove_dots(rooted), _PATH_CODED), query, fragment))
         )
 
-    return F.coalesce(let(strip(c), resolve), F.lit(""))
+    # line ends and tabs inside an href do not count
+    return F.coalesce(let(F.regexp_replace(strip(c), r"[\t\n\r]", ""), resolve), F.lit(""))
 
 
 def photo_key(url) -> Column:

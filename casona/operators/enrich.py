@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casona import refdata
 from casona.functions.text import as_col
+from casona.operators.ranking import newest
 
 
 def _strings() -> Column:
@@ -105,8 +106,12 @@ RESPONSE_FIELDS = ["title_en", "title_es", "description_en", "description_es", "
 
 
 def bilingual_copy(df: DataFrame, responses: DataFrame, key: str = "source_listing_id") -> DataFrame:
-    """Titles: translation, else the original of the same language. Descriptions: rewrite, else translation."""
-    best = responses.groupBy(key).agg(F.max_by(F.struct(*RESPONSE_FIELDS), F.to_json(F.struct(*RESPONSE_FIELDS))).alias("_r"))
+    """Titles: translation, else the original of the same language. Descriptions: rewrite, else translation.
+
+    Of several replies the newest by ``seq`` counts, where they have one.
+    """
+    order = newest(responses, F.to_json(F.struct(*RESPONSE_FIELDS)))
+    best = responses.groupBy(key).agg(F.max_by(F.struct(*RESPONSE_FIELDS), order).alias("_r"))
     joined = df.join(best, key, "left")
     original = lambda lang: F.when(F.col("language") == lang, F.col("title"))
     return joined.withColumns({
@@ -120,7 +125,8 @@ def bilingual_copy(df: DataFrame, responses: DataFrame, key: str = "source_listi
 
 def enrich(df: DataFrame, responses: DataFrame, tagged: DataFrame, key: str = "source_listing_id") -> DataFrame:
     """Normalized -> enriched: copy, vocabulary-checked features and tags, categories, flags, bath total."""
-    tags = tagged.groupBy(key).agg(F.max_by(F.struct("features", "tags"), F.to_json(F.struct("features", "tags"))).alias("_t"))
+    order = newest(tagged, F.to_json(F.struct("features", "tags")))
+    tags = tagged.groupBy(key).agg(F.max_by(F.struct("features", "tags"), order).alias("_t"))
     out = bilingual_copy(df, responses, key).join(tags, key, "left")
     out = out.withColumns({
         "features": feature_fallback(vocab_filter("_t.features", refdata.FEATURE_VOCAB), "features"),

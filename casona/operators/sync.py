@@ -127,12 +127,13 @@ def sync_summary(planned: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def term_dictionary(documents: DataFrame, terms: DataFrame) -> DataFrame:
-    """(taxonomy, name, term_id, is_new): known terms keep their id, new ones get one from their key's hash."""
+    """(taxonomy, name, term_id, is_new): known terms keep their id, new ones are numbered after the highest known id."""
     used = documents.select(F.explode("taxonomies").alias("taxonomy", "_names")).select(
         "taxonomy", F.explode("_names").alias("name")).distinct()
     known = terms.groupBy("taxonomy", "name").agg(F.min("term_id").alias("term_id"))
-    fresh = used.join(known, ["taxonomy", "name"], "left_anti").select(
-        "taxonomy", "name", F.xxhash64("taxonomy", "name").alias("term_id"), F.lit(True).alias("is_new"))
+    highest = terms.agg(F.coalesce(F.max("term_id"), F.lit(0)).cast("bigint")).first()[0]
+    fresh = global_row_number(used.join(known, ["taxonomy", "name"], "left_anti"), [F.col("taxonomy"), F.col("name")], "_n").select(
+        "taxonomy", "name", (F.col("_n") + highest).cast("bigint").alias("term_id"), F.lit(True).alias("is_new"))
     return known.withColumn("is_new", F.lit(False)).unionByName(fresh)
 
 

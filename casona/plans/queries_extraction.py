@@ -249,9 +249,14 @@ REPLY = """
       || ', "price_currency": "USD", "bedrooms": 3, "bathrooms": 2.5, "year_built": 1999.0, "features": ["pool"], "pool_yn": true, "lat": null, "extra_data": {{"septic": 5}}}}' AS j FROM {orders})"""
 
 
-@query("parse_tolerant_json", "SELECT o_orderkey AS id, o_orderkey % 9 NOT IN (2, 3, 4) AS parsed FROM orders")
+@query("parse_tolerant_json", """
+    SELECT o_orderkey AS id, ok AS parsed, CASE WHEN ok THEN 'Casa ' || o_orderkey END AS title, CASE WHEN ok THEN CAST(o_totalprice AS DECIMAL(14,2)) END AS price,
+      CASE WHEN ok THEN 'USD' END AS currency, CASE WHEN ok THEN 5 END AS septic FROM (SELECT *, o_orderkey % 9 NOT IN (2, 3, 4) AS ok FROM orders)""")
 def parse_tolerant_json(t):
-    return t.sql(REPLY).select("id", ex.parse_tolerant_json("text").isNotNull().alias("parsed"))
+    at = lambda path, kind: F.try_variant_get("v", path, kind)
+    return t.sql(REPLY).select("id", ex.parse_tolerant_json("text").alias("v")).select(
+        "id", F.col("v").isNotNull().alias("parsed"), at("$.title", "string").alias("title"), at("$.price", "decimal(14,2)").alias("price"),
+        at("$.price_currency", "string").alias("currency"), at("$.extra_data.septic", "int").alias("septic"))
 
 
 @query("validate_extracted", """

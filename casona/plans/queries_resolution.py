@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F, types as T
 
+from casona import refdata
 from casona.functions import money, vectors
 from casona.operators import entity_resolution as er, normalize as norm
 from casona.operators.clusters import ClusterTable
@@ -37,16 +38,19 @@ def skip_unchanged(t):
     return er.skip_unchanged(hashed, kept.select("id", "text_hash", model.alias("model")), "m1")
 
 
-HEX = "CAST(('0x' || substr(sha256('0::' || p_name), {at}, 4)) AS INTEGER) / 65535.0e0 * 2 - 1"
+DIM = refdata.EMBEDDING_DIM
 
 
 @query("hash_embedding", f"""
-    WITH v AS (SELECT p_partkey, [{', '.join(HEX.format(at=1 + 4 * i) for i in range(16))}] AS v FROM part)
-    SELECT p_partkey, array_to_string(list_transform(v, lambda x: CAST(CAST(round(x / sqrt(list_sum(list_transform(v, lambda y: y * y))) * 10000) AS BIGINT) AS VARCHAR)), ' ') AS vector FROM v""")
+    WITH h AS (SELECT p_partkey, list_transform(range({-(-DIM // 16)}), lambda i: sha256(CAST(i AS VARCHAR) || '::' || p_name)) AS h FROM part),
+    v AS (SELECT p_partkey, list_transform(range({DIM}), lambda i: CAST(('0x' || substr(h[i // 16 + 1], 4 * (i % 16) + 1, 4)) AS INTEGER) / 65535.0e0 * 2 - 1) AS v FROM h),
+    n AS (SELECT p_partkey, v, sqrt(list_sum(list_transform(v, lambda y: y * y))) AS n FROM v)
+    SELECT p_partkey, sha256(array_to_string(list_transform(v, lambda x: CAST(CAST(round(x / n * 10000) AS BIGINT) AS VARCHAR)), ' ')) AS vector FROM n""")
 def hash_embedding(t):
-    out = t.part.select("p_partkey", vectors.hash_embedding("p_name", 16).alias("v"))
+    """All dimensions of each vector, as a digest of their ten-thousandths."""
+    out = t.part.select("p_partkey", vectors.hash_embedding("p_name").alias("v"))
     scaled = F.transform("v", lambda x: F.round(x * 10000).cast("bigint").cast("string"))
-    return out.select("p_partkey", F.array_join(scaled, " ").alias("vector"))
+    return out.select("p_partkey", F.sha2(F.array_join(scaled, " "), 256).alias("vector"))
 
 
 @query("cosine_similarity", """

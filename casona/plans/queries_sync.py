@@ -102,7 +102,7 @@ def assign_batches(t):
 
 RESULTS = """
     SELECT l_orderkey AS id, CAST(max(l_partkey) AS INTEGER) AS post_id, CASE WHEN max(l_linenumber) >= 6 THEN 503 ELSE 200 END AS http_status,
-      CASE WHEN max(l_linenumber) >= 6 THEN 'timeout' END AS error FROM {lineitem} WHERE l_orderkey % 11 <> 0 GROUP BY l_orderkey"""
+      CASE WHEN max(l_linenumber) >= 6 THEN 'timeout' END AS error FROM {lineitem} GROUP BY l_orderkey HAVING count(*) > 1"""
 LOG_SQL = PLAN_SQL + f""", r AS ({RESULTS.format(lineitem='lineitem')}), g AS (
     SELECT p.id AS canonical_id, coalesce(r.post_id, p.wp_post_id) AS post_id, p.sync_action AS action, CASE WHEN r.id IS NOT NULL AND r.error IS NULL THEN 'success' ELSE 'failed' END AS status,
       r.http_status, CASE WHEN r.id IS NULL THEN 'no answer' ELSE r.error END AS error FROM p LEFT JOIN r ON r.id = p.id WHERE p.sync_action <> 'skip')"""
@@ -135,15 +135,16 @@ def sync_summary(t):
       SELECT 'property_state' AS taxonomy, canton AS name FROM c WHERE canton IS NOT NULL
       UNION ALL SELECT 'property_type', CASE property_type WHEN 'lot' THEN 'Lot / Land' ELSE upper(property_type[1]) || property_type[2:] END FROM c
       UNION ALL SELECT 'property_feature', {HUMAN} FROM (SELECT unnest(features) AS x FROM c))),
-    k AS (SELECT DISTINCT 'property_state' AS taxonomy, CASE n_regionkey WHEN 0 THEN 'Garabito' WHEN 1 THEN 'Talamanca' ELSE n_name END AS name FROM nation)
-    SELECT taxonomy, name, false AS is_new FROM k UNION ALL SELECT taxonomy, name, true FROM u WHERE (taxonomy, name) NOT IN (SELECT (taxonomy, name) FROM k)""")
+    k AS (SELECT DISTINCT 'property_state' AS taxonomy, CASE n_regionkey WHEN 0 THEN 'Garabito' WHEN 1 THEN 'Talamanca' ELSE n_name END AS name, CAST(n_nationkey AS BIGINT) AS term_id FROM nation)
+    SELECT taxonomy, name, min(term_id) AS term_id, false AS is_new FROM k GROUP BY taxonomy, name
+    UNION ALL SELECT taxonomy, name, (SELECT max(n_nationkey) FROM nation) + row_number() OVER (ORDER BY taxonomy, name), true FROM u WHERE (taxonomy, name) NOT IN (SELECT (taxonomy, name) FROM k)""")
 def term_dictionary(t):
     rows = canon(t).withColumns({"year_built": F.lit(None).cast("int"), "hoa_fee_usd": F.col("hoa_fee")})
     docs = sync.publish_documents(rows).withColumn(
         "taxonomies", F.map_filter("taxonomies", lambda k, v: k.isin("property_state", "property_type", "property_feature")))
     name = F.when(F.col("n_regionkey") == 0, "Garabito").when(F.col("n_regionkey") == 1, "Talamanca").otherwise(F.col("n_name"))
     known = t.nation.select(F.lit("property_state").alias("taxonomy"), name.alias("name"), F.col("n_nationkey").cast("bigint").alias("term_id"))
-    return sync.term_dictionary(docs, known).select("taxonomy", "name", "is_new")
+    return sync.term_dictionary(docs, known).select("taxonomy", "name", "term_id", "is_new")
 
 
 @query("mark_synced", LOG_SQL + f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from casona.functions import html, urls
-from casona.operators.ranking import top_n_per_key
+from casona.operators.ranking import running_totals, top_n_per_key
 
 
 def page_links(search_pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -29,6 +29,8 @@ def discover_listing_urls(
     """Distinct listing URLs per source in page order: all, or as many as the smaller limit given."""
     cap = min((n for n in (requested, configured) if n is not None), default=None)
     first = page_links(search_pages, rules).groupBy("source", "url").agg(F.min(F.struct("page", "pos")).alias("_at"))
+    if cap is None:  # a source may have any number of URLs: number them over ranges
+        return running_totals(first, ["source"], [F.col("_at"), F.col("url")], {"rank": F.lit(1)}).select("source", "url", F.col("rank").cast("int").alias("rank"))
     return top_n_per_key(first, ["source"], [F.col("_at"), F.col("url")], cap).select("source", "url", "rank")
 
 

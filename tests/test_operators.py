@@ -200,7 +200,7 @@ def test_clusters_settle_whatever_the_order_of_ids(spark, kind, monkeypatch):
 
     rounds = []
     small = graph._small_star
-    monkeypatch.setattr(graph, "_small_star", lambda s: (rounds.append(1), small(s))[1])
+    monkeypatch.setattr(graph, "_small_star", lambda *a: (rounds.append(1), small(*a))[1])
     rng = random.Random(1)
     ids = rng.sample(range(10**9), 5001)
     edges = {
@@ -373,3 +373,13 @@ def test_replies(spark, reply, title, beds, salvaged):
         assert r.price == Decimal("425000.00") and r.locality == "Tamarindo" and r.notes == ex.SALVAGE_NOTE
 
 
+
+
+def test_newest_reply_by_sequence(spark):
+    from casona.operators import enrich
+
+    rows = spark.createDataFrame([("a", "x", "en")], "source_listing_id string, title string, language string").withColumn("description", F.lit("d"))
+    reply = lambda seq, t: ("a", seq, t, None, None, None, None, None)
+    replies = spark.createDataFrame([reply(1, "zz"), reply(3, "aa"), reply(2, "mm")], "source_listing_id string, seq int, " + ", ".join(f"{f} string" for f in enrich.RESPONSE_FIELDS))
+    assert enrich.bilingual_copy(rows, replies).first().title_en == "aa"
+    assert enrich.bilingual_copy(rows, replies.drop("seq")).first().title_en == "zz"

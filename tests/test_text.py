@@ -59,6 +59,20 @@ def test_slug(spark):
     assert len(long.rsplit("-", 1)[0]) <= 60 and not long.rsplit("-", 1)[0].endswith("-")
 
 
+@pytest.mark.parametrize("href,url", [
+    ("a b.jpg", "https://example.com/Dir/a%20b.jpg"), ("ñ.png?x=á b#c d", "https://example.com/Dir/%C3%B1.png?x=%C3%A1%20b#c%20d"),
+    ("?x='1'", "https://example.com/Dir/P%C3%A1gina.html?x=%271%27"), ("#<é>", "https://example.com/Dir/P%C3%A1gina.html?q=%221%22#%3C%C3%A9%3E"),
+    ("/x{1}`日`", "https://example.com/x%7B1%7D%60%E6%97%A5%60"), ("..\\up\\a.png", "https://example.com/up/a.png"), ("a\n\tb%20c", "https://example.com/Dir/ab%20c"),
+    ("//CDN.example.com/y z.jpg", "https://CDN.example.com/y z.jpg"), ("HTTP://Other.com/a b", "HTTP://Other.com/a b"), ("mailto:x@y.z", "mailto:x@y.z")])
+def test_absolutize_encodes(spark, href, url):
+    assert one(spark, urls.absolutize_url("h", "b"), h=href, b='HTTPS://Example.COM:443/Dir/Página.html?q="1"') == url
+
+
+@pytest.mark.parametrize("base", ["", "no url", "https://", "/path/only", None])
+def test_absolutize_without_a_page(spark, base):
+    assert one(spark, urls.absolutize_url("h", F.col("b").cast("string")), h="a.png", b=base or "") == ""
+
+
 @pytest.mark.parametrize(
     "href, base, url",
     [
