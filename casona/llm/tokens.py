@@ -19,9 +19,8 @@ from casona.llm.bytehash import SpanTable, blocks
 
 #: Pieces up to so many bytes are remembered, by these bytes.
 SHORT = 32
-SLOTS = 1 << 21
-#: Ids remembered before the table is emptied.
-MOST_IDS = 1 << 24
+#: Pieces remembered, at most, and ids a slot before the table is emptied.
+SLOTS, IDS_A_SLOT = 1 << 20, 8
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -61,7 +60,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Pieces:
     """A tokenizer with its table of remembered pieces; ``plain`` reads the strings of special tokens as text."""
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, slots: int = SLOTS):
+        self.slots = slots
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -71,9 +71,9 @@ class Pieces:
         self._clear()
 
     def _clear(self) -> None:
-        self.table = SpanTable(SLOTS, SHORT // 8)
-        self.at = np.zeros(SLOTS, np.int32)
-        self.count = np.zeros(SLOTS, np.uint16)
+        self.table = SpanTable(self.slots, SHORT // 8)
+        self.at = np.zeros(self.slots, np.int32)
+        self.count = np.zeros(self.slots, np.uint16)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
@@ -118,7 +118,7 @@ class Pieces:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, ids before each text and at the end)."""
-        if self.used > MOST_IDS:
+        if self.used > IDS_A_SLOT * self.slots:
             self._clear()
         starts = self._cuts(data, offsets)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
@@ -138,9 +138,10 @@ class Pieces:
 class SentencePieces(Pieces):
     """A sentencepiece model over texts that begin with the space it would add; no piece goes on from a letter to a space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, slots: int = SLOTS):
         import sentencepiece
 
+        self.slots = slots
         self.model, self.mark = sentencepiece.SentencePieceProcessor(model_file=path), []
         self._clear()
 
@@ -158,16 +159,16 @@ class SentencePieces(Pieces):
 
 
 @lru_cache(maxsize=4)
-def pieces(path: str, plain: bool = False) -> Pieces:
-    return SentencePieces(path) if path.endswith(".model") else Pieces(path, plain)
+def pieces(path: str, plain: bool = False, slots: int = SLOTS) -> Pieces:
+    return SentencePieces(path, slots) if path.endswith(".model") else Pieces(path, plain, slots)
 
 
-def encoded(texts: pa.Array, path: str, end_id: int):
+def encoded(texts: pa.Array, path: str, end_id: int, slots: int = SLOTS):
     """(first row, ids, places) of runs of texts, ``end_id`` after each text; a null text has only that.
 
     Row ``first + k`` of the texts owns ids[places[k]:places[k + 1]].
     """
-    model = pieces(path)
+    model = pieces(path, False, slots)
     for first, data, offsets in blocks(texts):
         ids, at = model.encode(data, offsets)
         places = at + np.arange(len(at))

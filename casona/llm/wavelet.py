@@ -22,6 +22,8 @@ from casona.session import stored
 
 MAGIC = b"WAVELET1"
 SHARD_TOKENS = 1 << 21
+#: Pieces of text whose ids a worker remembers, at most.
+PIECES = 1 << 21
 BLOCK = 512
 _zstd = pa.Codec("zstd", compression_level=1)
 
@@ -210,7 +212,7 @@ def write(
             names = batch.column(0)
             valid = names.is_valid().to_numpy(zero_copy_only=False)
             names = names.fill_null(0).to_numpy()
-            for first, out, places in encoded(batch.column(1), tokenizer, end_id):
+            for first, out, places in encoded(batch.column(1), tokenizer, end_id, PIECES):
                 n = len(places) - 1
                 ids.append(out)
                 docs.append(names[first:first + n])
