@@ -6,9 +6,10 @@ the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casona.llm import minhash_dedup, mixing, packing, quality_net, secrets
+from casona.llm.places import placed
 from casona.llm.queries import table, tokenizer
 from casona.session import stored
 
@@ -29,10 +30,11 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the smallest id, null ids last, then the smallest digest of its text.
 
     Rows are nodes of their own, so equal texts without an id are copies like any others, and rows
-    that share an id but not their text both stay. A node is a row's place in the written table
-    that a stage is given, the same whenever it is read.
+    that share an id but not their text both stay. A node is made of a row's file and its place in
+    it, the same whenever and by however many executors the table is read.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("node"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    docs, node = placed(docs)
+    rows = docs.select(node.alias("node"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     found = minhash_dedup.near_copies(rows.select("node", "row.text"), minhash_dedup.Sketch(**SKETCH), id_col="node")
     order = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.xxhash64("row.text"), F.col("node"))
     places = rows.select("node", order.alias("place")).join(found.select("node", "component_id"), "node")
