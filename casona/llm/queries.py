@@ -63,12 +63,12 @@ def op1(spark, root):
 
 @query("op2_topk_search", f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS t
+  SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS t
   FROM embeddings WHERE vec_id IS NOT NULL AND {USABLE}),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.t) + 1), lambda i: q.t[i] * c.t[i])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+  SELECT q.vec_id AS query_id, q.n, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.t) + 1), lambda i: q.t[i] * c.t[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.n <> q.n),
+r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS k FROM s)
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 20
 """)
 def op2(spark, root):

@@ -31,8 +31,3 @@ def matrix(column: pa.ChunkedArray, dtype) -> np.ndarray:
     out = np.zeros((len(sizes), width), dtype)
     out[np.arange(width)[None, :] < sizes[:, None]] = values
     return out
-
-
-def distinct_by_id(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """One row an id: of rows that repeat an id the smallest vector stays."""
-    return df.groupBy(id_col).agg(F.min(vec_col).alias(vec_col))

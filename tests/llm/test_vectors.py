@@ -15,15 +15,13 @@ def frame(spark, rows):
 
 
 def brute_top(rows, k, scale=64):
-    seen = {}
-    for i, v, _ in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            t = [int(np.floor(scale * float(np.float32(x)))) for x in v]
-            seen[i] = min(seen[i], t) if i in seen else t
+    terms = [
+        (i, [int(np.floor(scale * float(np.float32(x)))) for x in v]) for i, v, _ in rows
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in seen:
+    for a, (q, t) in enumerate(terms):
         if q % 5 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(seen[q], seen[c])), c) for c in seen if c != q)[:k]
+            scored = sorted((-sum(x * y for x, y in zip(t, u)), c) for b, (c, u) in enumerate(terms) if a != b)[:k]
             out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored)]
     return sorted(out)
 
@@ -50,7 +48,7 @@ def test_best_scores(seed, n, dims, k, size):
     c, q = rng.integers(-size, size + 1, (n, dims)), rng.integers(-size, size + 1, (5, dims))
     ids = rng.permutation(n)
     q_ids = np.array([int(ids[0]), -1, -2, -3, -4])
-    qi, got, scores = topk_search.best_scores(q, q_ids, c, ids, k)
+    qi, got, scores = topk_search.best_scores(q, q_ids, c, ids, ids, k)
     want = []
     for i in range(5):
         rows = sorted((-sum(int(a) * int(b) for a, b in zip(q[i], c[j])), int(ids[j])) for j in range(n) if ids[j] != q_ids[i])[:k]
@@ -58,6 +56,26 @@ def test_best_scores(seed, n, dims, k, size):
     assert list(zip(qi.tolist(), got.tolist(), scores.tolist())) == want
 
 
+def test_rows_that_repeat_an_id_are_candidates(spark):
+    data = [(20, [1.0, 0.0], 0), (20, [0.0, 1.0], 0), (21, [1.0, 1.0], 0)]
+    found = topk_search.top_k(frame(spark, data), F.col("vec_id") % 20 == 0, k=5)
+    assert sorted(map(tuple, found.collect())) == [(20, 1, 21, 4096), (20, 1, 21, 4096), (20, 2, 20, 0), (20, 2, 20, 0)]
+
+
+def test_most_postings_are_skipped():
+    rng = np.random.default_rng(8)
+    fall = 0.8 ** np.arange(64)
+    c = np.floor(640 * rng.normal(size=(4096, 64)) * fall).astype(np.int64)
+    shard = topk_search.Shard(c.astype(float), np.arange(4096))
+    for i in range(0, 4096, 128):
+        rows, scores = shard.best(c[i].astype(float), i, 20)
+        full = c @ c[i]
+        full[i] = full.min()
+        assert rows.tolist() == np.lexsort((np.arange(4096), -full))[:20].tolist() and scores.tolist() == full[rows].tolist()
+    pairs = 32 * 4096 * 64
+    assert shard.postings < pairs / 8 and shard.products < pairs / 4
+
+
 def brute_links(rows, t=0.93):
     ok = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) and g is not None and i is not None for i, v, g in rows]
     root, count = {r[0]: r[0] for r in rows}, [0] * len(rows)
