@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from casona import refdata
 from casona.functions import money, vectors
-from casona.operators import entity_resolution as er, normalize as norm
+from casona.operators import entity_resolution as er, neighbours, normalize as norm
 from casona.operators.clusters import ClusterTable
 from casona.plans import sqlparts as p
 from casona.plans.catalog import query
@@ -98,6 +98,25 @@ def lsh_candidates(t):
     return er.lsh_candidates(moved, e, 0.9, id_col="vec_id").withColumn("similarity", F.round("similarity", 6))
 
 
+@query("lsh_neighbours", """
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+    c AS (SELECT v, min(vec_id) AS class_id, count(*) AS class_size FROM e GROUP BY v),
+    n AS (SELECT a.vec_id, count(*) AS n_links FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.4 GROUP BY a.vec_id)
+    SELECT e.vec_id, class_id, class_size, coalesce(n_links, 0) AS n_links FROM e JOIN c ON e.v = c.v LEFT JOIN n ON n.vec_id = e.vec_id""")
+def lsh_neighbours(t):
+    found = neighbours.lsh_neighbours(t.embeddings, 0.4, id_col="vec_id", missed=1e-9)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@query("lsh_links", """
+    WITH e AS (SELECT min(vec_id) AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings GROUP BY embedding)
+    SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.v, b.v), 6) AS similarity
+    FROM e a JOIN e b ON a.id < b.id AND list_cosine_similarity(a.v, b.v) >= 0.4""")
+def lsh_links(t):
+    links, _ = neighbours.lsh_links(t.embeddings, 0.4, id_col="vec_id", missed=1e-9)
+    return links.withColumn("similarity", F.round("similarity", 6))
+
+
 SIDES = ["locality", "canton", "bedrooms", "bathrooms", "property_type", "mls_id", "listing_agent_name", "address_line", "price_usd", "lot_sqm", "interior_sqm", "lat", "lng"]
 PAIRS_SQL = f"""
     SELECT x.l_orderkey AS query_id, x.l_partkey AS base_id, {', '.join(f'a.{c} AS a_{c}, b.{c} AS b_{c}' for c in SIDES)}
