@@ -9,10 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casona.operators.hotkeys import HOT_SHARE, met
 from casona.session import stored
 
-#: A key with more than this share of all rows is joined by broadcast; there are at most 1 / share such keys.
-HOT_SHARE = 0.001
 SIGNATURE = "node bigint, dims int, size bigint, v array<double>, keys array<bigint>, masks array<bigint>"
 ENTRY = "node bigint, dims int, band int, key bigint, home boolean"
 
@@ -50,12 +49,6 @@ def _weak(sizes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _met(rows: DataFrame, keyed: DataFrame, key: list[str], least: int) -> DataFrame:
-    """``rows`` with the columns of ``keyed`` (one row a key, n rows of it); keys with over ``least`` rows by broadcast."""
-    cold, hot = keyed.filter(F.col("n") <= least), keyed.filter(F.col("n") > least)
-    return rows.join(cold, key).unionByName(rows.join(F.broadcast(hot), key))
-
-
 def vector_classes(rows: DataFrame) -> DataFrame:
     """(node, class_id, n, v): one row for each different vector of rows (id, v); the class goes by its smallest id."""
     classes = rows.groupBy("v").agg(F.min("id").alias("class_id"), F.count("*").alias("n"))
@@ -81,7 +74,7 @@ def lsh_neighbours(
     counted = _tiles(classes, min_similarity, missed, most_bands, flips, chunk_rows, planned_rows, pairs=False)
     links = counted.groupBy("node").agg(F.sum("n_links").alias("others"))
     keyed = classes.join(links, "node", "left").select("v", "class_id", "n", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    found = _met(rows.filter(good), keyed, ["v"], max(1000, int(HOT_SHARE * rows.count())))
+    found = met(rows.filter(good), keyed, ["v"], max(1000, int(HOT_SHARE * rows.count())))
     alone = rows.filter(~good).select("id", F.col("id").alias("class_id"), F.lit(1).cast("bigint").alias("class_size"), F.lit(0).cast("bigint").alias("n_links"))
     return found.select("id", "class_id", F.col("n").alias("class_size"), "n_links").unionByName(alone)
 
@@ -107,7 +100,7 @@ def lsh_links(
     name = lambda side: classes.select(F.col("node").alias(side), F.col("class_id").alias(f"{side}_id"))
     named = found.join(name("x"), "x").join(name("y"), "y")
     links = named.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b"), "similarity")
-    members = _met(rows, classes.select("v", "class_id", "n"), ["v"], max(1000, int(HOT_SHARE * rows.count())))
+    members = met(rows, classes.select("v", "class_id", "n"), ["v"], max(1000, int(HOT_SHARE * rows.count())))
     return links, members.select("id", "class_id")
 
 
@@ -158,7 +151,7 @@ def _tiles(classes: DataFrame, least_cosine, missed, most_bands, flips, chunk_ro
     sizes = asked.groupBy(*bucket).agg(F.count("*").alias("n"), F.max("home").alias("owned")).filter("owned AND n > 1")
     sizes = stored(sizes.select(*bucket, "n", F.ceil(F.col("n") / chunk_rows).cast("int").alias("chunks")), "vector-buckets")
     least = max(1000, int(HOT_SHARE * count * bands * (1 << flips)))
-    placed = _met(asked, sizes, bucket, least).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    placed = met(asked, sizes, bucket, least).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     # a large bucket makes groups of its own, small ones share groups of about a chunk
     small = sizes.filter("chunks = 1").agg(F.sum("n")).first()[0] or 0

@@ -6,14 +6,16 @@ coordinates, long place lists) shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casona import refdata
 from casona.functions import geo, money, text
 from casona.functions.text import as_col, let, non_empty
-from casona.session import checkpoint
+from casona.operators.hotkeys import hot_join
+from casona.session import checkpoint, stored
 
 def to_usd(df: DataFrame, amount: str, currency: str, rates: DataFrame, out: str) -> DataFrame:
     """USD value of an amount column through a rates table (currency, rate per USD)."""
@@ -174,59 +176,97 @@ def nearest_pois_all(df: DataFrame, max_km: float = refdata.MAX_POI_KM) -> DataF
     }).drop("_airport", "_hospital", "_school", "_beach", "_x", "_y", "_z", *(f"_sq_{k}" for k in kinds))
 
 
-KM_PER_DEGREE = 111.19
+#: Cells of level n have an edge of 4 ** -n degrees, so a cell has 16 children.
+LEVELS = 11
+CELL = ["level", "cy", "cx"]
+
+
+def _cell(lat, lng, level) -> list[Column]:
+    edges = F.pow(F.lit(4.0), level)
+    return [F.floor(lat * edges).alias("cy"), F.floor(lng * edges).alias("cx")]
+
+
+def place_tree(spots: DataFrame, most_per_cell: int) -> tuple[DataFrame, DataFrame]:
+    """(cells, leaves) of a quadtree over spots (p_lat, p_lng, name) that splits crowded cells only.
+
+    A cell has its bounds, one of its spots, and whether it is crowded; the cells are those of
+    level 0 and the children of crowded ones. Leaves are the spots by the cell that is not crowded.
+    """
+    levels = spots.select("*", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level"))
+    at = levels.select("*", *_cell(F.col("p_lat"), F.col("p_lng"), F.col("level")))
+    every = at.groupBy(*CELL).agg(
+        F.min("p_lat").alias("south"), F.max("p_lat").alias("north"), F.min("p_lng").alias("west"), F.max("p_lng").alias("east"),
+        F.min(F.struct("p_lat", "p_lng")).alias("spot"), F.count("*").alias("n"))
+    every = every.withColumn("crowded", (F.col("n") > most_per_cell) & (F.col("level") < LEVELS - 1)).drop("n")
+    split = every.filter("crowded").select((F.col("level") + 1).alias("level"), F.col("cy").alias("py"), F.col("cx").alias("px"))
+    parent = every.select("*", F.floor(F.col("cy") / 4).alias("py"), F.floor(F.col("cx") / 4).alias("px"))
+    cells = stored(
+        every.filter("level = 0").unionByName(parent.join(split, ["level", "py", "px"], "left_semi").select(*every.columns)), "place-cells")
+    return cells, at.join(cells.filter("NOT crowded").select(*CELL), CELL)
 
 
 def nearest_poi_table(
-    df: DataFrame, key: str, pois: DataFrame, max_km: float = refdata.MAX_POI_KM, start_deg: float = 1 / 64, most_per_cell: int = 64
+    df: DataFrame, key: str, pois: DataFrame, max_km: float = refdata.MAX_POI_KM, most_per_cell: int = 32
 ) -> DataFrame:
     """Nearest row of a long place table (name, lat, lng) for each listing: (key, name, km).
 
-    Grid search with doubling cells: at each step listings meet the places of their own and
-    the eight surrounding cells; a best hit no farther than one cell edge is final, the rest
-    go on with cells twice as wide until the edge covers ``max_km``. Identical spots are
-    merged first, and the first cells are halved until none holds more than ``most_per_cell``
-    places, so a dense city does not pair all with all. Exact for any table size.
+    Spots with the same place are merged. A listing goes down the quadtree of the places level by
+    level: of the cells it holds on to, those that start farther away than the nearest spot known
+    so far are let go, crowded ones are replaced by their children. What it meets in the end are
+    the places of a few cells of at most ``most_per_cell``, in a city as in the country. Listings
+    of a crowded cell meet its children and its places by broadcast. Exact; equal distances go to
+    the smaller name; a key that repeats gets its best hit; listings and places without a position
+    have none.
     """
-    spots = pois.groupBy("lat", "lng").agg(F.min("name").alias("name")).select(
-        F.col("lat").cast("double").alias("p_lat"), F.col("lng").cast("double").alias("p_lng"), "name"
+    spots = pois.filter("lat IS NOT NULL AND lng IS NOT NULL").groupBy(
+        F.col("lat").cast("double").alias("p_lat"), F.col("lng").cast("double").alias("p_lng")).agg(F.min("name").alias("name"))
+    cells, leaves = place_tree(spots, most_per_cell)
+    listings = df.select(F.col(key).alias("key"), F.col("lat").cast("double").alias("lat"), F.col("lng").cast("double").alias("lng"))
+    listings = checkpoint(listings.filter(geo.in_country("lat", "lng")).withColumn("listing", F.monotonically_increasing_id()))
+
+    # a first distance: the spots that stand for the cells around the listing, at every level
+    path = listings.select("*", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level"))
+    path = path.select("listing", "lat", "lng", "level", *_cell(F.col("lat"), F.col("lng"), F.col("level")))
+    first = hot_join(path, cells.select(*CELL, "spot"), CELL).groupBy("listing").agg(F.min(_spot_km()).alias("best"))
+    known = listings.join(first, "listing", "left").withColumn("best", F.least(F.lit(float(max_km)), "best"))
+
+    lat_reach = F.col("best") / geo.EARTH_KM
+    polar = lat_reach + F.abs(F.radians("lat")) >= math.pi / 2 - 1e-6  # then any longitude may be in reach
+    lng_reach = F.when(polar, 2 * math.pi).otherwise(F.asin(F.sin(lat_reach) / F.cos(F.radians("lat"))))
+    around = lambda c, reach: F.explode(F.sequence(F.floor(c - F.degrees(reach) - 1e-6), F.floor(c + F.degrees(reach) + 1e-6)))
+    asked = known.withColumn("cy", around(F.col("lat"), lat_reach)).withColumn("cx", around(F.col("lng"), lng_reach))
+    # level 0 has at most 180 * 360 cells
+    held = _held(asked.join(F.broadcast(cells.filter("level = 0")), ["cy", "cx"]))
+    split = cells.filter("level > 0").select(
+        *cells.columns, (F.col("level") - 1).alias("pl"), F.floor(F.col("cy") / 4).alias("py"), F.floor(F.col("cx") / 4).alias("px"))
+    place = ["key", "listing", "lat", "lng", "best"]
+    while not held.filter("crowded").isEmpty():
+        parents = held.filter("crowded").select(*place, F.col("level").alias("pl"), F.col("cy").alias("py"), F.col("cx").alias("px"))
+        children = hot_join(parents, split, ["pl", "py", "px"]).select(*held.columns)
+        held = _held(held.filter("NOT crowded").unionByName(children))
+    hits = hot_join(held.select(*place, *CELL), leaves.select(*CELL, "p_lat", "p_lng", "name"), CELL)
+    return (
+        hits.withColumn("km", geo.haversine_km("lat", "lng", "p_lat", "p_lng")).filter(F.col("km") <= max_km)
+        .groupBy(F.col("key").alias(key)).agg(F.min(F.struct("km", "name")).alias("_best"))
+        .select(key, F.col("_best.name").alias("name"), F.col("_best.km").alias("km"))
     )
-    open_rows = df.select(
-        F.col(key), F.col("lat").cast("double").alias("lat"), F.col("lng").cast("double").alias("lng")
-    ).filter(geo.in_country("lat", "lng"))
-    steps = F.array(*(F.lit(i) for i in (-1, 0, 1)))
-    done, deg = None, start_deg
-    while deg > 2**-20:
-        crowd = spots.groupBy(F.floor(F.col("p_lat") / deg), F.floor(F.col("p_lng") / deg)).count().agg(F.max("count")).first()[0]
-        if (crowd or 0) <= most_per_cell:
-            break
-        deg /= 2
-    # one degree of longitude shrinks with latitude: inside the country box by at most cos(12)
-    narrow = 0.978
-    while True:
-        last = deg * KM_PER_DEGREE * narrow >= max_km
-        safe_km = max_km if last else deg * KM_PER_DEGREE * narrow
-        cells = spots.select(
-            "*",
-            F.explode(F.transform(steps, lambda i: F.floor(F.col("p_lat") / deg) + i)).alias("_cy"),
-        ).select("*", F.explode(F.transform(steps, lambda i: F.floor(F.col("p_lng") / deg) + i)).alias("_cx"))
-        asked = open_rows.withColumns({"_cy": F.floor(F.col("lat") / deg), "_cx": F.floor(F.col("lng") / deg)})
-        km = geo.haversine_km("lat", "lng", "p_lat", "p_lng")
-        hits = (
-            asked.join(cells, ["_cy", "_cx"])
-            .withColumn("_km", km)
-            .filter(F.col("_km") <= safe_km)
-            .groupBy(key)
-            .agg(F.min(F.struct(F.col("_km").alias("km"), F.col("name").alias("name"))).alias("_best"))
-            .select(key, F.col("_best.name").alias("name"), F.col("_best.km").alias("km"))
-        )
-        if not last:
-            hits = checkpoint(hits)  # read twice below; keeps the plan of each step flat
-        done = hits if done is None else done.unionByName(hits)
-        if last:
-            return done
-        open_rows = checkpoint(open_rows.join(hits.select(key), key, "left_anti"))
-        deg *= 2
+
+
+def _spot_km() -> Column:
+    return geo.haversine_km("lat", "lng", "spot.p_lat", "spot.p_lng")
+
+
+def _held(rows: DataFrame) -> DataFrame:
+    """Listings with the cells that may hold their nearest place, and the best distance known.
+
+    No place of a cell is nearer than the gap of latitude, or than the meridian of its nearer edge.
+    """
+    gap = lambda c, low, high: F.radians(F.greatest(F.lit(0.0), F.col(low) - F.col(c), F.col(c) - F.col(high)))
+    meridian = F.asin(F.cos(F.radians("lat")) * F.sin(F.least(gap("lng", "west", "east"), F.lit(math.pi / 2))))
+    least = F.lit(geo.EARTH_KM) * F.greatest(gap("lat", "south", "north"), meridian)
+    near = least <= F.col("best") * (1 + 1e-9) + 1e-9
+    known = rows.filter(near).withColumn("best", F.min(F.least("best", _spot_km())).over(Window.partitionBy("listing")))
+    return checkpoint(known.filter(near))
 
 
 # ---------------------------------------------------------------- the stage

@@ -84,6 +84,37 @@ def test_grid_search_equals_brute_force(spark):
             assert i not in got
 
 
+def test_nearest_place_where_one_cell_holds_most(spark):
+    rng = np.random.default_rng(6)
+    n, m = 3000, 2000
+    city = lambda k: np.c_[9.93 + rng.random(k) / 500, -84.08 + rng.random(k) / 500]
+    wide = lambda k: np.c_[7.6 + rng.random(k) * 4.3, -86.4 + rng.random(k) * 4.3]
+    listings = np.vstack([city(n * 8 // 10), np.tile(city(1), (n // 10, 1)), wide(n // 10)])
+    places = np.vstack([city(m * 9 // 10), wide(m // 20), np.tile(city(1), (m // 20, 1))])
+    df = spark.createDataFrame([(i, float(a), float(b), "x") for i, (a, b) in enumerate(listings)] + [(-1, None, -84.0, "x")], "key long, lat double, lng double, best string")
+    pdf = spark.createDataFrame([(f"p{i:04d}", float(a), float(b)) for i, (a, b) in enumerate(places)] + [("q", None, 1.0)], "name string, lat double, lng double")
+    got = {r.key: (r.name, r.km) for r in norm.nearest_poi_table(df, "key", pdf, max_km=40).collect()}
+
+    a, b = np.radians(listings)[:, None, :], np.radians(places)[None, :, :]
+    h = np.sin((b - a)[..., 0] / 2) ** 2 + np.cos(a[..., 0]) * np.cos(b[..., 0]) * np.sin((b - a)[..., 1] / 2) ** 2
+    km = 2 * 6371 * np.arcsin(np.sqrt(h))
+    for i, row in enumerate(km):
+        if row.min() > 40:
+            assert i not in got
+        else:
+            name, best = got[i]
+            assert abs(best - row.min()) < 1e-6 and abs(row[int(name[1:])] - row.min()) < 1e-9
+    assert -1 not in got
+
+    spots = pdf.dropna().groupBy(F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng")).agg(F.min("name").alias("name"))
+    cells, leaves = norm.place_tree(spots, 32)
+    assert leaves.count() == spots.count() and leaves.groupBy("level", "cy", "cx").count().agg(F.max("count")).first()[0] <= 32
+    assert cells.filter("level > 5").count() > 0  # the city is split,
+    assert cells.count() < 900  # the country is not
+    assert norm.nearest_poi_table(df, "key", pdf.limit(0)).count() == 0
+    assert norm.nearest_poi_table(df.limit(0), "key", pdf).count() == 0
+
+
 # ---------------------------------------------------------------- ordered operators with a hot key
 
 @pytest.fixture(scope="module")
