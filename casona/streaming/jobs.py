@@ -90,8 +90,9 @@ def run_sessions(logs: DataFrame, gap: str = "30 minutes", watermark: str = "1 h
         .select("run_id", F.col("_s.start").alias("started_at"), F.col("_s.end").alias("ended_at"), "events", "errors"))
 
 
-#: Price cells: level n is cut into cells of 4^n whole currency units; the highest level is one cell.
-LEVELS = 20
+#: Prices go by a code that rises with them: whole units below 2^EXACT, then their EXACT highest bits (off by 1 / 2,048 at most).
+#: Price cells: level n is cut into cells of 4^n codes; the highest level is one cell.
+EXACT, MOST_PRICE, LEVELS = 12, 2**40 - 1, 8
 MOST_BEDS = 12
 _ANY_TEXT, _ANY_BEDS, _ANY_PRICE = "\u0000", -1, -1
 
@@ -114,39 +115,46 @@ def _clamped(c: str, kind: str, top: int) -> Column:
     return F.when(F.col(c).isNotNull(), F.least(F.greatest(F.floor(c).cast(kind), F.lit(0)), F.lit(top)))
 
 
+def _code(c: str) -> Column:
+    """A price's place on the scale of cells."""
+    p = _clamped(c, "bigint", MOST_PRICE)
+    dropped = F.greatest(F.length(F.bin(p)) - EXACT, F.lit(0))
+    return dropped.cast("bigint") * 2**(EXACT - 1) + F.call_function("shiftright", p, dropped)
+
+
 def _indexed(searches: DataFrame) -> DataFrame:
-    """A row for each key under which a listing finds a search: region, type, beds and a price cell."""
-    top = 4**LEVELS - 1
-    whole = lambda c: _clamped(c, "bigint", top)
+    """A row for each key under which a listing finds a search: region, type, least beds and a price cell."""
     bounds = searches.select(
         "search_id", "min_price", "max_price", "min_beds", F.coalesce("region_slug", F.lit(_ANY_TEXT)).alias("_region"),
         F.coalesce("property_type", F.lit(_ANY_TEXT)).alias("_type"),
-        F.coalesce(whole("min_price"), F.lit(0)).alias("_low"), F.coalesce(whole("max_price"), F.lit(top)).alias("_high"),
-        _clamped("min_beds", "int", MOST_BEDS).alias("_least"))
+        F.coalesce(_code("min_price"), F.lit(0)).alias("_low"), F.coalesce(_code("max_price"), F.lit(4**LEVELS - 1)).alias("_high"),
+        F.coalesce(_clamped("min_beds", "int", MOST_BEDS), F.lit(_ANY_BEDS)).alias("_beds"))
     unlimited = F.col("min_price").isNull() & F.col("max_price").isNull()
     price = F.when(unlimited, F.array(F.struct(F.lit(_ANY_PRICE).alias("level"), F.lit(0).cast("bigint").alias("cell")))).otherwise(F.expr(_pieces("_low", "_high")))
-    beds = F.coalesce(F.sequence("_least", F.lit(MOST_BEDS)), F.array(F.lit(_ANY_BEDS)))
-    return bounds.withColumn("_price", F.explode(price)).withColumn("_beds", F.explode(beds)).drop("_low", "_high", "_least")
+    return bounds.withColumn("_price", F.explode(price)).drop("_low", "_high")
 
 
 def _candidates(listings: DataFrame, searches: DataFrame) -> DataFrame:
     """Active listings with the searches that they meet but for parts of a currency unit or a room and for beds beyond the highest.
 
-    A listing asks only for kinds of keys that some search has: whether region, type and beds are
-    named, and the price level. There are at most 8 * (LEVELS + 2) of them, so they are read first.
+    A listing asks only for kinds of keys that some search has: whether region and type are named,
+    the least beds, and the price level. There are at most 4 * (MOST_BEDS + 2) * (LEVELS + 2) of
+    them, so they are read first. Spark takes the exploded index for as small as the searches, so
+    the join is told not to broadcast it.
     """
     keys = _indexed(searches)
-    shape = [F.col("_region") == _ANY_TEXT, F.col("_type") == _ANY_TEXT, F.col("_beds") == _ANY_BEDS, F.col("_price.level")]
+    shape = [F.col("_region") == _ANY_TEXT, F.col("_type") == _ANY_TEXT, F.col("_beds"), F.col("_price.level")]
     shapes = [r.asDict() for r in keys.select(*(c.alias(name) for name, c in zip("rtbl", shape))).distinct().collect()]
-    shapes = F.from_json(F.lit(json.dumps(shapes)), "array<struct<r: boolean, t: boolean, b: boolean, l: int>>")
+    shapes = F.from_json(F.lit(json.dumps(shapes)), "array<struct<r: boolean, t: boolean, b: int, l: int>>")
     active = listings.filter("status = 'active'").withColumns({
-        "_p": _clamped("price_usd", "bigint", 4**LEVELS - 1), "_b": _clamped("bedrooms", "int", MOST_BEDS), "_s": F.explode(shapes)})
+        "_p": _code("price_usd"), "_b": _clamped("bedrooms", "int", MOST_BEDS), "_s": F.explode(shapes)})
+    active = active.filter(F.col("_s.b") <= F.coalesce("_b", F.lit(_ANY_BEDS)))
     active = active.withColumn("_k", F.struct(
         F.when(F.col("_s.r"), _ANY_TEXT).otherwise(F.col("region_slug")).alias("region"), F.when(F.col("_s.t"), _ANY_TEXT).otherwise(F.col("property_type")).alias("type"),
-        F.when(F.col("_s.b"), _ANY_BEDS).otherwise(F.col("_b")).alias("beds"), F.col("_s.l").alias("level"),
+        F.col("_s.b").alias("beds"), F.col("_s.l").alias("level"),
         F.when(F.col("_s.l") == _ANY_PRICE, 0).otherwise(F.expr("shiftright(_p, 2 * _s.l)")).alias("cell"))).drop("_p", "_b", "_s")
     on = [F.col(f"_k.{a}") == F.col(b) for a, b in (("region", "_region"), ("type", "_type"), ("beds", "_beds"), ("level", "_price.level"), ("cell", "_price.cell"))]
-    return active.join(keys, on[0] & on[1] & on[2] & on[3] & on[4]).drop("_k", "_region", "_type", "_beds", "_price")
+    return active.join(keys.hint("merge"), on[0] & on[1] & on[2] & on[3] & on[4]).drop("_k", "_region", "_type", "_beds", "_price")
 
 
 def saved_search_matches(listings: DataFrame, searches: DataFrame) -> DataFrame:
@@ -154,8 +162,8 @@ def saved_search_matches(listings: DataFrame, searches: DataFrame) -> DataFrame:
 
     Null in any filter means no limit. Searches are indexed by region, type, beds and the cells
     that make up their price range, so a listing meets few searches that do not match, also where
-    they name neither region nor type. The index is the static side, and Spark broadcasts it only
-    below its size threshold. A listing meets a search under one key at most.
+    they name neither region nor type. The index is the static side and is shuffled, never
+    broadcast. A listing meets a search under one key at most.
     """
     within: Column = (
         (F.col("min_price").isNull() | (F.col("price_usd") >= F.col("min_price")))

@@ -153,3 +153,15 @@ def test_searches_by_price_cells(spark):
     assert got == want and len(want) > 500
     assert jobs._candidates(lf, sf).count() < 1.25 * len(want)
     assert jobs.saved_search_matches(lf, sf.limit(0)).count() == 0
+
+
+def test_the_index_of_searches_is_small_and_not_broadcast(spark):
+    searches = spark.createDataFrame(
+        [(k, "n", "house", 400_000.0 + 37 * k, None, 1.0) for k in range(200)] + [(1000 + k, "n", None, 1e6 + k, 5e6 - k, None) for k in range(200)],
+        "search_id int, region_slug string, property_type string, min_price double, max_price double, min_beds double")
+    assert jobs._indexed(searches).count() < 40 * 400
+    few = spark.range(3).selectExpr("id search_id", "'n' region_slug", "'house' property_type", "id * 1e5 min_price", "double(null) max_price", "1.0 min_beds")
+    listings = spark.range(5).selectExpr("id", "'active' status", "'n' region_slug", "'house' property_type", "id * 6e4 price_usd", "2.0 bedrooms")
+    joined = jobs.saved_search_matches(listings, few)
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
+    assert sorted((r.id, r.search_id) for r in joined.collect()) == [(0, 0), (1, 0), (2, 0), (2, 1), (3, 0), (3, 1), (4, 0), (4, 1), (4, 2)]
