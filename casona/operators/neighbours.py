@@ -15,6 +15,11 @@ from casona.session import stored
 SIGNATURE = "node bigint, dims int, size bigint, v array<double>, keys array<bigint>, masks array<bigint>"
 ENTRY = "node bigint, dims int, band int, key bigint, home boolean"
 
+#: Blocks that a table is cut into for all pairs, and the components that a block may hold before there are more blocks.
+BLOCKS, MOST_CELLS = 24, 2**20
+#: Comparisons that take as long as making, shuffling and looking up an entry of a bucket.
+ENTRY_COST = 100
+
 
 def plan_bands(rows: int, min_similarity: float, missed: float, most_bands: int, flips: int) -> tuple[int, int]:
     """(bits of a band, bands) that miss a pair at the threshold with a probability of about ``missed``.
@@ -66,7 +71,7 @@ def lsh_neighbours(
     neighbours make n * n rows. Vectors that are null, empty or zero or hold null or non-finite
     components, and null ids, are classes of their own without links; vectors of unequal length
     have no links. Rows that repeat an id are rows of their own. ``planned_rows`` sets signatures
-    for a table of that size.
+    for a table of that size. Where bands cost more than all pairs, all pairs are compared.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     good = _usable(F.col("v")) & F.col("id").isNotNull()
@@ -109,11 +114,58 @@ def _usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+PAIRS, COUNTS = "x bigint, y bigint, similarity double", "node bigint, n_links bigint"
+
+
+def all_pairs_cheaper(rows: int, bits: int, bands: int, flips: int) -> bool:
+    """Whether comparing all pairs once takes less than the entries of the bands and the pairs that meet in their buckets.
+
+    Where a low cosine leaves short bands, pairs meet in several of them and all pairs are cheaper at any size.
+    """
+    probes = bands * 2**min(flips, bits)
+    return rows / 2 <= probes * (rows / 2**bits + ENTRY_COST)
+
+
+def _all_pairs(classes: DataFrame, least_cosine: float, rows: int, pairs: bool) -> DataFrame:
+    """As ``_tiles``, but tiles of two blocks hold all pairs once; a row is copied once a block."""
+    width = classes.agg(F.max(F.size("v"))).first()[0] or 1
+    blocks = max(1, min(BLOCKS, math.ceil(rows / 1024)), math.ceil(rows * width / MOST_CELLS))
+    dealt = classes.select("node", F.size("v").alias("dims"), F.col("n").alias("size"), "v", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    spread = dealt.select("dims", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "size", "v")
+
+    def tile(group: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t = pd.concat(list(batches), ignore_index=True)
+        _, i, j = map(int, group)
+        unit, node, size, block = _unit(t["v"]), t["node"].to_numpy(), t["size"].to_numpy(), t["block"].to_numpy()
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        total = np.zeros(len(t), np.int64)
+        for a in range(0, len(left), 1024):
+            rows_a = left[a:a + 1024]
+            for b in range(a if i == j else 0, len(right), 1024):
+                rows_b = right[b:b + 1024]
+                cosines = np.clip(unit[rows_a] @ unit[rows_b].T, -1, 1)
+                close = cosines >= least_cosine
+                x, y = np.nonzero(np.triu(close, 1) if i == j and a == b else close)
+                if pairs:
+                    yield pd.DataFrame({"x": node[rows_a[x]], "y": node[rows_b[y]], "similarity": cosines[x, y]})
+                else:
+                    np.add.at(total, rows_a[x], size[rows_b[y]])
+                    np.add.at(total, rows_b[y], size[rows_a[x]])
+        if not pairs:
+            found = total > 0
+            yield pd.DataFrame({"node": node[found], "n_links": total[found]})
+
+    return spread.groupBy("dims", "i", "j").applyInPandas(tile, PAIRS if pairs else COUNTS)
+
+
 def _tiles(classes: DataFrame, least_cosine, missed, most_bands, flips, chunk_rows, planned_rows, pairs: bool) -> DataFrame:
     """Pairs (x, y, similarity) of nodes, or (node, n_links) to be added up."""
     count = classes.count()
     bits, bands = plan_bands(planned_rows or count, least_cosine, missed, most_bands, flips)
     flips = min(flips, bits)
+    if all_pairs_cheaper(planned_rows or count, bits, bands, flips):
+        return _all_pairs(classes, least_cosine, count, pairs)
     weights = 1 << np.arange(bits, dtype=np.int64)
 
     def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,8 +223,7 @@ def _tiles(classes: DataFrame, least_cosine, missed, most_bands, flips, chunk_ro
         np.add.at(total, at, np.concatenate([size[y], size[x]]))
         return pd.DataFrame({"node": found, "n_links": total})
 
-    result = "x bigint, y bigint, similarity double" if pairs else "node bigint, n_links bigint"
-    return full.groupBy("dims", "slot", "i", "j").applyInPandas(tile, result)
+    return full.groupBy("dims", "slot", "i", "j").applyInPandas(tile, PAIRS if pairs else COUNTS)
 
 
 def _found(t: pd.DataFrame, i: int, j: int, least_cosine: float):

@@ -84,3 +84,27 @@ def test_recall_with_the_bands_of_a_large_table(spark, cosine):
     assert bands <= 64
     links = {(r.a, r.b) for r in neighbours.lsh_links(df, cosine, planned_rows=10**9)[0].collect()}
     assert sum((i, i + 400) in links for i in range(400)) >= 396
+
+
+@pytest.mark.parametrize("pairs", [True, False])
+def test_all_pairs_give_what_bands_give(spark, rows, pairs):
+    usable_rows = frame(spark, rows).filter("embedding IS NOT NULL AND size(embedding) > 0 AND id < 3000").selectExpr("id", "embedding v")
+    classes = neighbours.vector_classes(usable_rows)
+    got = neighbours._all_pairs(classes, 0.9, 10**5, pairs)
+    banded = neighbours._tiles(classes, 0.9, 1e-6, 64, 5, 32, 10**9, pairs)
+
+    def key(df):
+        if pairs:
+            return sorted((min(r.x, r.y), max(r.x, r.y), round(r.similarity, 9)) for r in df.collect())
+        return sorted(map(tuple, df.groupBy("node").sum("n_links").collect()))
+
+    assert key(got) == key(banded) and len(key(got)) > 100
+
+
+def test_short_bands_give_way_to_all_pairs():
+    """Bands for a cosine of 0.4 made 64 * 32 entries of every row; all pairs copy a row 24 times, at any size."""
+    for rows in (10**4, 10**5, 6 * 10**5, 10**8):
+        bits, bands = neighbours.plan_bands(rows, 0.4, 1e-9, 64, 5)
+        assert neighbours.all_pairs_cheaper(rows, bits, bands, 5)
+    bits, bands = neighbours.plan_bands(10**7, 0.9, 1e-3, 64, 5)
+    assert not neighbours.all_pairs_cheaper(10**7, bits, bands, 5)
