@@ -4,6 +4,7 @@ import random
 from decimal import Decimal
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -414,3 +415,30 @@ def test_newest_reply_by_sequence(spark):
     replies = spark.createDataFrame([reply(1, "zz"), reply(3, "aa"), reply(2, "mm")], "source_listing_id string, seq int, " + ", ".join(f"{f} string" for f in enrich.RESPONSE_FIELDS))
     assert enrich.bilingual_copy(rows, replies).first().title_en == "aa"
     assert enrich.bilingual_copy(rows, replies.drop("seq")).first().title_en == "zz"
+
+
+def test_best_k_over_many_tiles_and_ties():
+    rng = np.random.default_rng(5)
+    m = np.round(rng.normal(size=(90, 2)))  # many equal scores
+    m[3] = 0
+    ids = rng.permutation(90)
+    unit = er._matrix(pd.Series(list(m)))
+    got = er._best_k(ids, unit, ids, unit, 4, True, tile=16)
+    exact = np.round(unit @ unit.T, 12)
+    for q in range(90):
+        want = sorted((-exact[q, b], ids[b]) for b in range(90) if b != q)[:4]
+        mine = got[got.query_id == ids[q]]
+        assert [round(-s, 9) + 0 for s in mine.similarity] == [round(s, 9) + 0 for s, _ in want]
+
+
+def test_top_k_copies_rows_to_few_chunks(spark):
+    """Chunks of 8 rows would copy each of 4,000 rows 500 times."""
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(4000, 3))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id int, embedding array<double>")
+    found = er.top_k_similar(df, df, k=2, exclude_self=True, rows_per_chunk=8).filter("query_id < 50").collect()
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    sims = unit[:50] @ unit.T
+    sims[np.arange(50), np.arange(50)] = -1
+    best = np.argsort(-sims, axis=1)[:, :2]
+    assert sorted((r.query_id, r.rank, r.base_id) for r in found) == sorted((q, n + 1, int(best[q, n])) for q in range(50) for n in range(2))
