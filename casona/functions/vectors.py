@@ -17,10 +17,11 @@ def hash_embedding(c, dim: int = refdata.EMBEDDING_DIM) -> Column:
 
     Stands in for a model when none is configured; it carries no meaning beyond equality.
     """
-    rounds = -(-dim // 16)
+    heads = [f"{i}::".encode() for i in range(-(-dim // 16))]
 
     def vector(text: str) -> np.ndarray:
-        raw = b"".join(hashlib.sha256(f"{i}::{text}".encode()).digest() for i in range(rounds))
+        tail, sha = text.encode(), hashlib.sha256
+        raw = b"".join([sha(head + tail).digest() for head in heads])
         values = np.frombuffer(raw, dtype=">u2")[:dim].astype(np.float64) / 0xFFFF * 2 - 1
         return values / (np.sqrt((values * values).sum()) or 1.0)
 
@@ -31,6 +32,12 @@ def hash_embedding(c, dim: int = refdata.EMBEDDING_DIM) -> Column:
     return embed(as_col(c))
 
 
+def rounded(x: Column) -> Column:
+    """Whole number nearest to a double, halves away from zero; ``round`` makes a decimal of each value."""
+    near = F.rint(x)
+    return F.when(F.abs(x - near) == 0.5, F.signum(x) * (F.floor(F.abs(x)) + 1)).otherwise(near).cast("bigint")
+
+
 def dot(a, b) -> Column:
     terms = F.zip_with(as_col(a), as_col(b), lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)

@@ -39,6 +39,8 @@ def skip_unchanged(t):
 
 
 DIM = refdata.EMBEDDING_DIM
+#: Texts that a task embeds.
+EMBEDDED_ROWS = 10_000
 
 
 @query("hash_embedding", f"""
@@ -48,8 +50,10 @@ DIM = refdata.EMBEDDING_DIM
     SELECT p_partkey, sha256(array_to_string(list_transform(v, lambda x: CAST(CAST(round(x / n * 10000) AS BIGINT) AS VARCHAR)), ' ')) AS vector FROM n""")
 def hash_embedding(t):
     """All dimensions of each vector, as a digest of their ten-thousandths."""
-    out = t.part.select("p_partkey", vectors.hash_embedding("p_name").alias("v"))
-    scaled = F.transform("v", lambda x: F.round(x * 10000).cast("bigint").cast("string"))
+    # narrow rows, much work each: a file of them is one task unless they are dealt out by number
+    rows = t.part.select("p_partkey", "p_name")
+    out = rows.repartition(rows.count() // EMBEDDED_ROWS + 1).select("p_partkey", vectors.hash_embedding("p_name").alias("v"))
+    scaled = F.transform("v", lambda x: vectors.rounded(x * 10000).cast("string"))
     return out.select("p_partkey", F.sha2(F.array_join(scaled, " "), 256).alias("vector"))
 
 

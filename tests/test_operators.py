@@ -442,3 +442,40 @@ def test_top_k_copies_rows_to_few_chunks(spark):
     sims[np.arange(50), np.arange(50)] = -1
     best = np.argsort(-sims, axis=1)[:, :2]
     assert sorted((r.query_id, r.rank, r.base_id) for r in found) == sorted((q, n + 1, int(best[q, n])) for q in range(50) for n in range(2))
+
+
+def test_rounded_like_round(spark):
+    from casona.functions.vectors import rounded
+
+    values = [0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, 3.2, -3.7, -0.2, 0.0, 1e15 + 0.5, None] + [random.Random(3).uniform(-400, 400) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    plan = df.select(rounded(F.col("x")).alias("r"))
+    assert [r.r for r in plan.collect()] == [r.r for r in df.select(F.round("x").cast("bigint").alias("r")).collect()]
+
+
+def test_hash_embedding_digests_need_no_decimals():
+    import inspect
+
+    from casona.plans import queries_resolution
+
+    assert "F.round(" not in inspect.getsource(queries_resolution.hash_embedding)
+
+
+def test_pages_are_parsed_few_at_a_time(spark, monkeypatch):
+    from casona.functions import dom
+
+    class Catch:
+        dtypes = [("url", "string"), ("html", "string")]
+
+        def selectExpr(self, *_):
+            return self
+
+        def mapInPandas(self, run, schema):
+            return run
+
+    run = dom.dom_fields(Catch(), ["url"])
+    batch = pd.DataFrame({"url": [str(i) for i in range(1000)], "html": [f"<main>page {i}</main>" for i in range(1000)], "_classifieds": [False] * 1000})
+    parts = list(run(iter([batch])))
+    assert max(map(len, parts)) <= dom.PAGES_A_TIME
+    whole = pd.concat(parts)
+    assert list(whole.url) == list(batch.url) and list(whole.detail_text) == [f"page {i}" for i in range(1000)]
