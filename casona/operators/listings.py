@@ -108,10 +108,17 @@ def search_after(cards: DataFrame, filters: SearchFilters, cursor: tuple | None
     return hits.orderBy(F.desc_nulls_last("last_seen_at"), "id").limit(size)
 
 
+#: Rows that a range of ``by_recency`` holds before there are more ranges.
+RANGE_ROWS = 250_000
+
+
 def by_recency(cards: DataFrame, ranges: int) -> DataFrame:
-    """Rows range partitioned and sorted as pages show them, to be written as a table for ``search_after``."""
+    """Rows range partitioned and sorted as pages show them, to be written as a table for ``search_after``.
+
+    There are ``ranges`` of them, or more where one would hold over RANGE_ROWS rows, so that a task's sort stays small.
+    """
     order = [F.desc_nulls_last("last_seen_at"), F.asc("id")]
-    return cards.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return cards.repartitionByRange(max(ranges, -(-cards.count() // RANGE_ROWS)), *order).sortWithinPartitions(*order)
 
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"

@@ -79,3 +79,13 @@ def test_long_gazetteer_equals_the_literal_form(spark):
     got = {r.locality: r.region_slug for r in norm.region_by_gazetteer(df, short).collect()}
     assert got["ab"] == "two" and got["x"] == "one" and got["Nosara"] == "all" and got[""] == "all" and got[None] is None
     assert norm.region_by_gazetteer(df, short.limit(0)).filter(F.col("region_slug").isNotNull()).count() == 0
+
+
+def test_ranges_by_recency_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ls, "RANGE_ROWS", 10)
+    cards = spark.range(95).selectExpr("id", "timestamp'2024-01-01' + make_interval(0, 0, 0, int(id % 7)) last_seen_at")
+    laid = ls.by_recency(cards, 2)
+    assert laid.rdd.getNumPartitions() == 10
+    rows = [(r.last_seen_at, r.id) for r in laid.collect()]
+    assert rows == sorted(rows, key=lambda r: (-r[0].timestamp(), r[1])) and len(rows) == 95
+    assert ls.by_recency(cards.limit(5), 2).rdd.getNumPartitions() == 2
