@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import uuid
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from casona import refdata
@@ -89,3 +90,28 @@ def test_ranges_by_recency_grow_with_the_rows(spark, monkeypatch):
     rows = [(r.last_seen_at, r.id) for r in laid.collect()]
     assert rows == sorted(rows, key=lambda r: (-r[0].timestamp(), r[1])) and len(rows) == 95
     assert ls.by_recency(cards.limit(5), 2).rdd.getNumPartitions() == 2
+
+
+@pytest.mark.parametrize("most_sent", [100_000, 0])
+def test_keys_of_any_length_in_names(spark, monkeypatch, most_sent):
+    rng = random.Random(8)
+    monkeypatch.setattr(norm, "MOST_SENT", most_sent)
+    word = lambda low, high: "".join(rng.choice("ab1") for _ in range(rng.randint(low, high)))
+    keys = [(rng.randint(0, 99), word(1, 11), f"r{k}") for k in range(60)] + [(None, "a", "x"), (1, None, "x")]
+    keys = list({o: (o, k, r) for o, k, r in keys}.values())
+    names = [None, "", "a", "b1"] + [word(0, 30) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(names)), "id int, locality string")
+    first = lambda n, all_keys: next((r for o, k, r in sorted(x for x in all_keys if None not in x) if n is not None and k in n), None)
+    for chosen in (keys, [k for k in keys if k[1] is not None and len(k[1]) > 6], [(200, "", "all"), (3, "b1b1", "mid")]):
+        got = {r.id: r.region_slug for r in norm.region_by_gazetteer(df, spark.createDataFrame(chosen, "ord int, key string, region string")).collect()}
+        assert got == {i: first(n, chosen) for i, n in enumerate(names)}
+
+
+def test_long_names_ask_for_few_grams(spark, monkeypatch):
+    """Grams that no key begins or ends like are dropped before they are shuffled; there were three a character."""
+    df = spark.createDataFrame([(i, f"a long name of a house by the sea number {10_000 + i}") for i in range(50)], "id int, locality string")
+    keys = spark.createDataFrame([(i, str(10_000 + i), "r") for i in range(0, 50, 2)], "ord int, key string, region string")
+    found = norm.region_by_gazetteer(df, keys)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") >= 4
+    assert sorted(r.id for r in found.filter("region_slug = 'r'").collect()) == list(range(0, 50, 2))
