@@ -38,6 +38,7 @@ class TextIndex:
             return False
         place = f"{self.path}/updates/{writer}-{batch}"
         if "_SUCCESS" not in self.words.files.names(place):
+            listings = listings.repartition("id")  # whole listings move once, not each of their words twice
             new = token_index(listings).withColumnRenamed("id", "_id").groupBy("_id").agg(F.collect_list(F.struct("token", "weight")).alias("words"))
             ids = listings.select("id").distinct()
             changed = ids.join(new, F.col("id") == F.col("_id"), "left").select("id", "words")

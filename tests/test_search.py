@@ -115,3 +115,25 @@ def test_long_names_ask_for_few_grams(spark, monkeypatch):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftSemi") >= 4
     assert sorted(r.id for r in found.filter("region_slug = 'r'").collect()) == list(range(0, 50, 2))
+
+
+def test_words_of_new_listings_are_not_shuffled_one_by_one(spark):
+    from casona.operators.listings import token_index
+
+    rows = spark.range(20).selectExpr("id", "'casa beach casa' title_en", "'by the sea' description_en").repartition("id")
+    folded = token_index(rows).groupBy("id").agg(F.count("*").alias("n"))
+    assert folded._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    at = f"{shared_folder(spark)}/words-{uuid.uuid4().hex}"
+    index = TextIndex(spark, at, T.LongType(), 4)
+    seen = []
+    plain = type(rows).repartition
+
+    def noted(df, *to):
+        seen.append(to)
+        return plain(df, *to)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(rows), "repartition", noted)
+        index.update(0, rows)
+    assert ("id",) in seen
+    assert [(r.id, float(r.score)) for r in index.search("casa sea").orderBy("id").collect()] == [(i, 2.1) for i in range(20)]
