@@ -19,6 +19,8 @@ ENTRY = "node bigint, dims int, band int, key bigint, home boolean"
 BLOCKS, MOST_CELLS = 24, 2**20
 #: Comparisons that take as long as making, shuffling and looking up an entry of a bucket.
 ENTRY_COST = 100
+#: The same between two tables of near vectors, whose buckets are crowded: an entry then carries its vector.
+CROSS_ENTRY_COST = 2_000
 
 
 def plan_bands(rows: int, min_similarity: float, missed: float, most_bands: int, flips: int) -> tuple[int, int]:
@@ -109,6 +111,66 @@ def lsh_links(
     return links, members.select("id", "class_id")
 
 
+def cross_links(
+    queries: DataFrame, base: DataFrame, min_similarity: float, id_col: str = "id", vec_col: str = "embedding", missed: float = 1e-6,
+    most_bands: int = 64, flips: int = 2, chunk_rows: int = 512, all_pairs: bool | None = None, seed: int = 7,
+) -> DataFrame:
+    """Pairs of two tables at or above a cosine: (query_id, base_id, similarity).
+
+    Vectors are compared inside tiles and only pairs that are links leave them. A tile is a block
+    of either table or, where bands of sign bits cost less (``all_pairs`` overrides this), a bucket
+    that rows of both share. Vectors that are null, empty or zero or hold null or non-finite
+    components, and null ids, have no pairs; nor have vectors of unequal length.
+    """
+    def side(df: DataFrame, number: int) -> DataFrame:
+        rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+        return rows.filter(_usable(F.col("v")) & F.col("id").isNotNull()).withColumn("side", F.lit(number).cast("bigint"))
+
+    both = stored(side(queries, 0).unionByName(side(base, 1)).select((F.monotonically_increasing_id() * 2 + F.col("side")).alias("node"), "id", "v"), "cross-rows")
+    found = both.agg(F.count("*").alias("rows"), F.max(F.size("v")).alias("width")).first()
+    bits, bands = plan_bands(found.rows, min_similarity, missed, most_bands, flips)
+    if all_pairs is None:
+        all_pairs = found.rows / 2 <= bands * 2**min(flips, bits) * (found.rows / 2**bits + CROSS_ENTRY_COST)
+    if all_pairs:
+        links = _all_cross(both, min_similarity, found.rows, found.width or 1)
+    else:
+        links = _banded(both.select("node", F.lit(1).cast("bigint").alias("n"), "v"), found.rows, bits, bands, min_similarity, flips, chunk_rows, pairs=True, cross=True, seed=seed)
+        asks = F.col("x") % 2 == 0
+        links = links.select(F.when(asks, F.col("x")).otherwise(F.col("y")).alias("x"), F.when(asks, F.col("y")).otherwise(F.col("x")).alias("y"), "similarity")
+    name = lambda node, out: both.select(F.col("node").alias(node), F.col("id").alias(out))
+    return links.join(name("x", "query_id"), "x").join(name("y", "base_id"), "y").select("query_id", "base_id", "similarity")
+
+
+def _all_cross(both: DataFrame, least_cosine: float, rows: int, width: int) -> DataFrame:
+    """Pairs (x, y, similarity) of even and odd nodes; a row is copied once a block of the other side."""
+    blocks = max(1, min(BLOCKS, math.ceil(rows / 2048)), math.ceil(rows * width / (8 * MOST_CELLS)))
+    dealt = both.select(F.size("v").alias("dims"), "node", "v", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asks = F.col("node") % 2 == 0
+    spread = dealt.select(
+        "dims", F.when(asks, F.col("block")).otherwise(F.col("other")).alias("i"), F.when(asks, F.col("other")).otherwise(F.col("block")).alias("j"), "node", "v")
+
+    def tile(group: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t = pd.concat(list(batches), ignore_index=True)
+        unit, node = _unit(t["v"]), t["node"].to_numpy()
+        left, right = np.flatnonzero(node % 2 == 0), np.flatnonzero(node % 2 == 1)
+        rough = unit.astype(np.float32)
+        low = np.float32(least_cosine - 2e-7 * (unit.shape[1] + 8))  # below by more than single precision can err
+        for a in range(0, len(left), 1024):
+            rows_a = left[a:a + 1024]
+            for b in range(0, len(right), 4096):
+                rows_b = right[b:b + 4096]
+                x, y = np.nonzero(rough[rows_a] @ rough[rows_b].T >= low)
+                for at in range(0, len(x), 65_536):
+                    p, q = rows_a[x[at:at + 65_536]], rows_b[y[at:at + 65_536]]
+                    cosines = np.clip((unit[p] * unit[q]).sum(axis=1), -1, 1)
+                    close = cosines >= least_cosine
+                    if close.any():
+                        yield pd.DataFrame({"x": node[p[close]], "y": node[q[close]], "similarity": cosines[close]})
+
+    return spread.groupBy("dims", "i", "j").applyInPandas(tile, PAIRS)
+
+
 def _usable(v: Column) -> Column:
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return F.coalesce(v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
@@ -166,6 +228,12 @@ def _tiles(classes: DataFrame, least_cosine, missed, most_bands, flips, chunk_ro
     flips = min(flips, bits)
     if all_pairs_cheaper(planned_rows or count, bits, bands, flips):
         return _all_pairs(classes, least_cosine, count, pairs)
+    return _banded(classes, count, bits, bands, least_cosine, flips, chunk_rows, pairs)
+
+
+def _banded(classes: DataFrame, count: int, bits: int, bands: int, least_cosine, flips, chunk_rows, pairs: bool, cross: bool = False, seed: int = 7) -> DataFrame:
+    """As ``_tiles``, by buckets of bands; with ``cross`` only even nodes meet odd ones."""
+    flips = min(flips, bits)
     weights = 1 << np.arange(bits, dtype=np.int64)
 
     def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -173,7 +241,7 @@ def _tiles(classes: DataFrame, least_cosine, missed, most_bands, flips, chunk_ro
         for batch in batches:
             for dims, part in batch.groupby(batch["v"].map(len)):
                 if dims not in planes:
-                    planes[dims] = np.random.default_rng(7).normal(size=(dims, bands * bits))
+                    planes[dims] = np.random.default_rng(seed).normal(size=(dims, bands * bits))
                 m = np.vstack(part["v"].to_numpy()).astype(float)
                 sides = (m / np.abs(m).max(axis=1, keepdims=True) @ planes[dims]).reshape(len(m), bands, bits)
                 yield pd.DataFrame({
@@ -214,7 +282,7 @@ def _tiles(classes: DataFrame, least_cosine, missed, most_bands, flips, chunk_ro
 
     def tile(group: tuple, t: pd.DataFrame) -> pd.DataFrame:
         t = t.sort_values(["band", "key"], ignore_index=True)
-        x, y, cosines = _found(t, int(group[2]), int(group[3]), least_cosine)
+        x, y, cosines = _found(t, int(group[2]), int(group[3]), least_cosine, cross)
         nodes, size = t["node"].to_numpy(), t["size"].to_numpy()
         if pairs:
             return pd.DataFrame({"x": nodes[x], "y": nodes[y], "similarity": cosines})
@@ -226,7 +294,7 @@ def _tiles(classes: DataFrame, least_cosine, missed, most_bands, flips, chunk_ro
     return full.groupBy("dims", "slot", "i", "j").applyInPandas(tile, PAIRS if pairs else COUNTS)
 
 
-def _found(t: pd.DataFrame, i: int, j: int, least_cosine: float):
+def _found(t: pd.DataFrame, i: int, j: int, least_cosine: float, cross: bool = False):
     """(row, row, cosine) of the pairs at or above the cosine that count here; rows go by bucket."""
     unit, keys, masks = _unit(t["v"]), np.vstack(t["keys"].to_numpy()), np.vstack(t["masks"].to_numpy())
     chunk, home, node, bands = (t[c].to_numpy() for c in ("chunk", "home", "node", "band"))
@@ -238,6 +306,8 @@ def _found(t: pd.DataFrame, i: int, j: int, least_cosine: float):
         left, right = rows[chunk[start:stop] == i], rows[chunk[start:stop] == j]
         cosines = np.clip(unit[left] @ unit[right].T, -1, 1)
         close = (cosines >= least_cosine) & (home[left][:, None] | home[right][None, :])
+        if cross:
+            close &= (node[left] % 2)[:, None] != (node[right] % 2)[None, :]
         at = np.nonzero(np.triu(close, 1) if i == j else close)
         x, y, score = left[at[0]], right[at[1]], cosines[at]
         band = bands[start]
