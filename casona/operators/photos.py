@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casona import refdata
 from casona.functions.text import as_col, let
 from casona.functions.urls import rewrite_thumb
-from casona.operators.ranking import newest, running_totals, top_n_per_key
+from casona.operators.ranking import by_size, newest, running_totals, top_n_per_key
 
 
 
@@ -71,19 +71,31 @@ def new_photos(photos: DataFrame, existing: DataFrame, key: str = "listing_id")
 def assign_positions(photos: DataFrame, existing: DataFrame, hero: DataFrame, key: str = "listing_id") -> DataFrame:
     """Final positions after the listing's stored photos, and one hero: the first usable photo at or
     after the chosen index, for listings without a hero yet. ``hero`` is (key, hero_index)."""
-    stored = existing.groupBy(key).agg(
+    before = existing.groupBy(key).agg(
         F.max("position").alias("_last"), F.max(F.col("is_hero") & ~F.col("is_rejected")).alias("_has_hero"))
-    n = numbered(photos, [F.col("position"), F.col("url")], "_n", key)
-    placed = n.join(stored, key, "left").withColumn(
-        "position", (F.coalesce("_last", F.lit(-1)) + F.col("_n")).cast("int"))
     index = hero.groupBy(key).agg(F.min("hero_index").alias("_hero_index"))
-    placed = placed.join(index, key, "left").withColumn("is_rejected", F.col("reject_reason").isNotNull())
-    eligible = ~F.col("is_rejected") & (F.col("_n") - 1 >= F.coalesce("_hero_index", F.lit(0)))
-    chosen = placed.filter(eligible).groupBy(key).agg(F.min("position").alias("_hero_at"))
-    out = placed.join(chosen, key, "left")
-    is_hero = ~F.coalesce("_has_hero", F.lit(False)) & (F.col("position") == F.col("_hero_at"))
-    return out.withColumn("is_hero", F.coalesce(is_hero, F.lit(False))).drop(
-        "_n", "_last", "_has_hero", "_hero_index", "_hero_at")
+    order = [F.col("position"), F.col("url")]
+    few, many = by_size(photos, [key], "new-photos")
+
+    def placed(n: DataFrame) -> DataFrame:
+        rows = n.join(before, key, "left").withColumn("position", (F.coalesce("_last", F.lit(-1)) + F.col("_n")).cast("int"))
+        rows = rows.join(index, key, "left").withColumn("is_rejected", F.col("reject_reason").isNotNull())
+        return rows.withColumn("_eligible", ~F.col("is_rejected") & (F.col("_n") - 1 >= F.coalesce("_hero_index", F.lit(0))))
+
+    def marked(rows: DataFrame) -> DataFrame:
+        is_hero = ~F.coalesce("_has_hero", F.lit(False)) & (F.col("position") == F.col("_hero_at")) & F.col(key).isNotNull()
+        return rows.withColumn("is_hero", F.coalesce(is_hero, F.lit(False))).drop(
+            "_n", "_last", "_has_hero", "_hero_index", "_hero_at", "_eligible")
+
+    # a listing of few photos is numbered, joined and searched for its hero where one shuffle brought it
+    mine = Window.partitionBy(key)
+    small = placed(few.withColumn("_n", F.row_number().over(mine.orderBy(*order)).cast("bigint")))
+    out = marked(small.withColumn("_hero_at", F.min(F.when(F.col("_eligible"), F.col("position"))).over(mine)))
+    if many is None:
+        return out
+    large = placed(numbered(many, order, "_n", key))
+    chosen = large.filter("_eligible").groupBy(key).agg(F.min("position").alias("_hero_at"))
+    return out.unionByName(marked(large.join(chosen, key, "left")))
 
 
 def photo_counts(listings: DataFrame, photos: DataFrame, key: str = "listing_id") -> DataFrame:

@@ -40,3 +40,30 @@ def test_candidates_below_the_threshold_are_not_shuffled(spark):
     df = vectors(spark, [(i, [1.0, float(i % 3)]) for i in range(9)])
     text = plan(er.lsh_candidates(df, df, 0.99))
     assert "keys=[query_id" not in text and "bands" not in text
+
+
+def photo_rows(spark):
+    rows = [(k, i, f"u{i:03d}", "logo" if i % 4 == 0 else None) for k, n in ((1, 40), (2, 3), (3, 1), (None, 5)) for i in range(n)]
+    photos = spark.createDataFrame(rows, "listing_id long, position int, url string, reject_reason string")
+    existing = spark.createDataFrame([(1, "x", 6, False, False), (2, "y", 2, True, False)], "listing_id long, url string, position int, is_hero boolean, is_rejected boolean")
+    return photos, existing, spark.createDataFrame([(1, 9), (3, 0)], "listing_id long, hero_index int")
+
+
+def test_positions_are_the_same_for_large_listings(spark, monkeypatch):
+    found = []
+    for most in (10_000, 4):
+        monkeypatch.setattr(ranking, "MOST_ROWS", most)
+        found.append(sorted(map(str, ph.assign_positions(*photo_rows(spark)).collect())))
+        assert (ranking.by_size(photo_rows(spark)[0], ["listing_id"], "t")[1] is None) == (most == 10_000)
+    assert found[0] == found[1] and len(found[0]) == 49
+    heroes = [r for r in ph.assign_positions(*photo_rows(spark)).collect() if r.is_hero]
+    assert [(r.listing_id, r.url, r.position) for r in heroes] == [(1, "u009", 16)]
+
+
+def test_photos_are_shuffled_once_to_get_their_positions(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(ph.assign_positions(*photo_rows(spark)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("Exchange hashpartitioning" in line for line in text.splitlines()) <= 3  # photos, stored ones, choices
