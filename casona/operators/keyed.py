@@ -43,9 +43,9 @@ class RawTable(BucketTable):
     def known_before(self, payloads: DataFrame, snapshot: Snapshot) -> DataFrame:
         """Keys of payloads with ``was_new`` as of a snapshot taken before they were put in."""
         keys = payloads.select(*self.keys).distinct()
-        old = self.look_up(keys, snapshot).select(*(F.col(k).alias(f"_{k}") for k in self.keys))
+        old = self.look_up(payloads, snapshot).select(*(F.col(k).alias(f"_{k}") for k in self.keys))
         same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys]
-        return keys.join(old, same[0] & same[1], "left").select(*self.keys, F.col(f"_{self.keys[0]}").isNull().alias("was_new"))
+        return keys.join(old, same[1] & same[0], "left").select(*self.keys, F.col(f"_{self.keys[0]}").isNull().alias("was_new"))
 
     def set_stage(self, writer: str, stage: str, outcomes: DataFrame) -> bool:
         """Outcomes (source, source_listing_id, status, error) of one stage written to their rows."""
@@ -54,7 +54,7 @@ class RawTable(BucketTable):
 
         def change(now: DataFrame, new: DataFrame) -> DataFrame:
             o = new.select(*result, F.col("status").alias("_status"), F.col("error").alias("_error"))
-            both = now.join(o, F.col(self.keys[0]).eqNullSafe(F.col(f"_{self.keys[0]}")) & F.col(self.keys[1]).eqNullSafe(F.col(f"_{self.keys[1]}")), "left")
+            both = now.join(o, F.col(self.keys[1]).eqNullSafe(F.col(f"_{self.keys[1]}")) & F.col(self.keys[0]).eqNullSafe(F.col(f"_{self.keys[0]}")), "left")
             # as stage_transition: an old error stays unless the outcome brings a new one
             return both.withColumns({column: F.coalesce("_status", column), "error": F.coalesce("_error", "error")}).select(*now.columns)
 

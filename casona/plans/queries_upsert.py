@@ -79,7 +79,7 @@ def bucketed_upsert_raw(t):
     table.upsert(2, late, ("scraped_at", "seq"))
     table.upsert(2, early, ("scraped_at", "seq"))  # a run that is there already
     new = table.known_before(late, before)
-    return table.read().drop("was_new").join(new, ["source", "source_listing_id"], "left").select(
+    return table.read().drop("was_new").join(new, ["source_listing_id", "source"], "left").select(
         "source", "source_listing_id", "run_id", _stamp("scraped_at").alias("scraped_at"), "dedupe_status", "error", "was_new")
 
 

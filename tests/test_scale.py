@@ -67,3 +67,9 @@ def test_photos_are_shuffled_once_to_get_their_positions(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum("Exchange hashpartitioning" in line for line in text.splitlines()) <= 3  # photos, stored ones, choices
+
+
+def test_raw_rows_are_sorted_by_the_key_that_tells_them_apart(spark):
+    raw = spark.createDataFrame([("s", "1", "a", 1)], "source string, source_listing_id string, url string, scraped_at long")
+    text = plan(up.upsert_raw(raw, raw))
+    assert "hashpartitioning(source_listing_id" in text and "hashpartitioning(source#" not in text
