@@ -73,3 +73,18 @@ def test_raw_rows_are_sorted_by_the_key_that_tells_them_apart(spark):
     raw = spark.createDataFrame([("s", "1", "a", 1)], "source string, source_listing_id string, url string, scraped_at long")
     text = plan(up.upsert_raw(raw, raw))
     assert "hashpartitioning(source_listing_id" in text and "hashpartitioning(source#" not in text
+
+
+def test_pages_of_a_run_are_assembled_once(spark, monkeypatch):
+    labels = []
+
+    def seen(df, label):
+        labels.append(label)
+        if label == "replies":
+            raise KeyError(label)
+        return df
+
+    monkeypatch.setattr(queries_extraction, "stored", seen)
+    with pytest.raises(KeyError):
+        queries_extraction.joined_run(Tables(spark, "/root/testdata/sf0.001"))
+    assert labels == ["payloads", "replies"]
