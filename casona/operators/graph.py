@@ -8,6 +8,8 @@ from casona.session import checkpoint
 
 #: A node with more than this share of all edges is joined by broadcast; there are at most 2 / share such nodes.
 HOT_SHARE = 0.001
+#: Edges that a partition holds at least, so that small tables are not dealt over many near-empty files.
+EDGES_A_PARTITION = 20_000
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -19,7 +21,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     after a number of rounds that grows with the logarithm of the longest chain. A round is two
     aggregates that combine before their shuffle and two joins; edges of the few nodes that have
     a large share of them all stay where they are and meet these nodes' rows by broadcast. A
-    round ends in a reliable checkpoint, so a lost executor repeats one round only.
+    round ends in a reliable checkpoint, so a lost executor repeats one round only. Its tables have
+    as many partitions as their edges need, since every partition of a shuffle costs files.
 
     Nulls, loops and repeated edges are ignored. Without edges the result is empty.
     """
@@ -31,7 +34,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = _fingerprint(stars)
     while before[0]:
         least = max(1000, int(HOT_SHARE * before[0]))
-        stars = checkpoint(_small_star(_large_star(stars, least), least))
+        few = -(-before[0] // EDGES_A_PARTITION)
+        stars = stars.coalesce(few)
+        stars = checkpoint(_small_star(_large_star(stars, least).coalesce(few), least).coalesce(few))
         after = _fingerprint(stars)
         if after == before:
             break

@@ -88,3 +88,13 @@ def test_pages_of_a_run_are_assembled_once(spark, monkeypatch):
     with pytest.raises(KeyError):
         queries_extraction.joined_run(Tables(spark, "/root/testdata/sf0.001"))
     assert labels == ["payloads", "replies"]
+
+
+def test_few_edges_have_few_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = graph.connected_components(spark.createDataFrame([(i, i + 1) for i in range(30) if i != 14], "a long, b long"))
+        assert found.rdd.getNumPartitions() <= 1 + 8
+        assert {(r.id, r.component) for r in found.collect()} == {(i, 0 if i < 15 else 15) for i in range(31)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
