@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from casona.session import checkpoint
 
@@ -10,6 +10,8 @@ from casona.session import checkpoint
 HOT_SHARE = 0.001
 #: Edges that a partition holds at least, so that small tables are not dealt over many near-empty files.
 EDGES_A_PARTITION = 20_000
+#: Up to so many edges (16 MB of whole numbers) the rows of one node, however many, fit a task with room to spare.
+FEW_EDGES = 1_000_000
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,9 +22,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     ones. Both keep components whole, and the edges end as one star around each smallest node,
     after a number of rounds that grows with the logarithm of the longest chain. A round is two
     aggregates that combine before their shuffle and two joins; edges of the few nodes that have
-    a large share of them all stay where they are and meet these nodes' rows by broadcast. A
-    round ends in a reliable checkpoint, so a lost executor repeats one round only. Its tables have
-    as many partitions as their edges need, since every partition of a shuffle costs files.
+    a large share of them all stay where they are and meet these nodes' rows by broadcast. Up to
+    ``FEW_EDGES`` edges a round is two windows instead: that plan of joins, some thirty scans of the
+    edges, takes more of the driver's memory than such tables are worth. A round ends in a reliable
+    checkpoint, so a lost executor repeats one round only. Its tables have as many partitions as
+    their edges need, since every partition of a shuffle costs files.
 
     Nulls, loops and repeated edges are ignored. Without edges the result is empty.
     """
@@ -33,10 +37,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     before = _fingerprint(stars)
     while before[0]:
-        least = max(1000, int(HOT_SHARE * before[0]))
         few = -(-before[0] // EDGES_A_PARTITION)
         stars = stars.coalesce(few)
-        stars = checkpoint(_small_star(_large_star(stars, least).coalesce(few), least).coalesce(few))
+        if before[0] <= FEW_EDGES:
+            stars = checkpoint(_round_of_few(stars, few).coalesce(few))
+        else:
+            least = max(1000, int(HOT_SHARE * before[0]))
+            stars = checkpoint(_small_star(_large_star(stars, least).coalesce(few), least).coalesce(few))
         after = _fingerprint(stars)
         if after == before:
             break
@@ -50,6 +57,21 @@ def _fingerprint(stars: DataFrame) -> tuple:
     return tuple(row)
 
 
+def _round_of_few(stars: DataFrame, few: int) -> DataFrame:
+    """Both stars, each in one pass over the edges of a node; every step has one row for an edge.
+
+    Neighbours lower than a node are on its edges as ``hi``: the smallest of them, or the node
+    itself, comes with each of its edges as ``lo``.
+    """
+    ends = F.array(
+        F.struct(F.col("hi").alias("node"), F.col("lo").alias("low"), F.lit(None).cast(stars.schema["hi"].dataType).alias("high")),
+        F.struct(F.col("lo").alias("node"), F.col("lo").alias("low"), F.col("hi").alias("high")))
+    large = stars.select(F.inline(ends)).select("high", F.min("low").over(Window.partitionBy("node")).alias("lo"))
+    large = large.filter("high IS NOT NULL").select(F.col("high").alias("hi"), "lo").coalesce(few)
+    small = large.select("hi", "lo", F.min("lo").over(Window.partitionBy("hi")).alias("lowest")).coalesce(few)
+    return small.select(F.when(F.col("lo") == F.col("lowest"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("lowest").alias("lo")).distinct()
+
+
 def _joined(stars: DataFrame, nodes: DataFrame, key: str, value: str, least: int) -> DataFrame:
     """Edges with ``value`` of their node ``key``; nodes (key, value, n) with over ``least`` edges are broadcast.
 

@@ -93,3 +93,28 @@ def test_hot_nodes_are_met_by_broadcast(spark, monkeypatch):
     stars = frame(spark, [(b, a) for a, b in edges]).toDF("hi", "lo")
     plan = graph._large_star(stars, 1000)._jdf.queryExecution().optimizedPlan().toString()
     assert "rightHint=(strategy=broadcast)" in plan or "strategy=broadcast" in plan
+
+
+def test_rounds_of_few_edges_have_small_plans(spark, monkeypatch):
+    """The driver holds the plan of every round: three shuffles, no join."""
+    plans = []
+
+    def seen(df, kept=graph.checkpoint):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return kept(df)
+
+    monkeypatch.setattr(graph, "checkpoint", seen)
+    edges = [(0, k) for k in range(1, 2000)] + [(k, k + 10_000) for k in range(1, 2000, 3)] + [(20_000 + k, 20_001 + k) for k in range(40)]
+    assert {r.id: r.component for r in graph.connected_components(frame(spark, edges)).collect()} == brute(edges)
+    assert len(plans) > 2 and not any("Join" in p for p in plans) and max(p.count("Scan ExistingRDD") for p in plans[1:]) == 1
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_rounds_of_few_and_of_many_edges_agree(spark, monkeypatch, few):
+    rng = random.Random(few)
+    monkeypatch.setattr(graph, "FEW_EDGES", few)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(None, 3), (3, None), (None, None), (7, 7), (900, 901), (901, 900), (900, 901)]
+    rows = graph.connected_components(frame(spark, edges)).collect()
+    assert len(rows) == len({r.id for r in rows}) and {r.id: r.component for r in rows} == brute(edges)
+    names = spark.createDataFrame([("c", "b"), ("d", "c"), ("x", "y"), ("b", "d")], "a string, b string")
+    assert {(r.id, r.component) for r in graph.connected_components(names).collect()} == {*((c, "b") for c in "bcd"), ("x", "x"), ("y", "x")}
