@@ -127,8 +127,15 @@ SEARCHES = """
     SELECT l.id, s.search_id FROM v_listings l JOIN ({SEARCHES.format(customer='customer')}) s ON (s.region_slug IS NULL OR s.region_slug = l.locality) AND (s.property_type IS NULL OR s.property_type = l.property_type)
       AND l.price >= s.min_price AND (s.max_price IS NULL OR l.price <= s.max_price) AND (s.min_beds IS NULL OR l.bedrooms >= s.min_beds) WHERE l.status = 'active'""")
 def saved_search_matches(t):
+    """Micro-batches store their matches in blocks, as these grow with listings times searches; the result has a row for each."""
     arriving = _stream(t, "orders", LISTINGS).withColumns({"region_slug": F.col("locality"), "price_usd": F.col("price")})
-    return _append(t, jobs.saved_search_matches(arriving, t.sql(SEARCHES)).select("id", "search_id"))
+    searches, out = t.sql(SEARCHES), _folder(t)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        jobs.saved_search_matches(batch, searches, blocks=True).write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+
+    arriving.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    return jobs.pairs(t.spark.read.parquet(f"{out}/rows"))
 
 
 RAW_TABLE = """

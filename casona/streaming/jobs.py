@@ -7,6 +7,7 @@ watermark are dropped and counted by Spark's own metrics.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -134,42 +135,102 @@ def _indexed(searches: DataFrame) -> DataFrame:
     return bounds.withColumn("_price", F.explode(price)).drop("_low", "_high")
 
 
-def _candidates(listings: DataFrame, searches: DataFrame) -> DataFrame:
-    """Active listings with the searches that they meet but for parts of a currency unit or a room and for beds beyond the highest.
+def _asked(listings: DataFrame, keys: DataFrame) -> DataFrame:
+    """Active listings, once for each key (``_k``) under which the index ``keys`` may hold searches that they meet.
 
     A listing asks only for kinds of keys that some search has: whether region and type are named,
-    the least beds, and the price level. There are at most 4 * (MOST_BEDS + 2) * (LEVELS + 2) of
-    them, so they are read first. Spark takes the exploded index for as small as the searches, so
-    the join is told not to broadcast it.
+    the least beds, and the price level, there between the lowest and the highest cell. There are at
+    most 4 * (MOST_BEDS + 2) * (LEVELS + 2) of them, so they are read first.
     """
-    keys = _indexed(searches)
     shape = [F.col("_region") == _ANY_TEXT, F.col("_type") == _ANY_TEXT, F.col("_beds"), F.col("_price.level")]
-    shapes = [r.asDict() for r in keys.select(*(c.alias(name) for name, c in zip("rtbl", shape))).distinct().collect()]
-    shapes = F.from_json(F.lit(json.dumps(shapes)), "array<struct<r: boolean, t: boolean, b: int, l: int>>")
+    shapes = keys.groupBy(*(c.alias(name) for name, c in zip("rtbl", shape))).agg(F.min("_price.cell").alias("low"), F.max("_price.cell").alias("high"))
+    shapes = F.from_json(F.lit(json.dumps([r.asDict() for r in shapes.collect()])), "array<struct<r: boolean, t: boolean, b: int, l: int, low: bigint, high: bigint>>")
     active = listings.filter("status = 'active'").withColumns({
         "_p": _code("price_usd"), "_b": _clamped("bedrooms", "int", MOST_BEDS), "_s": F.explode(shapes)})
-    active = active.filter(F.col("_s.b") <= F.coalesce("_b", F.lit(_ANY_BEDS)))
-    active = active.withColumn("_k", F.struct(
+    cell = F.when(F.col("_s.l") == _ANY_PRICE, 0).otherwise(F.expr("shiftright(_p, 2 * _s.l)"))
+    active = active.filter((F.col("_s.b") <= F.coalesce("_b", F.lit(_ANY_BEDS))) & cell.between(F.col("_s.low"), F.col("_s.high")))
+    return active.withColumn("_k", F.struct(
         F.when(F.col("_s.r"), _ANY_TEXT).otherwise(F.col("region_slug")).alias("region"), F.when(F.col("_s.t"), _ANY_TEXT).otherwise(F.col("property_type")).alias("type"),
-        F.col("_s.b").alias("beds"), F.col("_s.l").alias("level"),
-        F.when(F.col("_s.l") == _ANY_PRICE, 0).otherwise(F.expr("shiftright(_p, 2 * _s.l)")).alias("cell"))).drop("_p", "_b", "_s")
+        F.col("_s.b").alias("beds"), F.col("_s.l").alias("level"), cell.alias("cell"))).drop("_p", "_b", "_s")
+
+
+def _candidates(listings: DataFrame, searches: DataFrame) -> DataFrame:
+    """Active listings with the searches that they meet but for parts of a currency unit or a room and for beds beyond the highest.
+
+    Spark takes the exploded index for as small as the searches, so the join is told not to broadcast it.
+    """
+    keys = _indexed(searches)
     on = [F.col(f"_k.{a}") == F.col(b) for a, b in (("region", "_region"), ("type", "_type"), ("beds", "_beds"), ("level", "_price.level"), ("cell", "_price.cell"))]
-    return active.join(keys.hint("merge"), on[0] & on[1] & on[2] & on[3] & on[4]).drop("_k", "_region", "_type", "_beds", "_price")
+    return _asked(listings, keys).join(keys.hint("merge"), on[0] & on[1] & on[2] & on[3] & on[4]).drop("_k", "_region", "_type", "_beds", "_price")
+
+
+#: Listings, and searches, of a block of matches (a power of two); matches that one task writes out of blocks.
+BLOCK_BITS, PAIRS_A_TASK = 10, 2**24
+_KEY = ["_region", "_type", "_beds", "_level", "_cell"]
 
 
-def saved_search_matches(listings: DataFrame, searches: DataFrame) -> DataFrame:
+def _runs(rows: DataFrame, order: list[str], name: str, *bounds: Column) -> DataFrame:
+    """Rows of a key in arrays of at most 2^BLOCK_BITS, in order; the rows of a hot key spread over as many ranges as they need."""
+    rows = rows.repartitionByRange(*_KEY, *order).sortWithinPartitions(*_KEY, *order)
+    rows = rows.withColumn("_run", F.call_function("shiftright", F.monotonically_increasing_id(), F.lit(BLOCK_BITS)))
+    return rows.groupBy(*_KEY, "_run").agg(F.collect_list(F.struct(*order)).alias(name), *bounds).drop("_run")
+
+
+def _within(listing: Callable[[str], Column], search: Callable[[str], Column]) -> Column:
+    """Whether a listing lies within a search's limits; null is no limit."""
+    return (
+        (search("min_price").isNull() | (listing("price_usd") >= search("min_price")))
+        & (search("max_price").isNull() | (listing("price_usd") <= search("max_price")))
+        & (search("min_beds").isNull() | (listing("bedrooms") >= search("min_beds"))))
+
+
+def _blocks(listings: DataFrame, searches: DataFrame) -> DataFrame:
+    """Matches in blocks (ids, search_ids): each listing of a row meets each search of it, a match is in one block.
+
+    Listings and searches of a key meet run by run. Listings within the tightest limits of a run of
+    searches meet all of it and are a block; each of the others is a block with the searches it meets.
+    """
+    keys = _indexed(searches)
+    asked = _asked(listings, keys).select(*(F.col(f"_k.{c[1:]}").alias(c) for c in _KEY), "price_usd", "bedrooms", "id")
+    keys = keys.withColumns({"_level": F.col("_price.level"), "_cell": F.col("_price.cell")})
+    tightest = [F.max("min_price").alias("min_price"), F.min("max_price").alias("max_price"), F.max("min_beds").alias("min_beds")]
+    runs = _runs(asked.dropna(subset=_KEY), ["price_usd", "bedrooms", "id"], "_l").join(
+        _runs(keys, ["min_price", "max_price", "min_beds", "search_id"], "_s", *tightest).hint("merge"), _KEY)
+    all_met = lambda x: F.coalesce(_within(lambda c: x[c], F.col), F.lit(False))
+    met = lambda x: F.filter("_s", lambda s: _within(lambda c: x[c], lambda c: s[c]))
+    block = lambda of, found: F.struct(of.alias("ids"), F.transform(found, lambda s: s["search_id"]).alias("search_ids"))
+    whole = block(F.transform(F.filter("_l", all_met), lambda x: x["id"]), F.col("_s"))
+    single = F.transform(F.filter("_l", lambda x: ~all_met(x)), lambda x: block(F.array(x["id"]), met(x)))
+    return runs.select(F.inline(F.concat(F.array(whole), single))).filter((F.size("ids") > 0) & (F.size("search_ids") > 0))
+
+
+def pairs(blocks: DataFrame) -> DataFrame:
+    """A row (id, search_id) for each match in the blocks of ``saved_search_matches``, dealt out by their number.
+
+    Generated code keeps all rows that it makes of one row until they are taken. So a block becomes a
+    row for each listing first; ``coalesce`` to as many tasks moves nothing, but ends that code.
+    """
+    n = blocks.agg(F.sum(F.size("ids").cast("bigint") * F.size("search_ids"))).first()[0] or 0
+    tasks = max(1, math.ceil(n / PAIRS_A_TASK))
+    found = blocks.repartition(tasks).select(F.explode("ids").alias("id"), "search_ids").coalesce(tasks)
+    return found.select("id", F.explode("search_ids").alias("search_id"))
+
+
+def saved_search_matches(listings: DataFrame, searches: DataFrame, blocks: bool = False) -> DataFrame:
     """New active listings that meet stored filters (search_id, region_slug, property_type, min_price, max_price, min_beds).
 
     Null in any filter means no limit. Searches are indexed by region, type, beds and the cells
     that make up their price range, so a listing meets few searches that do not match, also where
     they name neither region nor type. The index is the static side and is shuffled, never
     broadcast. A listing meets a search under one key at most.
+
+    Matches grow with listings times searches. With ``blocks`` they come as rows (ids, search_ids) in
+    which all meet all, small enough to store; ``pairs`` gives a row for each match. Blocks are made
+    of a whole table or micro-batch, plain matches also of a stream.
     """
-    within: Column = (
-        (F.col("min_price").isNull() | (F.col("price_usd") >= F.col("min_price")))
-        & (F.col("max_price").isNull() | (F.col("price_usd") <= F.col("max_price")))
-        & (F.col("min_beds").isNull() | (F.col("bedrooms") >= F.col("min_beds"))))
-    return _candidates(listings, searches).filter(within).drop("min_price", "max_price", "min_beds")
+    if blocks:
+        return _blocks(listings, searches)
+    return _candidates(listings, searches).filter(_within(F.col, F.col)).drop("min_price", "max_price", "min_beds")
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:

@@ -165,3 +165,70 @@ def test_the_index_of_searches_is_small_and_not_broadcast(spark):
     joined = jobs.saved_search_matches(listings, few)
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
     assert sorted((r.id, r.search_id) for r in joined.collect()) == [(0, 0), (1, 0), (2, 0), (2, 1), (3, 0), (3, 1), (4, 0), (4, 1), (4, 2)]
+
+
+def _listings_and_searches(spark, seed=5):
+    """Rows with nulls, repeats, prices at and near the edges of cells, and limits of parts of a unit or a room."""
+    import random
+
+    rng = random.Random(seed)
+    price = lambda: rng.choice([None, -5.0, 0.0, 0.5, 64.0, 1024.0, 400_000.0, 400_000.5, 400_100.0, 2.0**30, 4.0**21, rng.uniform(0, 5000), rng.uniform(399_000, 401_000)])
+    listings = [(k, rng.choice(["active", "active", "sold", None]), rng.choice(["n", "s", None]), rng.choice(["house", None]), price(), rng.choice([None, 0.0, 1.0, 2.5, 3.0, 12.0, 15.0])) for k in range(250)]
+    searches = [(k, rng.choice(["n", None, None]), rng.choice(["house", None, None]), price(), price(), rng.choice([None, None, 0.0, 2.0, 2.5, 14.0])) for k in range(200)]
+    searches += [(1000 + k, "n", None, 399_990.0 + k, None, None) for k in range(60)]
+    listings, searches = listings + listings[:20] + [(None, "active", "n", "house", 400_050.0, 3.0)], searches + searches[:20] + [(None, None, None, None, None, None)]
+    return (
+        spark.createDataFrame(listings, "id bigint, status string, region_slug string, property_type string, price_usd double, bedrooms double"),
+        spark.createDataFrame(searches, "search_id bigint, region_slug string, property_type string, min_price double, max_price double, min_beds double"))
+
+
+@pytest.mark.parametrize("bits", [2, 10])
+def test_blocks_of_matches_hold_each_match_once(spark, monkeypatch, bits):
+    """Against all pairs, repeats counted, in blocks of 4 and of 1,024."""
+    from collections import Counter
+
+    monkeypatch.setattr(jobs, "BLOCK_BITS", bits)
+    monkeypatch.setattr(jobs, "PAIRS_A_TASK", 1500)
+    listings, searches = _listings_and_searches(spark)
+    fits = lambda x, low, high: (low is None or (x is not None and x >= low)) and (high is None or (x is not None and x <= high))
+    want = Counter(
+        (x.id, s.search_id) for x in listings.collect() for s in searches.collect()
+        if x.status == "active" and s.region_slug in (None, x.region_slug) and s.property_type in (None, x.property_type)
+        and fits(x.price_usd, s.min_price, s.max_price) and fits(x.bedrooms, s.min_beds, None))
+    blocks = jobs.saved_search_matches(listings, searches, blocks=True)
+    assert Counter((r.id, r.search_id) for r in jobs.pairs(blocks).collect()) == want and sum(want.values()) > 4000
+    most = blocks.agg(F.max(F.size("ids")), F.max(F.size("search_ids")), F.min(F.size("ids")), F.min(F.size("search_ids"))).first()
+    assert most[0] <= 2**bits and most[1] <= 2**bits and min(most[2:]) > 0
+    assert Counter((r.id, r.search_id) for r in jobs.saved_search_matches(listings, searches).collect()) == want
+    assert jobs.pairs(jobs.saved_search_matches(listings, searches.limit(0), blocks=True)).count() == 0
+
+
+def test_plain_matches_of_a_stream(spark):
+    at, (listings, searches) = folder(spark), _listings_and_searches(spark, 6)
+    listings.write.parquet(f"{at}/in")
+    jobs.run_available(jobs.saved_search_matches(spark.readStream.schema(listings.schema).parquet(f"{at}/in"), searches).select("id", "search_id"), f"{at}/rows", f"{at}/state")
+    got, want = spark.read.parquet(f"{at}/rows"), jobs.pairs(jobs.saved_search_matches(listings, searches, blocks=True))
+    assert got.count() > 1000 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_saved_search_matches_stores_few_values_for_many_matches(spark, tmp_path):
+    """The query's own tables: what its stream stores does not grow with listings times searches."""
+    from pathlib import Path
+
+    import pandas as pd
+
+    from casona.plans import catalog
+
+    catalog.load()
+    n, m = 4000, 3000
+    pd.DataFrame({
+        "o_orderkey": range(n), "o_custkey": [10 + 12 * k for k in range(n)], "o_orderstatus": "O", "o_totalprice": [420_000.0 + k % 1000 for k in range(n)],
+        "o_orderdate": pd.Timestamp("2024-01-01"), "o_orderpriority": "1-URGENT"}).to_parquet(tmp_path / "orders.parquet", index=False)
+    pd.DataFrame({
+        "c_custkey": range(1, m + 1), "c_name": "c", "c_nationkey": 2, "c_acctbal": [k % 900 * 1.0 for k in range(m)], "c_mktsegment": "x"}).to_parquet(tmp_path / "customer.parquet", index=False)
+    before = set(Path(shared_folder(spark).removeprefix("file:")).glob("stream-*"))
+    matches = catalog.QUERIES["saved_search_matches"](spark, str(tmp_path))
+    (new,) = set(Path(shared_folder(spark).removeprefix("file:")).glob("stream-*")) - before
+    stored = spark.read.parquet(f"{new}/rows")
+    values = sum(stored.agg(F.sum(F.size(c) if kind.startswith("array") else F.lit(1))).first()[0] for c, kind in stored.dtypes if c != "batch")
+    assert matches.count() > 1_000_000 and matches.distinct().count() == matches.count() and values < matches.count() / 50
